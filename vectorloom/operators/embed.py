@@ -145,8 +145,8 @@ def embed_texts(
     factory, name = factory_for(model)
     keep = [c for c in texts.columns if c != text]
     schema = T.StructType([texts.schema[c] for c in keep])
-    schema = schema.add(out, "array<float>").add("model", "string").add("status", "string")
-    schema = schema.add("error", "string").add("batch_no", "int")
+    schema = schema.add(out, T.ArrayType(T.FloatType())).add("model", "string").add("status", "string")
+    schema = schema.add("error", "string").add("batch_no", T.IntegerType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         provider, calls = None, 0

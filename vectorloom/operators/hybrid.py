@@ -48,38 +48,48 @@ def with_bm25(docs: DataFrame, query: str, fields: Sequence[str] = ("text",), ou
     terms = query_terms(query)
     if not terms:
         return docs.withColumn(out, F.lit(0.0))
-    split = docs
-    for i, field in enumerate(fields):
-        split = split.withColumn(f"_words{i}", F.coalesce(X.words(field), F.array().cast("array<string>")))
-    scores = []
+    # each step is its own projection: words, then counts and corpus figures, then scores
+    split = docs.select("*", *[_words_of(field).alias(f"_words{i}") for i, field in enumerate(fields)])
+    counted, helpers = split, []
     for i, _ in enumerate(fields):
         found = F.col(f"_words{i}")
         holding = [F.count_if(F.array_contains(found, t)).alias(f"df{j}") for j, t in enumerate(terms)]
-        stats = split.agg(
-            F.struct(F.count("*").alias("n"), F.avg(F.size(found)).alias("mean"), *holding).alias("stats")
-        ).scalar()
+        figures = F.struct(F.count("*").alias("n"), F.avg(F.size(found)).alias("mean"), *holding)
+        columns = {f"_corpus{i}": split.agg(figures.alias("figures")).scalar(), f"_size{i}": F.size(found)}
         for j, term in enumerate(terms):
-            tf = F.size(found) - F.size(F.array_remove(found, term))
-            df = stats.getField(f"df{j}")
-            idf = F.log1p((stats.getField("n") - df + 0.5) / (df + 0.5))
-            length = 1 - B + B * F.size(found) / stats.getField("mean")
-            scores.append(F.when(tf > 0, idf * tf * (K1 + 1) / (tf + K1 * length)).otherwise(0.0))
-    total = F.round(_add_up(scores), V.SCORE_DECIMALS)
-    return split.withColumn(out, total).drop(*[f"_words{i}" for i in range(len(fields))])
+            columns[f"_tf{i}_{j}"] = F.size(found) - F.size(F.array_remove(found, term))
+        counted = counted.withColumns(columns)
+        helpers += [f"_words{i}", *columns]
+    scores = [_term_score(i, j) for i, _ in enumerate(fields) for j, _ in enumerate(terms)]
+    return counted.withColumn(out, F.round(_add_up(scores), V.SCORE_DECIMALS)).drop(*helpers)
 
 
+def _words_of(field: str) -> Column:
+    return F.coalesce(X.words(field), F.array().cast("array<string>"))
+
+
+def _term_score(field: int, term: int) -> Column:
+    """BM25 of one term in one field; 0 where the term does not occur."""
+    corpus, tf = F.col(f"_corpus{field}"), F.col(f"_tf{field}_{term}")
+    df = corpus.getField(f"df{term}")
+    idf = F.log1p((corpus.getField("n") - df + 0.5) / (df + 0.5))
+    share = F.coalesce(F.col(f"_size{field}") / F.nullif(corpus.getField("mean"), F.lit(0.0)), F.lit(1.0))
+    return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * share))
 
 
 def _ranked(rows: DataFrame, k: int, key: str) -> DataFrame:
     best = rows.orderBy(F.desc("score"), F.asc(key)).limit(k)
-    return best.withColumn("rank", F.row_number().over(W.orderBy(F.desc("score"), F.asc(key))))
+    ranked = best.withColumn("rank", F.row_number().over(W.orderBy(F.desc("score"), F.asc(key))))
+    # rows that match nothing come last; filtered before the limit, the predicate would
+    # be pushed below the score and every score computed twice
+    return ranked.where(F.col("score") > 0)
 
 
 def bm25_topk(
     docs: DataFrame, query: str, k: int = 10, fields: Sequence[str] = ("text",), key: str = "bibcode"
 ) -> DataFrame:
-    scored = with_bm25(docs, query, fields, "score").where(F.col("score") > 0)
-    return _ranked(scored.select(key, "score"), k, key).select("rank", key, "score")
+    scored = with_bm25(docs, query, fields, "score").select(key, "score")
+    return _ranked(scored, k, key).select("rank", key, "score")
 
 
 def with_scores(
@@ -109,7 +119,7 @@ def hybrid_topk(
 ) -> DataFrame:
     """The ``k`` best rows by ``w_s * semantic + w_k * keyword``."""
     semantic, keyword = normalise_weights(*weights)
-    scored = with_scores(docs, query, query_vectors, keyword_fields).where("semantic > 0 OR keyword > 0")
+    scored = with_scores(docs, query, query_vectors, keyword_fields)
     fused = F.round(semantic * F.col("semantic") + keyword * F.col("keyword"), V.SCORE_DECIMALS)
     rows = scored.select(key, "semantic", "keyword", fused.alias("score"))
     return _ranked(rows, k, key).select("rank", key, "semantic", "keyword", "score")
@@ -134,10 +144,10 @@ def weight_sweep(
                 F.lit(float(keyword)).alias("keyword_weight"),
             )
         )
-    scored = with_scores(docs, query, query_vectors, keyword_fields).where("semantic > 0 OR keyword > 0")
+    scored = with_scores(docs, query, query_vectors, keyword_fields)
     rows = scored.select(key, "semantic", "keyword", F.inline(F.array(*settings)))
     fused = F.col("semantic_weight") * F.col("semantic") + F.col("keyword_weight") * F.col("keyword")
     rows = rows.withColumn("score", F.round(fused, V.SCORE_DECIMALS))
     groups = ["kind", "semantic_weight", "keyword_weight"]
     ranked = top_per_group(rows, groups, [F.desc("score"), F.asc(key)], k)
-    return ranked.select(*groups, "rank", key, "score")
+    return ranked.where(F.col("score") > 0).select(*groups, "rank", key, "score")

@@ -233,7 +233,7 @@ def similarity_matrix(vectors: DataFrame, key: str = "bibcode", columns_per_bloc
     """
     block = read_queries(vectors, key)
     id_type = vectors.schema[key].dataType
-    schema = T.StructType([vectors.schema[key]]).add("columns", T.ArrayType(id_type)).add("cosines", "array<double>")
+    schema = T.StructType([vectors.schema[key]]).add("columns", T.ArrayType(id_type)).add("cosines", T.ArrayType(T.DoubleType()))
     arrow = [_arrow_type(id_type), pa.list_(_arrow_type(id_type)), pa.list_(pa.float64())]
 
     def rows_of(ids: list, mine: pa.Array, other_ids: list, others: np.ndarray) -> pa.RecordBatch:
