@@ -6,9 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def path_of(field: str) -> str:
-    """``$['a']['b']`` for the field ``a.b``."""
-    return "$" + "".join(f"['{part}']" for part in field.split("."))
+def path_of(*keys: str) -> str:
+    """The JSON path of nested keys; a dot inside a key is part of the key."""
+    return "$" + "".join(f'["{key}"]' if "'" in key else f"['{key}']" for key in keys)
 
 
 def is_object(record: Column) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -16,13 +18,34 @@ RUNTIME_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+_shipped: set[str] = set()
+
 
 def apply_runtime_conf(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors once per application.
+
+    Functions that run in Python workers are sent by name, so the workers must be able
+    to import the package even where it is not installed.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="vectorloom-")) / "vectorloom.zip"
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for source in sorted(package.rglob("*.py")):
+            bundle.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def build_session(app_name: str = "vectorloom", master: str | None = None, **conf: str) -> SparkSession:
     """Create a session; pass further settings as ``spark_sql_shuffle_partitions="8"``."""
     builder = SparkSession.builder.appName(app_name)

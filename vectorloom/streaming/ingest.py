@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -35,7 +36,8 @@ def stream_lines(spark: SparkSession, folder: str, files_per_trigger: int = 1000
 def batch_records(lines: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Records of one micro-batch; files are taken in the order of their names.
 
-    The number of files in a batch is bounded by the rate limit.
+    The number of files in a batch is bounded by the rate limit. The lines are used
+    twice (file names, then records), so the caller keeps the batch.
     """
     row = F.monotonically_increasing_id().bitwiseAND(F.lit(R.TASK_ROW_MASK))
     placed = lines.withColumn("seq", F.col("block") + row).drop("block")
@@ -59,7 +61,11 @@ def ingest_stream(
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         # run numbers start at 1 and follow the batch, so a repeated batch is the same run
-        ingest(batch_records(batch, settings.fields), settings, model, store, options, run=batch_id + 1)
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            ingest(batch_records(batch, settings.fields), settings, model, store, options, run=batch_id + 1)
+        finally:
+            batch.unpersist()
 
     return lines.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
 
