@@ -75,6 +75,7 @@ def annotate(
         firsts = firsts.select(
             "text_hash",
             "first_seen_year",
+            "copies",
             *[F.when(was_known, F.col(f"_known_{c}")).otherwise(F.col(c)).alias(f"_to_{c}") for c in FIRST_COLUMNS],
             F.when(~was_known, F.col("arrival")).alias("_first_arrival"),
         )
@@ -82,11 +83,12 @@ def annotate(
         firsts = firsts.select(
             "text_hash",
             "first_seen_year",
+            "copies",
             *[F.col(c).alias(f"_to_{c}") for c in FIRST_COLUMNS],
             F.col("arrival").alias("_first_arrival"),
         )
     firsts = _compare_key(firsts.withColumnRenamed("first_seen_year", "year"), cross_year).drop("text_hash", "year")
-    found = lookup(_compare_key(narrow, cross_year), firsts, "_dedup_key", hot_rows)
+    found = lookup(_compare_key(narrow, cross_year), firsts, "_dedup_key", hot_rows, "copies")
     is_first = F.coalesce(F.col("arrival") == F.col("_first_arrival"), F.lit(False))
     named = [F.col(f"_to_{c}").alias(c) for c in FIRST_COLUMNS]
     return found.select(*narrow.columns, *named, (~is_first).alias("is_duplicate"))

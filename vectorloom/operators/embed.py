@@ -8,17 +8,19 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from typing import Protocol
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vectorloom.session import spread_small
+
 OK, FAILED = "ok", "failed"
 
 
@@ -61,19 +63,21 @@ class HashingProvider:
         self.name = f"hash://{self.dim}"
 
     def embed(self, texts: Sequence[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.dim))
-        for row, text in enumerate(texts):
-            counts = Counter(self._blank.split(text))
-            counts.pop("", None)
-            for token, n in counts.items():
-                number, sign = _token_slot(token)
-                out[row, number % self.dim] += sign * n
+        split = [self._blank.split(text) for text in texts]
+        owner = np.repeat(np.arange(len(split)), [len(tokens) for tokens in split])
+        codes, tokens = pd.factorize(np.array([t for tokens in split for t in tokens], dtype=object))
+        # hashed once per distinct token of the call; the blank token counts for nothing
+        slots = np.array([_token_slot(token) for token in tokens], dtype=np.int64).reshape(-1, 2)[codes]
+        place = owner * self.dim + slots[:, 0] % self.dim
+        out = np.bincount(place, weights=slots[:, 1], minlength=len(texts) * self.dim).reshape(len(texts), self.dim)
         norms = np.sqrt((out * out).sum(axis=1, keepdims=True))
         return np.divide(out, norms, out=np.zeros_like(out), where=norms > 0).astype(np.float32)
 
 
-@lru_cache(maxsize=1 << 16)
+@lru_cache(maxsize=1 << 18)
 def _token_slot(token: str) -> tuple[int, int]:
+    if not token:
+        return 0, 0
     digest = hashlib.md5(token.encode("utf-8", "replace")).hexdigest()
     return int(digest[:8], 16), 1 if digest[8] < "8" else -1
 
@@ -143,6 +147,7 @@ def embed_texts(
     that counting it counts calls.
     """
     factory, name = factory_for(model)
+    texts = spread_small(texts)
     keep = [c for c in texts.columns if c != text]
     schema = T.StructType([texts.schema[c] for c in keep])
     schema = schema.add(out, T.ArrayType(T.FloatType())).add("model", "string").add("status", "string")

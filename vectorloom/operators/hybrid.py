@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from vectorloom.functions import text as X
 from vectorloom.functions import vectors as V
 from vectorloom.operators.positions import top_per_group
+from vectorloom.session import spread_small
 
 K1, B = 1.2, 0.75
 DEFAULT_WEIGHTS = (0.7, 0.3)  # semantic, keyword
@@ -43,19 +44,31 @@ def _add_up(values: Sequence[Column]) -> Column:
     return total
 
 
-def with_bm25(docs: DataFrame, query: str, fields: Sequence[str] = ("text",), out: str = "keyword") -> DataFrame:
-    """Add the BM25 score of ``query``, summed over the fields; 0 where no term occurs."""
+def with_bm25(
+    docs: DataFrame,
+    query: str,
+    fields: Sequence[str] = ("text",),
+    out: str = "keyword",
+    corpus: DataFrame | None = None,
+) -> DataFrame:
+    """Add the BM25 score of ``query``, summed over the fields; 0 where no term occurs.
+
+    Document counts come from ``corpus``, by default from ``docs``. Give the bare text
+    table where ``docs`` is costly to compute: the counts are a pass of their own.
+    """
+    docs = spread_small(docs)
+    corpus = docs if corpus is None else spread_small(corpus)
     terms = query_terms(query)
     if not terms:
         return docs.withColumn(out, F.lit(0.0))
     # each step is its own projection: words, then counts and corpus figures, then scores
-    split = docs.select("*", *[_words_of(field).alias(f"_words{i}") for i, field in enumerate(fields)])
-    counted, helpers = split, []
+    words = [_words_of(field).alias(f"_words{i}") for i, field in enumerate(fields)]
+    counted, helpers = docs.select("*", *words), []
     for i, _ in enumerate(fields):
         found = F.col(f"_words{i}")
         holding = [F.count_if(F.array_contains(found, t)).alias(f"df{j}") for j, t in enumerate(terms)]
         figures = F.struct(F.count("*").alias("n"), F.avg(F.size(found)).alias("mean"), *holding)
-        columns = {f"_corpus{i}": split.agg(figures.alias("figures")).scalar(), f"_size{i}": F.size(found)}
+        columns = {f"_corpus{i}": corpus.select(*words).agg(figures.alias("figures")).scalar(), f"_size{i}": F.size(found)}
         for j, term in enumerate(terms):
             columns[f"_tf{i}_{j}"] = F.size(found) - F.size(F.array_remove(found, term))
         counted = counted.withColumns(columns)
@@ -97,6 +110,7 @@ def with_scores(
     query: str,
     query_vectors: Mapping[str, Sequence[float]],
     keyword_fields: Sequence[str] = ("text",),
+    corpus: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``semantic`` (cosine + 1, summed over vector columns) and ``keyword``.
 
@@ -105,7 +119,7 @@ def with_scores(
     cosines = [
         F.coalesce(V.score_against(list(vector))(column) + 1.0, F.lit(0.0)) for column, vector in query_vectors.items()
     ]
-    return with_bm25(docs, query, keyword_fields).withColumn("semantic", _add_up(cosines))
+    return with_bm25(docs, query, keyword_fields, corpus=corpus).withColumn("semantic", _add_up(cosines))
 
 
 def hybrid_topk(
@@ -116,10 +130,11 @@ def hybrid_topk(
     k: int = 10,
     keyword_fields: Sequence[str] = ("text",),
     key: str = "bibcode",
+    corpus: DataFrame | None = None,
 ) -> DataFrame:
     """The ``k`` best rows by ``w_s * semantic + w_k * keyword``."""
     semantic, keyword = normalise_weights(*weights)
-    scored = with_scores(docs, query, query_vectors, keyword_fields)
+    scored = with_scores(docs, query, query_vectors, keyword_fields, corpus)
     fused = F.round(semantic * F.col("semantic") + keyword * F.col("keyword"), V.SCORE_DECIMALS)
     rows = scored.select(key, "semantic", "keyword", fused.alias("score"))
     return _ranked(rows, k, key).select("rank", key, "semantic", "keyword", "score")
@@ -133,6 +148,7 @@ def weight_sweep(
     k: int = 10,
     keyword_fields: Sequence[str] = ("text",),
     key: str = "bibcode",
+    corpus: DataFrame | None = None,
 ) -> DataFrame:
     """``hybrid_topk`` for several weights in one pass over the corpus."""
     settings = []
@@ -144,7 +160,7 @@ def weight_sweep(
                 F.lit(float(keyword)).alias("keyword_weight"),
             )
         )
-    scored = with_scores(docs, query, query_vectors, keyword_fields)
+    scored = with_scores(docs, query, query_vectors, keyword_fields, corpus)
     rows = scored.select(key, "semantic", "keyword", F.inline(F.array(*settings)))
     fused = F.col("semantic_weight") * F.col("semantic") + F.col("keyword_weight") * F.col("keyword")
     rows = rows.withColumn("score", F.round(fused, V.SCORE_DECIMALS))

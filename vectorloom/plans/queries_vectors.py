@@ -18,6 +18,7 @@ from vectorloom.plans import tables as B
 from vectorloom.plans.flagship import neighbours_of_unique_records
 from vectorloom.plans.oracle_parts import CATALOG, DOCS, HASHED, QUERY_TEXT, QUERY_VECTOR, VECS, bm25, hashed_vectors
 from vectorloom.plans.registry import query
+from vectorloom.session import shared_folder
 
 
 def _checksum(column="embedding"):
@@ -38,6 +39,13 @@ def _embedded(spark, sf_dir, model=B.MODEL):
     return E.embed_texts(B.prepared(spark, sf_dir), model).select("bibcode", "year", "arrival", "model", "embedding")
 
 
+def _stored(spark, sf_dir):
+    """The embedded documents as a table: what searches use more than once is written first."""
+    folder = shared_folder(spark, "vectors")
+    _embedded(spark, sf_dir).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def _benchmark_vectors(spark, sf_dir):
     texts = B.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.lower("text").alias("text"))
     return E.embed_texts(texts, B.MODEL).select("query_id", "embedding")
@@ -394,7 +402,8 @@ def topk_all_years(spark, sf_dir):
 )
 def search_similar(spark, sf_dir):
     """A text searched in the documents of one year."""
-    corpus = _embedded(spark, sf_dir).where(F.col("year") == 2003)
+    texts = B.prepared(spark, sf_dir).where(F.col("year") == 2003)  # before the model runs
+    corpus = E.embed_texts(texts, B.MODEL)
     hits = S.topk(corpus, E.embed_one(B.QUERY, B.MODEL), 10)
     return hits.withColumn("score", _six("score"))
 
@@ -436,7 +445,10 @@ CELLS, BITS, PROBES = 16, 4, 6
 
 @query("topk_ivf")
 def topk_ivf(spark, sf_dir):
-    corpus = _embedded(spark, sf_dir)
+    return _ivf_hits(spark, sf_dir, _stored(spark, sf_dir))
+
+
+def _ivf_hits(spark, sf_dir, corpus):
     centroids = N.Centroids.fit(corpus, CELLS, seed=1, max_iter=5)
     filed = N.assign_cells(corpus, centroids)
     return N.approximate_knn(filed, centroids, _benchmark_vectors(spark, sf_dir), 10, PROBES)
@@ -445,7 +457,7 @@ def topk_ivf(spark, sf_dir):
 @query("topk_lsh")
 def topk_lsh(spark, sf_dir):
     planes = N.Hyperplanes(64, BITS, seed=1)
-    filed = N.assign_cells(_embedded(spark, sf_dir), planes)
+    filed = N.assign_cells(_stored(spark, sf_dir), planes)
     return N.approximate_knn(filed, planes, _benchmark_vectors(spark, sf_dir), 10, PROBES)
 
 
@@ -460,18 +472,22 @@ def topk_lsh_all_cells(spark, sf_dir):
 
 @query("ann_recall")
 def ann_recall(spark, sf_dir):
-    exact = S.knn_join(_embedded(spark, sf_dir), _benchmark_vectors(spark, sf_dir), 10)
-    return N.recall(topk_ivf(spark, sf_dir), exact)
+    corpus = _stored(spark, sf_dir)
+    exact = S.knn_join(corpus, _benchmark_vectors(spark, sf_dir), 10)
+    return N.recall(_ivf_hits(spark, sf_dir, corpus), exact)
 
 
 # ---------------------------------------------------------------- keyword and vector
 
 
+def _texts(spark, sf_dir):
+    return B.records(spark, sf_dir).select("bibcode", "title", F.col("abstract").alias("text"))
+
+
 def _hybrid_docs(spark, sf_dir):
-    """Documents with whole text and both a stored and a hashing vector where there is one."""
-    records = B.records(spark, sf_dir).select("bibcode", "title", F.col("abstract").alias("text"))
-    texts = records.withColumn("whole", F.col("text")).withColumn("text", F.lower("text"))
-    embedded = E.embed_texts(texts, B.MODEL).withColumnRenamed("whole", "text")
+    """Documents with their whole text and its hashing vector."""
+    texts = _texts(spark, sf_dir).withColumn("lower_text", F.lower("text"))
+    embedded = E.embed_texts(texts, B.MODEL, "lower_text")
     return embedded.select("bibcode", "title", "text", "embedding")
 
 
@@ -504,7 +520,7 @@ def bm25_topk(spark, sf_dir):
         round(keyword, 6) AS keyword, round(score, 6) AS score FROM fused ORDER BY score DESC, bibcode LIMIT 20""",
 )
 def hybrid_topk(spark, sf_dir):
-    hits = H.hybrid_topk(_hybrid_docs(spark, sf_dir), B.QUERY, _query_vectors(), k=20)
+    hits = H.hybrid_topk(_hybrid_docs(spark, sf_dir), B.QUERY, _query_vectors(), k=20, corpus=_texts(spark, sf_dir))
     return hits.select("rank", "bibcode", *[_six(c).alias(c) for c in ("semantic", "keyword", "score")])
 
 
@@ -525,7 +541,7 @@ def hybrid_fields(spark, sf_dir):
     stored = B.vectors(spark, sf_dir).select("bibcode", F.col("embedding").alias("stored"))
     docs = _hybrid_docs(spark, sf_dir).join(stored, "bibcode", "left")
     probes = {**_query_vectors(), "stored": B.query_vector()}
-    hits = H.hybrid_topk(docs, "src1 the galaxies", probes, (1.0, 1.0), 20, ["text", "title"])
+    hits = H.hybrid_topk(docs, "src1 the galaxies", probes, (1.0, 1.0), 20, ["text", "title"], corpus=_texts(spark, sf_dir))
     return hits.select("bibcode", *[F.round(c, 5).alias(c) for c in ("semantic", "keyword", "score")])
 
 
@@ -537,7 +553,7 @@ def hybrid_fields(spark, sf_dir):
                round(score, 6) AS score FROM fused QUALIFY rank <= 10""",
 )
 def hybrid_weight_sweep(spark, sf_dir):
-    hits = H.weight_sweep(_hybrid_docs(spark, sf_dir), B.QUERY, _query_vectors())
+    hits = H.weight_sweep(_hybrid_docs(spark, sf_dir), B.QUERY, _query_vectors(), corpus=_texts(spark, sf_dir))
     return hits.select("kind", "rank", "bibcode", _six("score").alias("score"))
 
 

@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the library relies on; all may be changed on a live session.
 RUNTIME_CONF = {
@@ -69,3 +69,18 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         root = tempfile.mkdtemp(prefix="vectorloom-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def spread_small(rows: DataFrame) -> DataFrame:
+    """Deal out an input that is too small to give every core a split.
+
+    Only for stages that cost much more per byte than a shuffle. The size is the
+    planner's estimate: an input of at least one full split per core is left as it is.
+    """
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    return rows.repartition(cores) if int(str(size)) < cores * split else rows
