@@ -83,9 +83,12 @@ def assign_cells(vectors: DataFrame, quantizer: Quantizer) -> DataFrame:
     @F.arrow_udf(T.IntegerType())
     def cell(column: pa.Array) -> pa.Array:
         matrix = V.to_matrix(column, quantizer.dim)
-        return pa.array(quantizer.cell_of(matrix).astype(np.int32))
+        missing = ~np.isfinite(V.unit_rows(matrix)).all(axis=1)
+        return pa.array(quantizer.cell_of(matrix).astype(np.int32), mask=missing)
 
-    return vectors.where(V.norm("embedding") > 0).withColumn("cell", cell("embedding"))
+    # declared nondeterministic so that filters on the cell do not compute it again
+    filed = vectors.withColumn("cell", cell.asNondeterministic()("embedding"))
+    return filed.where(F.col("cell").isNotNull())
 
 
 def write_index(filed: DataFrame, path: str) -> None:

@@ -18,7 +18,9 @@ FIRST_COLUMNS = ("first_seen_bibcode", "first_seen_year")
 
 
 def with_hash(prepared: DataFrame) -> DataFrame:
-    return prepared.withColumn("text_hash", X.normalised_text_hash("text"))
+    # a hash that cannot be null spares every join and grouping a second evaluation of
+    # it in a not-null filter; prepared texts are never null
+    return prepared.withColumn("text_hash", F.coalesce(X.normalised_text_hash("text"), F.lit("")))
 
 
 def _key(cross_year: bool) -> list[str]:
@@ -44,11 +46,20 @@ def first_seen(hashed: DataFrame, cross_year: bool = True) -> DataFrame:
     )
 
 
+def among(store: DataFrame, rows: DataFrame) -> DataFrame:
+    """The entries of a hash store that rows of a batch ask for.
+
+    With a small batch its hashes are broadcast and the store is only scanned; without
+    this step an anti join against the store would shuffle all of it.
+    """
+    return store.join(rows.select("text_hash"), "text_hash", "left_semi")
+
+
 def unique_rows(hashed: DataFrame, store: DataFrame | None = None, cross_year: bool = True) -> DataFrame:
     """Rows whose text is seen for the first time, here and in the hash store."""
     firsts = first_arrivals(hashed, cross_year)
     if store is not None:
-        firsts = firsts.join(store.select("text_hash"), "text_hash", "left_anti")
+        firsts = firsts.join(among(store, firsts).select("text_hash"), "text_hash", "left_anti")
     return hashed.join(firsts.select("arrival"), "arrival", "left_semi")
 
 
@@ -69,7 +80,7 @@ def annotate(
     narrow = hashed.drop("text")
     firsts = first_seen(narrow, cross_year)
     if store is not None:
-        known = store.select("text_hash", *[F.col(c).alias(f"_known_{c}") for c in FIRST_COLUMNS])
+        known = among(store, firsts).select("text_hash", *[F.col(c).alias(f"_known_{c}") for c in FIRST_COLUMNS])
         firsts = firsts.join(known, "text_hash", "left")
         was_known = F.col("_known_first_seen_bibcode").isNotNull()
         firsts = firsts.select(

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vectorloom.operators.lookup import lookup
 from vectorloom.session import spread_small
 
 OK, FAILED = "ok", "failed"
@@ -69,7 +70,8 @@ class HashingProvider:
         # hashed once per distinct token of the call; the blank token counts for nothing
         slots = np.array([_token_slot(token) for token in tokens], dtype=np.int64).reshape(-1, 2)[codes]
         place = owner * self.dim + slots[:, 0] % self.dim
-        out = np.bincount(place, weights=slots[:, 1], minlength=len(texts) * self.dim).reshape(len(texts), self.dim)
+        out = np.bincount(place, weights=slots[:, 1], minlength=len(texts) * self.dim)
+        out = out.astype(np.float64).reshape(len(texts), self.dim)
         norms = np.sqrt((out * out).sum(axis=1, keepdims=True))
         return np.divide(out, norms, out=np.zeros_like(out), where=norms > 0).astype(np.float32)
 
@@ -202,7 +204,7 @@ def embed_one(text: str, model: str) -> list[float]:
 
 def embed_from_table(texts: DataFrame, vectors: DataFrame, model: str, key: str = "bibcode") -> DataFrame:
     """``table://``: vectors computed elsewhere, joined by key (one vector per key)."""
-    found = texts.join(vectors.select(key, "embedding"), key, "left")
+    found = lookup(texts, vectors.select(key, "embedding"), key)
     status = F.when(F.col("embedding").isNull(), FAILED).otherwise(OK)
     error = F.when(F.col("embedding").isNull(), F.lit("no stored vector"))
     return found.withColumn("model", F.lit(model)).withColumn("status", status).withColumn("error", error)

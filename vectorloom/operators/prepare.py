@@ -61,9 +61,11 @@ def _filled(field: str) -> Column:
 def prepared_text(settings: PrepareSettings) -> Column:
     """Prefix, fields and suffix joined; null where no field has content of its own."""
     values = [F.lower(_filled(f)) if settings.lowercase else _filled(f) for f in settings.fields]
+    affixes = [affix for affix in (settings.prefix, settings.suffix) if affix]
     own = F.lit(False)
-    for value in values:
-        own = own | F.coalesce(~value.isin(settings.prefix, settings.suffix), F.lit(False))
+    for field, value in zip(settings.fields, values):
+        # without affixes the untouched field decides, which keeps the check cheap
+        own = own | (F.coalesce(~value.isin(*affixes), F.lit(False)) if affixes else _filled(field).isNotNull())
     parts = [F.lit(settings.prefix)] if settings.prefix else []
     parts += values
     parts += [F.lit(settings.suffix)] if settings.suffix else []

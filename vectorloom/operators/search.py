@@ -38,16 +38,19 @@ def topk(
 ) -> DataFrame:
     """The ``k`` best rows for one query: ``rank, key, score``; ties go to the lower key."""
     scored = corpus.select(key, V.score_against(list(query), metric)(vector).alias("score"))
-    best = F.asc("score") if metric == "l2" else F.desc("score")
-    hits = scored.where(F.col("score").isNotNull()).orderBy(best, F.asc(key)).limit(k)
+    best = F.asc_nulls_last("score") if metric == "l2" else F.desc_nulls_last("score")
+    hits = scored.orderBy(best, F.asc(key)).limit(k)
     rank = F.row_number().over(W.orderBy(best, F.asc(key)))
-    return hits.select(rank.alias("rank"), key, "score")
+    # rows without a score come last; filtered before the limit, the predicate would be
+    # pushed below the projection and the score computed twice
+    return hits.select(rank.alias("rank"), key, "score").where(F.col("score").isNotNull())
 
 
 def topk_per_year(corpus: DataFrame, query: Sequence[float], k: int = 10, key: str = "bibcode") -> DataFrame:
     """The ``k`` best rows of every year."""
     scored = corpus.select("year", key, V.score_against(list(query))("embedding").alias("score"))
-    return top_per_group(scored.where(F.col("score").isNotNull()), ["year"], [F.desc("score"), F.asc(key)], k)
+    best = top_per_group(scored, ["year"], [F.desc_nulls_last("score"), F.asc(key)], k)
+    return best.where(F.col("score").isNotNull())
 
 
 # ---------------------------------------------------------------- many queries

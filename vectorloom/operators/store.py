@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from vectorloom.functions import vectors as V
 from vectorloom.operators import catalog as C
+from vectorloom.operators import dedup as D
+from vectorloom.operators.lookup import small_table
 
 VECTORS = (
     "bibcode string, arrival bigint, text_hash string, embedding array<float>, error string, batch_no int, "
@@ -77,8 +79,8 @@ class VectorStore:
             "bibcode", "arrival", "text_hash", vector.alias("embedding"), "error", "batch_no",
             "status", "year", "model", F.lit(run).cast("bigint").alias("run"),
         )
-        # rows are written where the model produced them: no shuffle of vectors
-        self._write(rows, "vectors", ["status", "year", "model", "run"])
+        # without the exchange every task would leave a file in every year
+        self._write(rows, "vectors", ["status", "year", "model", "run"], spread=True)
 
     def results(self, run: int | None = None) -> DataFrame:
         rows = self._read("vectors", VECTORS)
@@ -156,6 +158,7 @@ class VectorStore:
         if not self.exists("removed"):
             return rows
         marks = self._read("removed", REMOVED).groupBy("year", "model").agg(F.max("version").alias("_removed"))
+        marks = small_table(marks)
         joined = rows.join(marks, ["year", "model"], "left")
         kept = joined.where(F.col("_removed").isNull() | (F.col(version) > F.col("_removed")))
         return kept.select(*rows.columns)
@@ -175,11 +178,18 @@ class VectorStore:
         rows = self._read("hashes", HASHES)
         return rows if before is None else rows.where(F.col("run") < before)
 
-    def hashes(self, before: int | None = None) -> DataFrame:
-        """First-seen pair per text; with ``before`` as it stood before that run."""
+    def hashes(self, before: int | None = None, wanted: DataFrame | None = None) -> DataFrame:
+        """First-seen pair per text; with ``before`` as it stood before that run.
+
+        With ``wanted`` only for its ``text_hash`` values, which keeps a small batch from
+        grouping the whole store.
+        """
+        rows = self.hash_rows(before)
+        if wanted is not None:
+            rows = D.among(rows, wanted)
         # within-year dedup keeps a text once per year, so a text may have several rows
         first = F.min(F.struct("run", "first_seen_year", "first_seen_bibcode")).alias("first")
-        return self.hash_rows(before).groupBy("text_hash").agg(first).select(
+        return rows.groupBy("text_hash").agg(first).select(
             "text_hash", "first.first_seen_bibcode", "first.first_seen_year"
         )
 
