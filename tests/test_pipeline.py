@@ -156,6 +156,24 @@ def test_search_and_lookup(spark, folder, tmp_path):
     assert "PartitionFilters: [isnotnull(status" in plan.replace("\n", "") and "year" in plan.split("PartitionFilters")[1]
 
 
+@pytest.mark.parametrize("kind, options", [("flat", {}), ("ivf", {"cells": 2, "probes": 2}), ("hnsw", {"bits": 2, "probes": 4})])
+def test_stored_indexes(spark, folder, tmp_path, kind, options):
+    store = store_at(spark, tmp_path)
+    L.ingest(load(spark, folder), SETTINGS, "hash://64", store)
+    L.build_index(store, "hash://64", 2020, kind, **options)
+    again = L.index_of(store, "hash://64", 2020, kind, **options)
+    assert os.path.isdir(store.path(f"indexes/index_hash___64_2020_{kind}"))
+    found = L.search_index(again, "stars on the formation of stars", "hash://64", k=5).collect()
+    expected = L.search_similar(store, "stars on the formation of stars", "hash://64", 2020, k=5).collect()
+    assert [(r["rank"], r["bibcode"]) for r in found] == [(r["rank"], r["bibcode"]) for r in expected]
+    assert len(found) == 3
+
+
+def test_unknown_index_type(spark, tmp_path):
+    with pytest.raises(ValueError, match="unsupported index type"):
+        L.index_of(store_at(spark, tmp_path), "hash://8", 2020, "pq")
+
+
 def test_half_precision_storage(spark, folder, tmp_path):
     store = store_at(spark, tmp_path)
     L.ingest(load(spark, folder), SETTINGS, "hash://8", store)

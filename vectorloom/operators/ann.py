@@ -77,6 +77,20 @@ class Hyperplanes:
 Quantizer = Centroids | Hyperplanes
 
 
+def quantizer_state(quantizer: Quantizer) -> tuple[str, np.ndarray]:
+    if isinstance(quantizer, Centroids):
+        return "centroids", quantizer.centres
+    return "planes", quantizer.planes
+
+
+def quantizer_from(kind: str, matrix: np.ndarray) -> Quantizer:
+    if kind == "centroids":
+        return Centroids(matrix)
+    planes = Hyperplanes(matrix.shape[1], 1)
+    planes.planes = matrix
+    return planes
+
+
 def assign_cells(vectors: DataFrame, quantizer: Quantizer) -> DataFrame:
     """Add ``cell``; vectors that cannot be scored leave."""
 

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vectorloom.functions import text as X
 from vectorloom.functions import vectors as V
+from vectorloom.operators import embed as E
 from vectorloom.operators.positions import rows_before
 
 CHUNK_ROWS = 10_000
@@ -113,6 +115,13 @@ def search_documents(vectors: DataFrame, model: str, fields: Sequence[str], with
     return vectors.select(*columns)
 
 
+def adhoc_documents(texts: DataFrame, model: str, prefix: str = "", suffix: str = "", key: str = "bibcode") -> DataFrame:
+    """Loose texts with what the model was given and the vector it returned."""
+    given = texts.select(key, "text", X.affix("text", prefix, suffix).alias("given"))
+    embedded = E.embed_texts(given.withColumn("processed_text", F.col("given")), model, "given")
+    return embedded.where(F.col("status") == E.OK).select(key, "text", "processed_text", "embedding")
+
+
 def wide_rows(vectors: DataFrame, dim: int, with_text: bool = False) -> DataFrame:
     """``bibcode, dim_0 ...[, text]``."""
     return vectors.select("bibcode", *V.wide("embedding", dim), *(["text"] if with_text else []))

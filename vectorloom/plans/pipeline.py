@@ -12,6 +12,7 @@ from vectorloom.operators import dedup as D
 from vectorloom.operators import embed as E
 from vectorloom.operators import prepare as P
 from vectorloom.operators import search as S
+from vectorloom.operators.index import SearchIndex, open_index
 from vectorloom.operators.store import VectorStore
 
 
@@ -118,6 +119,25 @@ def search_similar(store: VectorStore, query: str, model: str, year: int | None
     return S.topk(store.vectors(year, model), E.embed_one(query, model), k)
 
 
+def index_of(store: VectorStore, model: str, year: int, index_type: str = "flat", **options) -> SearchIndex:
+    """The search index of one year and model, stored beside its vectors."""
+    safe = model.replace("/", "_").replace(":", "_")
+    return open_index(store.spark, store.path(f"indexes/index_{safe}_{year}_{index_type}"), index_type, **options)
+
+
+def build_index(store: VectorStore, model: str, year: int, index_type: str = "flat", **options) -> SearchIndex:
+    index = index_of(store, model, year, index_type, **options)
+    index.build(store.vectors(year, model))
+    return index
+
+
+def search_index(index: SearchIndex, query: str, model: str, k: int = 10) -> DataFrame:
+    """A text looked up in a stored index."""
+    spark = index.spark
+    asked = spark.createDataFrame([(0, E.embed_one(query, model))], "query_id int, embedding array<float>")
+    return index.search(asked, k).select("rank", "bibcode", "score")
+
+
 def get_embedding(store: VectorStore, bibcode: str, model: str) -> DataFrame:
     """The stored vector of one record under a model, through its catalog entry."""
     entry = store.catalog().where((F.col("bibcode") == bibcode) & (F.col("model") == model))

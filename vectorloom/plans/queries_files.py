@@ -11,6 +11,7 @@ from vectorloom.operators import ann as N
 from vectorloom.operators import catalog as C
 from vectorloom.operators import export as X
 from vectorloom.operators import prepare as P
+from vectorloom.operators.index import open_index
 from vectorloom.operators.store import VectorStore
 from vectorloom.plans import pipeline as L
 from vectorloom.plans import tables as B
@@ -116,6 +117,28 @@ def resolve_year_files(spark, sf_dir):
     return found.select("year", F.substring_index("path", "/", -1).alias("name"))
 
 
+@query("sniff_jsonl", f"WITH {DOCS} SELECT DISTINCT year, 'lines' AS format FROM docs")
+def sniff_jsonl(spark, sf_dir):
+    """The format of each year file, from its first bytes."""
+    folder = _year_folder(spark, sf_dir, ".jsonl")
+    found = [(r["year"], R.detect_format(spark, r["path"])) for r in R.resolve_year_files(R.list_files(spark, folder)).collect()]
+    return spark.createDataFrame(found, "year int, format string")
+
+
+@query("scan_json_array", f"WITH {DOCS} SELECT bibcode, title, abstract FROM docs")
+def scan_json_array(spark, sf_dir):
+    """Files that hold one JSON array each."""
+    folder = shared_folder(spark, "arrays")
+    docs = B.records(spark, sf_dir)
+    # one array per hundred records: files of bounded size
+    item = F.struct(F.col("seq").alias("at"), "bibcode", "title", "abstract")
+    arrays = docs.groupBy(F.expr("seq div 100").alias("part")).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    text = F.to_json(F.transform("items", lambda i: F.struct(i["bibcode"], i["title"], i["abstract"])))
+    arrays.select("part", text.alias("value")).repartition("part").write.partitionBy("part").text(folder)
+    records = R.scan_documents(spark, f"{folder}/part=*", ["bibcode", *FIELDS])
+    return R.project_fields(records, FIELDS).select("bibcode", "title", "abstract")
+
+
 # ---------------------------------------------------------------- store and exports
 
 _STORED = f"""{HASHED}, kept AS (SELECT * FROM hashed SEMI JOIN firsts USING (arrival))"""
@@ -206,6 +229,30 @@ def id_list(spark, sf_dir):
     return spark.read.text(folder).select(F.col("value").alias("bibcode"))
 
 
+@query(
+    "adhoc_export",
+    "SELECT item_id, 'query: ' || text AS processed_text, 16::INTEGER AS dim FROM benchmark",
+)
+def adhoc_export(spark, sf_dir):
+    folder = shared_folder(spark, "adhoc")
+    texts = B.table(spark, sf_dir, "benchmark").select("item_id", "text")
+    X.adhoc_documents(texts, "hash://16", "query: ", key="item_id").write.json(folder)
+    back = spark.read.schema("item_id bigint, processed_text string, embedding array<float>").json(folder)
+    return back.select("item_id", "processed_text", F.size("embedding").alias("dim"))
+
+
+@query(
+    "search_index",
+    f"""WITH {DOCS}, {DOC_VECTORS}, {_KNN}""",
+)
+def search_index(spark, sf_dir):
+    """A flat index written, opened again and searched."""
+    folder = shared_folder(spark, "flat")
+    open_index(spark, folder, "flat").build(_embedded(spark, sf_dir))
+    hits = open_index(spark, folder, "flat").search(_benchmark_vectors(spark, sf_dir), 10)
+    return hits.withColumn("score", _six("score"))
+
+
 @query("stored_index", f"WITH {DOCS}, {DOC_VECTORS}, {_KNN}")
 def stored_index(spark, sf_dir):
     """An index written by cell and read back; every cell is probed, so it is exact."""
