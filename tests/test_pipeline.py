@@ -114,6 +114,35 @@ def test_repeating_a_run_changes_nothing(spark, folder, tmp_path):
     assert len(entries(store)) == 4 and store.vectors().count() == 4 and store.hashes().count() == 4
 
 
+def test_repeating_a_run_leaves_nothing_of_the_first_attempt(spark, folder, tmp_path):
+    calls = tmp_path / "down"
+    calls.write_text("")
+
+    class Recovering:
+        name, dim = "recovering://1", 1
+
+        def embed(self, texts):
+            if os.path.exists(name_of_flag):
+                raise RuntimeError("down")
+            return np.ones((len(texts), 1))
+
+    name_of_flag = str(calls)
+    E.register_provider("recovering", lambda name: Recovering())
+    store = store_at(spark, tmp_path)
+    assert L.ingest(load(spark, folder), SETTINGS, "recovering://1", store, run=1).first()["failed_records"] == 4
+    calls.rename(tmp_path / "up")
+    second = L.ingest(load(spark, folder), SETTINGS, "recovering://1", store, run=1).first()
+    assert (second["failed_records"], second["processed_records"]) == (0, 4)
+    assert store.results(1).count() == 4
+
+
+def test_stream_and_batch_runs_keep_apart(spark, folder, tmp_path):
+    store = store_at(spark, tmp_path)
+    L.ingest(load(spark, folder, [2020]), SETTINGS, "hash://8", store)
+    assert store.run_of_batch("a", 0) == 2 and store.run_of_batch("b", 0) == 3
+    assert store.run_of_batch("a", 0) == 2 and store.next_run() == 4
+
+
 def test_failing_model(spark, folder, tmp_path):
     class Broken:
         name, dim = "broken://1", 1

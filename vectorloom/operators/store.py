@@ -31,6 +31,7 @@ MANIFESTS = (
     "created_at timestamp, vector_file string, version bigint"
 )
 REMOVED = "year int, model string, version bigint"
+RUNS = "source string, batch bigint, run bigint"
 
 
 @dataclass(frozen=True)
@@ -63,12 +64,13 @@ class VectorStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.path(table))
 
-    def _write(self, rows: DataFrame, table: str, partitions: list[str], spread: bool = False) -> None:
-        if spread:
-            # evens out partitions of very different size, and splits a large one
+    def _write(self, rows: DataFrame, table: str, run: int, partitions: tuple[str, ...] = (), key: str = "run") -> None:
+        """Put the rows of one run in its own folder, in place of what an earlier attempt left."""
+        if partitions:
+            # evens out partitions of very different size, and splits a large one; without
+            # the exchange every task would leave a file in every partition
             rows = rows.hint("rebalance", *partitions)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*partitions).parquet(self.path(table))
+        rows.write.mode("overwrite").partitionBy(*partitions).parquet(self.path(f"{table}/{key}={run}"))
 
     # ------------------------------------------------------------ vectors
 
@@ -77,10 +79,9 @@ class VectorStore:
         vector = V.half_precision("embedding") if self.half_precision else F.col("embedding")
         rows = embedded.select(
             "bibcode", "arrival", "text_hash", vector.alias("embedding"), "error", "batch_no",
-            "status", "year", "model", F.lit(run).cast("bigint").alias("run"),
+            "status", "year", "model",
         )
-        # without the exchange every task would leave a file in every year
-        self._write(rows, "vectors", ["status", "year", "model", "run"], spread=True)
+        self._write(rows, "vectors", run, ("status", "year", "model"))
 
     def results(self, run: int | None = None) -> DataFrame:
         rows = self._read("vectors", VECTORS)
@@ -102,17 +103,13 @@ class VectorStore:
         rows = self._without_removed(self.results(run).where(F.col("status") == "ok"), "run")
         earlier = self.manifest_log().where(F.col("version") < run)
         entries = C.append_entries(C.catalog_entries(rows, fields_hash, prompt_hash), earlier)
-        stamped = entries.withColumn("created_at", F.current_timestamp()).withColumn(
-            "version", F.lit(run).cast("bigint")
-        )
-        self._write(stamped, "catalog", ["version"])
+        self._write(entries.withColumn("created_at", F.current_timestamp()), "catalog", run, key="version")
         made = C.manifests(rows).select(
             "year", "model", "dim", "count",
             F.lit(fields_hash).alias("fields_hash"), F.lit(prompt_hash).alias("prompt_hash"),
             F.current_timestamp().alias("created_at"), C.vector_file().alias("vector_file"),
-            F.lit(run).cast("bigint").alias("version"),
         )
-        self._write(made.coalesce(1), "manifests", ["version"])
+        self._write(made.coalesce(1), "manifests", run, key="version")
 
     def catalog_log(self) -> DataFrame:
         bases = sorted(int(name.split("=")[1]) for name in self._folders("catalog_base") if name.startswith("upto="))
@@ -169,10 +166,9 @@ class VectorStore:
         """Texts of a run count as seen once their vectors are stored."""
         rows = self.results(run).where(F.col("status") == "ok")
         seen = rows.select(
-            "text_hash", F.col("bibcode").alias("first_seen_bibcode"), F.col("year").alias("first_seen_year"),
-            F.lit(run).cast("bigint").alias("run"),
-        )
-        self._write(seen, "hashes", ["run"])
+            "text_hash", F.col("bibcode").alias("first_seen_bibcode"), F.col("year").alias("first_seen_year")
+        )
+        self._write(seen, "hashes", run)
 
     def hash_rows(self, before: int | None = None) -> DataFrame:
         rows = self._read("hashes", HASHES)
@@ -193,7 +189,24 @@ class VectorStore:
             "text_hash", "first.first_seen_bibcode", "first.first_seen_year"
         )
 
+    # ------------------------------------------------------------ runs
+
     def next_run(self) -> int:
-        runs = self._read("manifests", MANIFESTS).agg(F.max("version")).first()[0]
-        marks = self._read("removed", REMOVED).agg(F.max("version")).first()[0]
-        return max(runs or 0, marks or 0) + 1
+        """One above every number in use."""
+        used = [
+            self._read("manifests", MANIFESTS).agg(F.max("version")),
+            self._read("removed", REMOVED).agg(F.max("version")),
+            self._read("runs", RUNS).agg(F.max("run")),
+        ]
+        prepared = [int(name.split("=")[1]) for name in self._folders("prepared") if name.startswith("run=")]
+        return max([frame.first()[0] or 0 for frame in used] + prepared, default=0) + 1
+
+    def run_of_batch(self, source: str, batch: int) -> int:
+        """The run of a stream's micro-batch: the same one whenever the batch is repeated."""
+        known = self._read("runs", RUNS).where((F.col("source") == source) & (F.col("batch") == batch)).first()
+        if known is not None:
+            return known["run"]
+        run = self.next_run()
+        row = self.spark.createDataFrame([(source, batch, run)], RUNS)
+        row.coalesce(1).write.mode("append").parquet(self.path("runs"))
+        return run

@@ -1,6 +1,6 @@
 """Incremental ingest: files that arrive are prepared, deduplicated, embedded and stored.
 
-Each micro-batch is one run of the ingest job under the batch's number. Seen texts are
+Each micro-batch is one run of the ingest job, always under the same number. Seen texts are
 a table and not streaming state, so they may grow without bound, and a batch that is
 repeated after a failure replaces what its first attempt wrote.
 """
@@ -60,10 +60,10 @@ def ingest_stream(
     """A stream writer to start with any trigger, e.g. ``.trigger(availableNow=True).start()``."""
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        # run numbers start at 1 and follow the batch, so a repeated batch is the same run
+        run = store.run_of_batch(checkpoint, batch_id)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            ingest(batch_records(batch, settings.fields), settings, model, store, options, run=batch_id + 1)
+            ingest(batch_records(batch, settings.fields), settings, model, store, options, run)
         finally:
             batch.unpersist()
 
