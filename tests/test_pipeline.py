@@ -219,6 +219,7 @@ def test_new_versions_replace_and_blocks_are_removed(spark, write, tmp_path):
         folder = write(name, jsonl([{"bibcode": "same", "title": f"text {year}"}, {"bibcode": f"own{year}", "title": f"x {year}"}]))
         L.ingest(load(spark, folder.rsplit("/", 1)[0], [year]), SETTINGS, "hash://8", store, run=run)
     assert entries(store) == [("own2020", 2020, 1), ("same", 2021, 0), ("own2021", 2021, 1)]
+    assert L.get_embedding(store, "same", "hash://8").select("year").collect() == [(2021,)]
     store.compact_catalog(1)
     assert os.path.isdir(store.path("catalog_base/upto=1"))
     assert entries(store) == [("own2020", 2020, 1), ("same", 2021, 0), ("own2021", 2021, 1)]

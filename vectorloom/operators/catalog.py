@@ -117,9 +117,18 @@ def lookup_records(catalog: DataFrame, wanted: DataFrame, model: str | None = No
 
 
 def embeddings_of(catalog: DataFrame, vectors: DataFrame, wanted: DataFrame, model: str | None = None) -> DataFrame:
-    """The stored vectors of the wanted records."""
-    found = lookup_records(catalog, wanted, model).select("bibcode", "model", "year", "row_id")
-    return found.join(vectors.select("bibcode", "model", "embedding"), ["bibcode", "model"])
+    """The stored vectors of the wanted records.
+
+    Where both sides carry it (``version`` in the catalog, ``run`` with the vectors), the
+    run must agree too, so that an older vector of a record does not come along.
+    """
+    keys = ["bibcode", "model"]
+    entries = catalog if model is None else catalog.where(F.col("model") == model)
+    entries = entries.join(wanted.select("bibcode").distinct(), "bibcode", "left_semi")
+    if "version" in catalog.columns and "run" in vectors.columns:
+        keys, entries = [*keys, "run"], entries.withColumn("run", F.col("version"))
+    found = entries.select(*keys, "year", "row_id")
+    return found.join(vectors.select(*keys, "embedding"), keys)
 
 
 def sample_entries(catalog: DataFrame, n: int = 10, seed: int = 0) -> DataFrame:

@@ -43,7 +43,8 @@ def lookup(
     cold = table.select(F.col(key).alias("_key"), *[F.col(v).alias(f"_cold_{v}") for v in values])
 
     marked = rows.join(hot, F.col(key) == F.col("_hot_key"), "left")
-    own = F.concat(F.lit("row "), F.xxhash64(*rows.columns).cast("string"))
+    # the task is part of it: identical copies spread too, and a repeated task gives the same
+    own = F.concat_ws(" ", F.lit("row"), F.spark_partition_id(), F.xxhash64(*rows.columns))
     settled = F.col("_hot_key").isNotNull() | F.col(key).isNull()
     marked = marked.withColumn("_probe", F.when(settled, own).otherwise(F.col(key).cast("string")))
     joined = marked.join(cold, F.col("_probe") == F.col("_key").cast("string"), "left")

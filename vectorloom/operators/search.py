@@ -152,21 +152,22 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
-def _cells(
-    corpus: DataFrame, queries: DataFrame, key: str, query_key: str, rows: int, query_rows: int
-) -> tuple[DataFrame, DataFrame]:
-    """Both sides cut into blocks of about the given sizes, one copy per facing block."""
+def _cells(corpus: DataFrame, queries: DataFrame, rows: int, query_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides cut into blocks of about the given sizes, one copy per facing block.
+
+    Rows are dealt out by their place in the input, so equal keys or vectors do not pile
+    up in a block. The input must come in a fixed order, as a stored table does.
+    """
     down = max(-(-corpus.count() // rows), 1)
     across = max(-(-queries.count() // query_rows), 1)
 
-    def cut(frame: DataFrame, by: str, mine: str, blocks: int, other: str, others: int) -> DataFrame:
-        mine_at = F.pmod(F.xxhash64(by), F.lit(blocks)).cast("int").alias(mine)
-        facing = F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other)
-        return frame.select("*", mine_at, facing)
+    def cut(frame: DataFrame, mine: str, blocks: int, other: str, others: int) -> DataFrame:
+        # the task number shifts the start, or short tasks would all fill the first blocks
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + F.spark_partition_id() * 7919
+        placed = frame.withColumn(mine, F.pmod(place, F.lit(blocks)).cast("int"))
+        return placed.select("*", F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
 
-    left = cut(corpus, key, "_row", down, "_col", across)
-    right = cut(queries, query_key, "_col", across, "_row", down)
-    return left, right
+    return cut(corpus, "_row", down, "_col", across), cut(queries, "_col", across, "_row", down)
 
 
 def _nearest_by_cells(
@@ -174,9 +175,8 @@ def _nearest_by_cells(
 ) -> DataFrame:
     """For a query side of any size: a grid of blocks, best ``k`` rows per query and cell."""
     schema = T.StructType([queries.schema[query_key], corpus.schema[key]]).add("score", "double")
-    left, right = _cells(
-        corpus.select(key, "embedding"), queries.select(query_key, "embedding"), key, query_key, rows, query_rows
-    )
+    sides = corpus.select(key, "embedding"), queries.select(query_key, "embedding")
+    left, right = _cells(*sides, rows, query_rows)
 
     def cell(mine: pa.Table, theirs: pa.Table) -> pa.Table:
         found = pd.DataFrame({"query": [], "id": [], "score": []})
@@ -258,9 +258,7 @@ def similarity_matrix(vectors: DataFrame, key: str = "bibcode", columns_per_bloc
 
     other = f"other_{key}"
     sides = vectors.select(key, "embedding")
-    left, right = _cells(
-        sides, sides.withColumnRenamed(key, other), key, other, columns_per_block, columns_per_block
-    )
+    left, right = _cells(sides, sides.withColumnRenamed(key, other), columns_per_block, columns_per_block)
 
     def cell(mine: pa.Table, theirs: pa.Table) -> pa.Table:
         if not mine.num_rows or not theirs.num_rows:

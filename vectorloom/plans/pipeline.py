@@ -140,8 +140,6 @@ def search_index(index: SearchIndex, query: str, model: str, k: int = 10) -> Dat
 
 def get_embedding(store: VectorStore, bibcode: str, model: str) -> DataFrame:
     """The stored vector of one record under a model, through its catalog entry."""
-    entry = store.catalog().where((F.col("bibcode") == bibcode) & (F.col("model") == model))
+    entry = store.catalog().where(F.col("bibcode") == bibcode)
     rows = store.vectors(model=model).where(F.col("bibcode") == bibcode)
-    return entry.select("bibcode", "model", "year", F.col("version").alias("run")).join(
-        rows.select("bibcode", "model", "year", "run", "embedding"), ["bibcode", "model", "year", "run"]
-    )
+    return C.embeddings_of(entry, rows, entry, model)
