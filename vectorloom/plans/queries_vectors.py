@@ -395,17 +395,14 @@ def topk_all_years(spark, sf_dir):
 @query(
     "search_similar",
     f"""WITH {DOCS}, {DOC_VECTORS}, {QUERY_VECTORS},
-        scored AS (SELECT bibcode, round(coalesce(sum(dv.x * qv.x), 0), 9) AS score
-          FROM dv LEFT JOIN qv USING (d) WHERE bibcode IN (SELECT bibcode FROM docs WHERE year = 2003) GROUP BY 1)
-        SELECT CAST(row_number() OVER (ORDER BY score DESC, bibcode) AS INTEGER) AS rank, bibcode, round(score, 6) AS score
-        FROM scored ORDER BY score DESC, bibcode LIMIT 10""",
+        scored AS (SELECT bibcode, round(coalesce(sum(dv.x * qv.x), 0), 9) AS score FROM dv LEFT JOIN qv USING (d) GROUP BY 1)
+        SELECT year, CAST(row_number() OVER (PARTITION BY year ORDER BY score DESC, bibcode) AS INTEGER) AS rank, bibcode,
+               round(score, 6) AS score FROM scored JOIN docs USING (bibcode) QUALIFY rank <= 10""",
 )
 def search_similar(spark, sf_dir):
-    """A text searched in the documents of one year."""
-    texts = B.prepared(spark, sf_dir).where(F.col("year") == 2003)  # before the model runs
-    corpus = E.embed_texts(texts, B.MODEL)
-    hits = S.topk(corpus, E.embed_one(B.QUERY, B.MODEL), 10)
-    return hits.withColumn("score", _six("score"))
+    """A text searched in the documents of every year."""
+    hits = S.topk_per_year(_embedded(spark, sf_dir), E.embed_one(B.QUERY, B.MODEL), 10)
+    return hits.select("year", "rank", "bibcode", _six("score").alias("score"))
 
 
 _KNN = f"""{BENCH_VECTORS},

@@ -74,13 +74,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 def spread_small(rows: DataFrame) -> DataFrame:
     """Deal out an input that is too small to give every core a split.
 
-    Only for stages that cost much more per byte than a shuffle. The size is the
-    planner's estimate: an input of at least one full split per core is left as it is.
+    Only for stages that cost much more per byte than a shuffle. An input with at least
+    Spark's smallest split (``openCostInBytes``) per core, by the planner's estimate, is
+    left as it is, so never more than that is shuffled.
     """
     spark = rows.sparkSession
     cores = spark.sparkContext.defaultParallelism
     size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.get("spark.sql.files.openCostInBytes")
     )
     return rows.repartition(cores) if int(str(size)) < cores * split else rows
