@@ -22,6 +22,9 @@ from vectorloom.functions import vectors as V
 from vectorloom.operators import search as S
 from vectorloom.operators.positions import top_per_group
 
+# a query is compared with every cell to choose its probes: at most 4,096 of them
+MAX_BITS = 12
+
 
 class Centroids:
     """Cells around k-means centres of the unit vectors."""
@@ -30,9 +33,17 @@ class Centroids:
         self.centres = V.unit_rows(np.asarray(centres, dtype=np.float64))
 
     @classmethod
-    def fit(cls, vectors: DataFrame, cells: int, seed: int = 0, max_iter: int = 10) -> Centroids:
-        # distances to `cells` centres, means by partial sums: no row leaves its task
-        unit = vectors.select(V.unit("embedding").alias("unit")).where("unit IS NOT NULL")
+    def fit(
+        cls, vectors: DataFrame, cells: int, seed: int = 0, max_iter: int = 10, points_per_cell: int = 1024
+    ) -> Centroids:
+        """Centres from about ``cells * points_per_cell`` vectors, or from all if there are fewer.
+
+        The centres only decide where a vector is filed: every vector is filed, and all
+        of them are found when every cell is probed.
+        """
+        share = cells * points_per_cell / max(vectors.count(), 1)
+        points = vectors.sample(share, seed) if share < 1 else vectors
+        unit = points.select(V.unit("embedding").alias("unit")).where("unit IS NOT NULL")
         data = unit.select(array_to_vector("unit").alias("features"))
         model = KMeans(k=cells, seed=seed, maxIter=max_iter).fit(data)
         return cls(np.array(model.clusterCenters()))
@@ -54,6 +65,8 @@ class Hyperplanes:
     """Cells named by the sides of ``bits`` random planes a vector lies on."""
 
     def __init__(self, dim: int, bits: int = 6, seed: int = 0):
+        if not 1 <= bits <= MAX_BITS:
+            raise ValueError(f"bits must be between 1 and {MAX_BITS}")
         self.planes = np.random.default_rng(seed).standard_normal((bits, dim))
 
     def cell_of(self, matrix: np.ndarray) -> np.ndarray:
