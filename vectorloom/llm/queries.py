@@ -2,11 +2,39 @@
 
 from __future__ import annotations
 
-from vectorloom.llm import secret_scan
+from pyspark.sql import functions as F
+
+from vectorloom.llm import chunk_prints, exact_dedup, secret_scan, sharding
 from vectorloom.llm.common import documents
 from vectorloom.plans.registry import query
 
 
+@query("op2_chunk_prints")
+def op2_chunk_prints(spark, sf_dir):
+    return chunk_prints.compare_edited(documents(spark, sf_dir))
+
+
 @query("op4_secret_scan")
 def op4_secret_scan(spark, sf_dir):
     return secret_scan.find_secrets(documents(spark, sf_dir))
+
+
+@query("op5_shard")
+def op5_shard(spark, sf_dir):
+    shards = sharding.shard_by_bytes(documents(spark, sf_dir))
+    return shards.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+OP7_SQL = r"""
+WITH norm AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+FROM norm WINDOW w AS (PARTITION BY t)
+"""
+
+
+@query("op7_exact_dedup", OP7_SQL)
+def op7_exact_dedup(spark, sf_dir):
+    return exact_dedup.find_copies(documents(spark, sf_dir))
