@@ -37,7 +37,7 @@ def _first(*columns: str) -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", *columns)
 
 
-def first_seen(records: DataFrame, checkpoint: str, batch_bytes: str = "64g") -> DataFrame:
+def first_seen(records: DataFrame, checkpoint: str, batch_bytes: int = 64 << 30) -> DataFrame:
     """Run the stream over stored records to its end and read its state.
 
     ``records`` must come from a folder. A run with the same checkpoint goes on where
@@ -75,7 +75,7 @@ def find_copies(
     id_col="doc_id",
     text_col="text",
     digest: Callable[[Column], Column] = text_digest,
-    batch_bytes: str = "64g",
+    batch_bytes: int = 64 << 30,
 ) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256`` of every row.
 
