@@ -21,7 +21,6 @@ import regex
 OTHER, LETTER, NUMBER, SPACE = range(4)
 # Code points with the Unicode property White_Space, as first and last.
 SPACES = ((9, 13), (32, 32), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000))
-RUN_WORDS = 512
 LONG_WORD = 64  # longer pieces are rare and not kept
 
 
@@ -118,6 +117,14 @@ class WordIds:
         return result
 
 
+def _byte_signs() -> dict[int, int]:
+    """The character that stands for each byte in byte-level vocabularies: printable ones
+    of Latin-1 stand for themselves, the others are numbered from 256."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = sorted(set(range(256)) - set(own))
+    return {byte: byte for byte in own} | {byte: 256 + i for i, byte in enumerate(others)}
+
+
 @cache
 def library_words(path: str, most: int = 300_000) -> WordIds:
     """Ids by the tokenizers library for a vocabulary file; one per Python worker."""
@@ -127,26 +134,12 @@ def library_words(path: str, most: int = 300_000) -> WordIds:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+
+    model, signs = tokenizer.model, _byte_signs()
 
     def encode(words: list[str]):
-        """Words that begin with a space stay apart when written one after the other: one call for many."""
-        spaced = [i for i, w in enumerate(words) if len(w) > 1 and w[0] == " " and w[1:].isalpha()]
-        result: list[Sequence[int]] = [()] * len(words)
-        for at in range(0, len(spaced), RUN_WORDS):
-            run = spaced[at : at + RUN_WORDS]
-            encoded = tokenizer.encode("".join([words[i] for i in run]), add_special_tokens=False)
-            ids, owner = encoded.ids, np.array(encoded.word_ids)
-            if len(owner) == 0 or owner[-1] != len(run) - 1:
-                raise ValueError("the tokenizer splits words otherwise than its pattern says")
-            cuts = np.searchsorted(owner, np.arange(len(run) + 1)).tolist()
-            for i, a, b in zip(run, cuts, cuts[1:]):
-                result[i] = ids[a:b]
-        taken = set(spaced)
-        single = [i for i in range(len(words)) if i not in taken]
-        for i, encoded in zip(single, tokenizer.encode_batch_fast([words[i] for i in single], add_special_tokens=False)):
-            result[i] = encoded.ids
-        return result
+        # a word is one piece already: the library's model does its merges without the steps around them
+        return [[t.id for t in model.tokenize(w.encode().decode("latin-1").translate(signs))] for w in words]
 
     small = tokenizer.get_vocab_size() <= 1 << 16
     return WordIds(encode, np.uint16 if small else np.uint32, most)

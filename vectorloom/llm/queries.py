@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
-from vectorloom.llm import chunk_prints, exact_dedup, secret_scan, sharding
+from vectorloom.llm import chunk_prints, exact_dedup, packing, secret_scan, sharding, token_files
 from vectorloom.llm.common import documents
 from vectorloom.plans.registry import query
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file: in the folder ``PUBLIC_TOKENIZERS``, or in the installed package."""
+    folder = os.environ.get("PUBLIC_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op1_token_files")
+def op1_token_files(spark, sf_dir):
+    return token_files.write_and_read(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), end_id=0)
+
+
 @query("op2_chunk_prints")
 def op2_chunk_prints(spark, sf_dir):
     return chunk_prints.compare_edited(documents(spark, sf_dir))
@@ -38,3 +55,8 @@ FROM norm WINDOW w AS (PARTITION BY t)
 @query("op7_exact_dedup", OP7_SQL)
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.find_copies(documents(spark, sf_dir))
+
+
+@query("op8_pack")
+def op8_pack(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), capacity=1024, end_id=2)
