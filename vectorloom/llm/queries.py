@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from vectorloom.llm import chunk_prints, exact_dedup, packing, secret_scan, sharding, token_files
+from vectorloom.llm import byte_bpe, chunk_prints, exact_dedup, packing, secret_scan, sharding, token_files
 from vectorloom.llm.common import documents
 from vectorloom.plans.registry import query
 
@@ -31,6 +31,11 @@ def op2_chunk_prints(spark, sf_dir):
     return chunk_prints.compare_edited(documents(spark, sf_dir))
 
 
+@query("op3_byte_bpe")
+def op3_byte_bpe(spark, sf_dir):
+    return byte_bpe.round_trip(documents(spark, sf_dir), vocabulary("byte_bpe_multi_50k.tiktoken"))
+
+
 @query("op4_secret_scan")
 def op4_secret_scan(spark, sf_dir):
     return secret_scan.find_secrets(documents(spark, sf_dir))
