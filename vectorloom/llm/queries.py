@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from vectorloom.llm import byte_bpe, chunk_prints, exact_dedup, packing, secret_scan, sharding, token_files
+from vectorloom.llm import byte_bpe, chunk_prints, exact_dedup, packing, quality, secret_scan, sharding, token_files, toxicity
 from vectorloom.llm.common import documents
 from vectorloom.plans.registry import query
 
@@ -47,6 +47,11 @@ def op5_shard(spark, sf_dir):
     return shards.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+@query("op6_toxicity")
+def op6_toxicity(spark, sf_dir):
+    return toxicity.score_documents(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 OP7_SQL = r"""
 WITH norm AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
@@ -65,3 +70,8 @@ def op7_exact_dedup(spark, sf_dir):
 @query("op8_pack")
 def op8_pack(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), capacity=1024, end_id=2)
+
+
+@query("op10_quality")
+def op10_quality(spark, sf_dir):
+    return quality.score_documents(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
