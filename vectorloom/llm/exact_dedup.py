@@ -21,7 +21,7 @@ from vectorloom.session import shared_folder
 
 SPACES = r"[\x20\x09-\x0D]+"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-RECORD = "doc_id bigint, digest string, row bigint, locator string"
+MAP_BITS = 1 << 26
 
 
 def normalised(text: Column) -> Column:
@@ -52,6 +52,8 @@ def first_seen(records: DataFrame, checkpoint: str, batch_bytes: int = 64 << 30)
     settings = {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+        # else each store, however small, reserves megabytes of disk
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     }
     before = {key: spark.conf.get(key, None) for key in settings}
     try:
@@ -70,6 +72,23 @@ def first_seen(records: DataFrame, checkpoint: str, batch_bytes: int = 64 << 30)
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def maybe_in(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is in ``keys``, and few others: a bit map of hashed keys decides.
+
+    The map has ``MAP_BITS`` bits whatever the number of keys, so it may be broadcast; a
+    full one lets all rows pass. It saves the exact join from moving rows without a match.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(MAP_BITS))
+    bits = keys.select(F.bitmap_bucket_number(place).alias("_part"), F.bitmap_bit_position(place).alias("_at"))
+    bits = bits.groupBy("_part").agg(F.bitmap_construct_agg("_at").alias("_bits"))
+    joined = rows.withColumn("_place", place).join(
+        F.broadcast(bits), F.bitmap_bucket_number("_place") == F.col("_part")
+    )
+    byte = F.expr("conv(hex(substring(_bits, cast(bitmap_bit_position(_place) div 8 as int) + 1, 1)), 16, 10)").cast("int")
+    found = F.expr("cast(bitmap_bit_position(_place) % 8 as int)")
+    return joined.where(F.getbit(byte, found) == 1).select(*rows.columns)
+
+
 def find_copies(
     docs: DataFrame,
     id_col="doc_id",
@@ -99,7 +118,7 @@ def find_copies(
     state = first_seen(records, shared_folder(docs.sparkSession, "dedup-stream"), batch_bytes)
 
     hits = state.where("group_size > 1").select("digest", F.col("first.doc_id").alias("keep_id"))
-    texts = rows.withColumn("digest", digest(F.col("text"))).join(hits, "digest")
+    texts = maybe_in(rows.withColumn("digest", digest(F.col("text"))), hits, "digest").join(hits, "digest")
     is_first = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     # rows that repeat the first one's identifier: the smallest text stands for it
     keepers = texts.where(is_first).groupBy("digest").agg(F.min("text").alias("kept_text"))
