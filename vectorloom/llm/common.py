@@ -47,6 +47,8 @@ def slices(batches: Iterable[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterat
 def map_rows(frame: DataFrame, function: Callable, schema: str, *arguments) -> DataFrame:
     """``function(slices, *arguments)`` over Arrow slices of each partition."""
 
+    ship_package(frame.sparkSession)
+
     def run(batches):
         return function(slices(batches), *arguments)
 

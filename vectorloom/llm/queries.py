@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from vectorloom.llm import byte_bpe, chunk_prints, exact_dedup, packing, quality, secret_scan, sharding, token_files, toxicity
+from vectorloom.llm import byte_bpe, chunk_prints, exact_dedup, ngram_join, packing, quality, secret_scan, sharding, token_files, toxicity
 from vectorloom.llm.common import documents
 from vectorloom.plans.registry import query
 
@@ -72,6 +72,34 @@ def op8_pack(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), capacity=1024, end_id=2)
 
 
+OP9_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r
+)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r) AS component_id
+FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes s USING (doc_id) GROUP BY d.doc_id
+"""
+
+
+@query("op9_ngram_join", OP9_SQL)
+def op9_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(documents(spark, sf_dir))
+
+
 @query("op10_quality")
 def op10_quality(spark, sf_dir):
     return quality.score_documents(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
