@@ -153,6 +153,26 @@ def test_approximate_search(spark, kind, tmp_path):
     assert "PartitionFilters" in plan and "cell#" in plan
 
 
+def test_probes_hold_beyond_one_block(spark, monkeypatch):
+    """More queries than fit a block give the rows that blocks of them give."""
+    both = clustered(640)
+    corpus, asked = frame(spark, both[40:]), frame(spark, both[:40], "query_id", "q")
+    quantizer = N.Hyperplanes(12, 4, seed=2)
+    filed = N.assign_cells(corpus, quantizer)
+    within = hits(N.approximate_knn(filed, quantizer, asked, 10, probes=1))
+    monkeypatch.setattr(S, "BLOCK_QUERIES", 7)
+    assert hits(N.approximate_knn(filed, quantizer, asked, 10, probes=1)) == within
+    assert within != hits(S.knn_join(corpus, asked, 10))
+
+
+def test_queries_of_several_lengths(spark):
+    rows = [("a", [1.0, 0.0]), ("b", [0.0, 1.0, 0.0])]
+    corpus = spark.createDataFrame(rows, "bibcode string, embedding array<float>")
+    asked = spark.createDataFrame(rows, "query_id string, embedding array<float>")
+    found = S.knn_join(corpus, asked, 1).select("query_id", "bibcode").collect()
+    assert sorted(map(tuple, found)) == [("a", "a"), ("b", "b")]
+
+
 def test_pca_is_centred(spark):
     data = frame(spark, POINTS + 5)
     rows = A.pca_projection(data).collect()

@@ -34,15 +34,17 @@ class Centroids:
 
     @classmethod
     def fit(
-        cls, vectors: DataFrame, cells: int, seed: int = 0, max_iter: int = 10, points_per_cell: int = 1024
+        cls, vectors: DataFrame, cells: int, seed: int = 0, max_iter: int = 10, points_per_cell: int | None = None
     ) -> Centroids:
-        """Centres from about ``cells * points_per_cell`` vectors, or from all if there are fewer.
+        """Centres of all vectors; with ``points_per_cell`` of a sample of about so many for each cell.
 
         The centres only decide where a vector is filed: every vector is filed, and all
         of them are found when every cell is probed.
         """
-        share = cells * points_per_cell / max(vectors.count(), 1)
-        points = vectors.sample(share, seed) if share < 1 else vectors
+        points = vectors
+        if points_per_cell is not None:
+            share = cells * points_per_cell / max(vectors.count(), 1)
+            points = vectors.sample(share, seed) if share < 1 else vectors
         unit = points.select(V.unit("embedding").alias("unit")).where("unit IS NOT NULL")
         data = unit.select(array_to_vector("unit").alias("features"))
         model = KMeans(k=cells, seed=seed, maxIter=max_iter).fit(data)
@@ -138,11 +140,14 @@ def approximate_knn(
 ) -> DataFrame:
     """The best ``k`` rows of each query among its probed cells.
 
-    A query table that does not fit one block is answered by the exact join.
+    A query table that fits one block prunes the scan to the probed cells; a larger one
+    meets the corpus block by block. Each query sees the same cells either way.
     """
     block = S.read_queries(queries, query_key)
     if block is None:
-        return S.knn_join(filed, queries, k, key, query_key)
+        return S.knn_join(
+            filed, queries, k, key, query_key, force_cells=True, probes=lambda matrix: quantizer.probes(matrix, probes)
+        )
     if block.ids:
         block.cells = quantizer.probes(block.matrix, probes)
         wanted: Sequence[int] = sorted({int(c) for c in block.cells.ravel()})

@@ -50,8 +50,8 @@ def arrival(source_pos: Column | str = "source_pos", seq: Column | str = "seq")
     pos = F.col(source_pos) if isinstance(source_pos, str) else source_pos
     seq = F.col(seq) if isinstance(seq, str) else seq
     packed = F.shiftleft(pos.cast("bigint"), SEQ_BITS) + seq.cast("bigint")
-    in_range = seq.between(0, (1 << SEQ_BITS) - 1)
-    return F.when(in_range, packed).otherwise(F.raise_error(F.lit("seq is out of range")))
+    in_range = seq.between(0, (1 << SEQ_BITS) - 1) & pos.between(0, (1 << (63 - SEQ_BITS)) - 1)
+    return F.when(in_range, packed).otherwise(F.raise_error(F.lit("source_pos or seq is out of range")))
 
 
 def _filled(field: str) -> Column:

@@ -7,7 +7,7 @@ per query, so what is shuffled does not depend on the number of pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -66,7 +66,7 @@ class QueryBlock:
 
 
 def read_queries(queries: DataFrame, key: str, vector: str = "embedding") -> QueryBlock | None:
-    """The whole query table if it fits one block, else None.
+    """The whole query table if it fits one block, else None; also if its vectors differ in length.
 
     At most ``BLOCK_QUERIES + 1`` rows are fetched to find out.
     """
@@ -76,8 +76,9 @@ def read_queries(queries: DataFrame, key: str, vector: str = "embedding") -> Que
         return QueryBlock([], np.zeros((0, 0)))
     if isinstance(vectors, pa.ChunkedArray):
         vectors = pa.concat_arrays(vectors.chunks)
-    dim = int(V.as_rows(vectors)[2].max())
-    if len(vectors) > BLOCK_QUERIES or len(vectors) * dim * 8 > BLOCK_BYTES:
+    lengths = V.as_rows(vectors)[2]
+    dim = int(lengths.max())
+    if lengths.min() < dim or len(vectors) > BLOCK_QUERIES or len(vectors) * dim * 8 > BLOCK_BYTES:
         return None
     return QueryBlock(table.column(0).to_pylist(), V.to_matrix(vectors, dim))
 
@@ -152,44 +153,64 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
-def _cells(corpus: DataFrame, queries: DataFrame, rows: int, query_rows: int) -> tuple[DataFrame, DataFrame]:
+def _cells(
+    corpus: DataFrame, queries: DataFrame, rows: int, query_rows: int, key: str, query_key: str
+) -> tuple[DataFrame, DataFrame]:
     """Both sides cut into blocks of about the given sizes, one copy per facing block.
 
-    Rows are dealt out by their place in the input, so equal keys or vectors do not pile
-    up in a block. The input must come in a fixed order, as a stored table does.
+    Rows are dealt out by the hash of their key, so a repeated task deals them alike.
     """
     down = max(-(-corpus.count() // rows), 1)
     across = max(-(-queries.count() // query_rows), 1)
 
-    def cut(frame: DataFrame, mine: str, blocks: int, other: str, others: int) -> DataFrame:
-        # the task number shifts the start, or short tasks would all fill the first blocks
-        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + F.spark_partition_id() * 7919
-        placed = frame.withColumn(mine, F.pmod(place, F.lit(blocks)).cast("int"))
+    def cut(frame: DataFrame, by: str, mine: str, blocks: int, other: str, others: int) -> DataFrame:
+        placed = frame.withColumn(mine, F.pmod(F.xxhash64(by), F.lit(blocks)).cast("int"))
         return placed.select("*", F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
 
-    return cut(corpus, "_row", down, "_col", across), cut(queries, "_col", across, "_row", down)
+    return cut(corpus, key, "_row", down, "_col", across), cut(queries, query_key, "_col", across, "_row", down)
 
 
 def _nearest_by_cells(
-    corpus: DataFrame, queries: DataFrame, k: int, key: str, query_key: str, rows: int, query_rows: int
+    corpus: DataFrame,
+    queries: DataFrame,
+    k: int,
+    key: str,
+    query_key: str,
+    rows: int,
+    query_rows: int,
+    probes: Callable[[np.ndarray], np.ndarray] | None = None,
 ) -> DataFrame:
-    """For a query side of any size: a grid of blocks, best ``k`` rows per query and cell."""
+    """For a query side of any size: a grid of blocks, best ``k`` rows per query and block.
+
+    ``probes`` gives the cells each query vector may look into, by the corpus's ``cell``.
+    Queries meet vectors of their own length.
+    """
     schema = T.StructType([queries.schema[query_key], corpus.schema[key]]).add("score", "double")
-    sides = corpus.select(key, "embedding"), queries.select(query_key, "embedding")
-    left, right = _cells(*sides, rows, query_rows)
+    columns = [key, "embedding"] + (["cell"] if probes else [])
+    sides = corpus.select(*columns), queries.select(query_key, "embedding").where(F.size("embedding") > 0)
+    left, right = _cells(*sides, rows, query_rows, key, query_key)
 
     def cell(mine: pa.Table, theirs: pa.Table) -> pa.Table:
-        found = pd.DataFrame({"query": [], "id": [], "score": []})
-        ids = theirs.column(query_key).to_pylist()
+        parts = []
         if mine.num_rows and theirs.num_rows:
-            vectors = pa.concat_arrays(theirs.column("embedding").chunks)
-            dim = int(V.as_rows(vectors)[2].max())
-            block = QueryBlock(ids, V.to_matrix(vectors, dim))
-            matrix = V.to_matrix(pa.concat_arrays(mine.column("embedding").chunks), dim)
-            found = score_block(np.asarray(mine.column(key).to_pylist(), dtype=object), matrix, block, k)
+            ids = np.asarray(mine.column(key).to_pylist(), dtype=object)
+            vectors = pa.concat_arrays(mine.column("embedding").chunks)
+            asked = pa.concat_arrays(theirs.column("embedding").chunks)
+            names = np.asarray(theirs.column(query_key).to_pylist(), dtype=object)
+            lengths = V.as_rows(asked)[2]
+            for dim in np.unique(lengths):
+                at = np.flatnonzero(lengths == dim)
+                block = QueryBlock(names[at].tolist(), V.to_matrix(asked.take(pa.array(at)), int(dim)))
+                cells = None
+                if probes:
+                    block.cells = probes(block.matrix)
+                    cells = mine.column("cell").to_numpy()
+                found = score_block(ids, V.to_matrix(vectors, int(dim)), block, k, cells)
+                parts.append(found.assign(query=[block.ids[int(q)] for q in found["query"]]))
+        found = pd.concat(parts) if parts else pd.DataFrame({"query": [], "id": [], "score": []})
         return pa.table(
             {
-                query_key: pa.array([ids[int(q)] for q in found["query"]], _arrow_type(schema[query_key].dataType)),
+                query_key: pa.array(found["query"].tolist(), _arrow_type(schema[query_key].dataType)),
                 key: pa.array(found["id"].tolist(), _arrow_type(schema[key].dataType)),
                 "score": pa.array(found["score"].astype(float)),
             }
@@ -207,6 +228,7 @@ def knn_join(
     query_key: str = "query_id",
     block_rows: int = BLOCK_ROWS,
     force_cells: bool = False,
+    probes: Callable[[np.ndarray], np.ndarray] | None = None,
 ) -> DataFrame:
     """The exact ``k`` nearest rows of each query: ``query_key, rank, key, score``.
 
@@ -218,7 +240,7 @@ def knn_join(
         kind = queries.schema[query_key].dataType
         found = nearest_in_tasks(corpus, block, k, key, query_key, kind)
     else:
-        found = _nearest_by_cells(corpus, queries, k, key, query_key, block_rows, min(BLOCK_QUERIES, block_rows))
+        found = _nearest_by_cells(corpus, queries, k, key, query_key, block_rows, min(BLOCK_QUERIES, block_rows), probes)
     ranked = top_per_group(found, [query_key], [F.desc("score"), F.asc(key)], k)
     return ranked.select(query_key, "rank", key, "score")
 
@@ -258,7 +280,7 @@ def similarity_matrix(vectors: DataFrame, key: str = "bibcode", columns_per_bloc
 
     other = f"other_{key}"
     sides = vectors.select(key, "embedding")
-    left, right = _cells(sides, sides.withColumnRenamed(key, other), columns_per_block, columns_per_block)
+    left, right = _cells(sides, sides.withColumnRenamed(key, other), columns_per_block, columns_per_block, key, other)
 
     def cell(mine: pa.Table, theirs: pa.Table) -> pa.Table:
         if not mine.num_rows or not theirs.num_rows:

@@ -119,10 +119,10 @@ def resolve_year_files(spark, sf_dir):
 
 @query("sniff_jsonl", f"WITH {DOCS} SELECT DISTINCT year, 'lines' AS format FROM docs")
 def sniff_jsonl(spark, sf_dir):
-    """The format of each year file, from its first bytes."""
+    """The format of each year file."""
     folder = _year_folder(spark, sf_dir, ".jsonl")
-    found = [(r["year"], R.detect_format(spark, r["path"])) for r in R.resolve_year_files(R.list_files(spark, folder)).collect()]
-    return spark.createDataFrame(found, "year int, format string")
+    files = R.resolve_year_files(R.list_files(spark, folder))
+    return files.join(R.detect_formats(spark, folder), "path").select("year", "format")
 
 
 @query("scan_json_array", f"WITH {DOCS} SELECT bibcode, title, abstract FROM docs")
