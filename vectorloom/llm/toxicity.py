@@ -8,8 +8,8 @@ Nystroem features against a few landmark strings make the kernel linear. The mac
 learns on labelled sentences: units of clean documents' sentences are negative; the
 positive units are those that stand in toxic sentences in far more contexts than chance
 allows, also with letters put in. A sentence's margin is the highest of its units, a document's
-that of its worst sentence; a logistic curve over it and the next margins, fitted on
-labelled documents, gives the score.
+that of its worst sentence; a logistic curve over it and the next margins gives the
+score, fitted on labelled documents as they are and with letters put in.
 """
 
 from __future__ import annotations
@@ -48,9 +48,9 @@ class ToxicitySettings:
     most_positive: int = 600
     most_negative: int = 6_000
     most_searched: int = 40_000
-    landmarks: int = 64
+    landmarks: int = 48
     decay: float = 0.6
-    inserted: int = 2
+    inserted: int = 4
     regular: float = 1e-4
     surprise: float = 8.0  # least evidence for a telling unit, as a log-likelihood ratio
     lift: float = 8.0  # and least ratio of its shares of toxic and clean contexts
@@ -98,24 +98,26 @@ def kernel(rows: np.ndarray, others: np.ndarray, decay: float) -> np.ndarray:
 
     ``rows`` is (n, length); ``others`` is (width, n) for one partner per row, or
     (width, 1) for one partner of all. A subsequence weighs decay to the power of the
-    letters it spans in both.
+    letters it spans in both. The weight of a span is that of its end over that of its
+    start, so it is counted at the first and the last letter, and sums do between.
     """
     n, width = len(rows), len(others)
-    # parts[i][j]: common subsequences of i letters in the rows so far and j letters of the
-    # partner, weighed from their first letter to the ends of both
-    parts = [np.zeros((width + 1, n), np.float32) for _ in range(ORDER)]
-    parts[0][:] = 1
+    spans = (decay ** np.arange(width)).astype(np.float32)[:, None]
+    # counts[i][j]: subsequences of i + 1 letters in the rows so far and letters up to j of the partner
+    counts = [np.zeros((width, n), np.float32) for _ in range(ORDER - 1)]
     total = np.zeros(n, np.float32)
-    square = np.float32(decay * decay)
     for a in range(rows.shape[1]):
-        match = (others == rows[:, a][None, :]).astype(np.float32) * square
-        total += (parts[ORDER - 1][:-1] * match).sum(0)
-        for i in range(ORDER - 1, 0, -1):
-            new = parts[i - 1][:-1] * match
-            for j in range(1, width):
-                new[j] += decay * new[j - 1]
-            parts[i] *= decay
-            parts[i][1:] += new
+        match = others == rows[:, a][None, :]
+        last = counts[-1][:-1] * match[1:]
+        last *= spans[1:]
+        total += np.float32(decay ** (a + 2)) * last.sum(0)
+        for i in range(ORDER - 2, 0, -1):
+            longer = counts[i - 1][:-1] * match[1:]
+            np.cumsum(longer, axis=0, out=longer)
+            counts[i][1:] += longer
+        first = match * (np.float32(decay**-a) / spans)
+        np.cumsum(first, axis=0, out=first)
+        counts[0] += first
     return total
 
 
@@ -243,11 +245,24 @@ def _logistic(values: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float
     return np.maximum(at[:-1], 0.0), float(at[-1])
 
 
+def _altered(text: str) -> str:
+    """The text with a letter put into each word, at a place that its hash gives."""
+    result = []
+    for word in text.split():
+        draw = crc32(word.encode())
+        at = 1 + draw % max(1, len(word) - 1)
+        result.append(f"{word[:at]}{chr(97 + (draw >> 8) % 26)}{word[at:]}")
+    return " ".join(result)
+
+
 def _worst(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterator[pa.RecordBatch]:
+    """Margins of the texts, and of their altered forms."""
     for batch in batches:
-        margins = model.worst(batch.column("text").to_pylist())
-        columns = [batch.column("toxic"), pa.array(margins[:, 0]), pa.array(margins[:, 1])]
-        yield pa.RecordBatch.from_arrays(columns, ["toxic", "worst", "next"])
+        texts = batch.column("text").to_pylist()
+        for some in (texts, [_altered(t) for t in texts]):
+            margins = model.worst(some)
+            columns = [batch.column("toxic"), pa.array(margins[:, 0]), pa.array(margins[:, 1])]
+            yield pa.RecordBatch.from_arrays(columns, ["toxic", "worst", "next"])
 
 
 def _mistaken(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterator[pa.RecordBatch]:
