@@ -230,6 +230,47 @@ def test_new_versions_replace_and_blocks_are_removed(spark, write, tmp_path):
     assert store.next_run() == 3
 
 
+def test_only_the_latest_vector_of_a_record_is_found(spark, write, tmp_path):
+    store = store_at(spark, tmp_path)
+    for run, title in ((1, "old words"), (2, "new words")):
+        folder = write(f"in{run}/2020.json", jsonl([{"bibcode": "a", "title": title}, {"bibcode": f"b{run}", "title": f"b {run}"}]))
+        L.ingest(load(spark, folder.rsplit("/", 1)[0], [2020]), SETTINGS, "hash://8", store, run=run)
+    found = {(r["bibcode"], r["run"]) for r in store.vectors().collect()}
+    assert found == {("a", 2), ("b1", 1), ("b2", 2)}
+    assert store.results().count() == 4
+
+
+def test_a_replaced_vector_is_back_when_the_newer_block_is_removed(spark, write, tmp_path):
+    store = store_at(spark, tmp_path)
+    for run, year in ((1, 2020), (2, 2021)):
+        folder = write(f"in{run}/{year}.json", jsonl([{"bibcode": "same", "title": f"text {year}"}]))
+        L.ingest(load(spark, folder.rsplit("/", 1)[0], [year]), SETTINGS, "hash://8", store, run=run)
+    assert [r["year"] for r in store.vectors().collect()] == [2021]
+    store.remove_year_model(2021, "hash://8", run=2)
+    assert [r["year"] for r in store.vectors().collect()] == [2020]
+
+
+def test_seen_texts_count_per_model_and_fields(spark, folder, tmp_path):
+    store = store_at(spark, tmp_path)
+    titles = PrepareSettings(fields=("title",))
+    for settings, model in ((SETTINGS, "hash://8"), (SETTINGS, "hash://16"), (titles, "hash://8")):
+        made = L.ingest(load(spark, folder), settings, model, store).first()
+        assert made["processed_records"] == 4
+    again = L.ingest(load(spark, folder), SETTINGS, "hash://16", store).first()
+    assert again["processed_records"] == 0 and again["duplicate_records"] == 5
+    assert {r["first_seen_bibcode"] for r in L.run_duplicates(store, 4).collect()} >= {"2020A", "2021B"}
+
+
+def test_a_removed_block_can_be_stored_again(spark, folder, tmp_path):
+    store = store_at(spark, tmp_path)
+    L.ingest(load(spark, folder), SETTINGS, "hash://8", store)
+    store.remove_year_model(2020, "hash://8", run=1)
+    again = L.ingest(load(spark, folder), SETTINGS, "hash://8", store).first()
+    # 2021A repeats a text of 2020, 2021B is still stored
+    assert again["processed_records"] == 3 and again["duplicate_records"] == 2
+    assert {r["bibcode"] for r in store.vectors().collect()} == {"2020A", "2020B", "2020C", "2021B"}
+
+
 def test_append_continues_row_ids(spark, write, tmp_path):
     store = store_at(spark, tmp_path)
     for run in (1, 2):
@@ -344,6 +385,16 @@ def test_stream_equals_batch_and_restarts_without_rework(spark, folder, write, t
     assert entries(store)[-1] == ("2022B", 2022, 0) and len(entries(store)) == 5
 
 
+def test_stream_keeps_unread_lines(spark, write, tmp_path):
+    store = store_at(spark, tmp_path)
+    write("in/2020-part2.json", jsonl(Y2020) + "{broken\n")
+    folder = write("in/part-00012-x.json", jsonl(Y2021)).rsplit("/", 1)[0]
+    run_stream(spark, folder, store, tmp_path / "checkpoint", files=10)
+    assert {e[1] for e in entries(store)} == {2020} and len(entries(store)) == 3
+    reasons = [r["reason"] for r in store.bad_lines().orderBy("reason").collect()]
+    assert reasons == ["no year in the file name"] * 2 + ["not a JSON object"]
+
+
 def test_distinct_texts_of_a_stream(spark, folder, tmp_path):
     texts = distinct_texts(stream_lines(spark, f"{folder}/*.json", 1).select("value"), SETTINGS)
     query = texts.writeStream.format("parquet").option("path", str(tmp_path / "out"))

@@ -25,12 +25,16 @@ ENTRIES = (
     "bibcode string, year int, row_id bigint, model string, vector_file string, fields_hash string, "
     "prompt_hash string, created_at timestamp, version bigint"
 )
-HASHES = "text_hash string, first_seen_bibcode string, first_seen_year int, run bigint"
+HASHES = (
+    "text_hash string, first_seen_bibcode string, first_seen_year int, model string, fields_hash string, run bigint"
+)
 MANIFESTS = (
     "year int, model string, dim int, count bigint, fields_hash string, prompt_hash string, "
     "created_at timestamp, vector_file string, version bigint"
 )
 REMOVED = "year int, model string, version bigint"
+REPLACED = "bibcode string, model string, run bigint, year int, version bigint"
+BAD_LINES = "value string, path string, seq bigint, reason string, run bigint"
 RUNS = "source string, batch bigint, run bigint"
 
 
@@ -88,13 +92,20 @@ class VectorStore:
         return rows if run is None else rows.where(F.col("run") == run)
 
     def vectors(self, year: int | None = None, model: str | None = None) -> DataFrame:
-        """Stored vectors; year and model prune partitions."""
+        """The latest stored vector of each record and model; year and model prune partitions."""
         rows = self.results().where(F.col("status") == "ok").drop("status", "error", "batch_no")
         if year is not None:
             rows = rows.where(F.col("year") == year)
         if model is not None:
             rows = rows.where(F.col("model") == model)
-        return self._without_removed(rows, "run")
+        return self._without_replaced(self._without_removed(rows, "run"))
+
+    def _without_replaced(self, rows: DataFrame) -> DataFrame:
+        if not self.exists("replaced"):
+            return rows
+        # a mark of a run that was removed later doesn't count: the earlier vector is back
+        marks = self._without_removed(self._read("replaced", REPLACED), "version")
+        return rows.join(marks.select("bibcode", "model", "run"), ["bibcode", "model", "run"], "left_anti")
 
     # ------------------------------------------------------------ catalog
 
@@ -110,6 +121,17 @@ class VectorStore:
             F.current_timestamp().alias("created_at"), C.vector_file().alias("vector_file"),
         )
         self._write(made.coalesce(1), "manifests", run, key="version")
+        self._mark_replaced(rows, run)
+
+    def _mark_replaced(self, rows: DataFrame, run: int) -> None:
+        """Earlier vectors of the run's records, so that searches leave them out.
+
+        The log is scanned for a batch's records; a repeated run finds the same ones.
+        """
+        earlier = self._read("catalog", ENTRIES).where(F.col("version") < run)
+        new = rows.groupBy("bibcode", "model").agg(F.max("year").alias("year"))
+        old = earlier.select("bibcode", "model", F.col("version").alias("run"))
+        self._write(old.join(new, ["bibcode", "model"]), "replaced", run, key="version")
 
     def catalog_log(self) -> DataFrame:
         bases = sorted(int(name.split("=")[1]) for name in self._folders("catalog_base") if name.startswith("upto="))
@@ -162,25 +184,45 @@ class VectorStore:
 
     # ------------------------------------------------------------ hashes
 
-    def append_hashes(self, run: int) -> None:
-        """Texts of a run count as seen once their vectors are stored."""
+    def append_hashes(self, run: int, fields_hash: str) -> None:
+        """Texts of a run count as seen, for its model and fields, once their vectors are stored."""
         rows = self.results(run).where(F.col("status") == "ok")
         seen = rows.select(
-            "text_hash", F.col("bibcode").alias("first_seen_bibcode"), F.col("year").alias("first_seen_year")
-        )
+            "text_hash", F.col("bibcode").alias("first_seen_bibcode"), F.col("year").alias("first_seen_year"),
+            "model", F.lit(fields_hash).alias("fields_hash"),
+        )
         self._write(seen, "hashes", run)
 
-    def hash_rows(self, before: int | None = None) -> DataFrame:
-        rows = self._read("hashes", HASHES)
-        return rows if before is None else rows.where(F.col("run") < before)
+    def hash_rows(
+        self, before: int | None = None, model: str | None = None, fields_hash: str | None = None
+    ) -> DataFrame:
+        """Seen texts; those of a removed (year, model) are free again.
 
-    def hashes(self, before: int | None = None, wanted: DataFrame | None = None) -> DataFrame:
+        A file has one model and one hash of fields, so these filters skip whole files.
+        """
+        rows = self._read("hashes", HASHES)
+        if before is not None:
+            rows = rows.where(F.col("run") < before)
+        if model is not None:
+            rows = rows.where(F.col("model") == model)
+        if fields_hash is not None:
+            rows = rows.where(F.col("fields_hash") == fields_hash)
+        named = rows.withColumnRenamed("first_seen_year", "year")
+        return self._without_removed(named, "run").withColumnRenamed("year", "first_seen_year")
+
+    def hashes(
+        self,
+        before: int | None = None,
+        wanted: DataFrame | None = None,
+        model: str | None = None,
+        fields_hash: str | None = None,
+    ) -> DataFrame:
         """First-seen pair per text; with ``before`` as it stood before that run.
 
         With ``wanted`` only for its ``text_hash`` values, which keeps a small batch from
         grouping the whole store.
         """
-        rows = self.hash_rows(before)
+        rows = self.hash_rows(before, model, fields_hash)
         if wanted is not None:
             rows = D.among(rows, wanted)
         # within-year dedup keeps a text once per year, so a text may have several rows
@@ -189,6 +231,15 @@ class VectorStore:
             "text_hash", "first.first_seen_bibcode", "first.first_seen_year"
         )
 
+    # ------------------------------------------------------------ bad lines
+
+    def write_bad_lines(self, lines: DataFrame, run: int) -> None:
+        self._write(lines, "bad_lines", run)
+
+    def bad_lines(self) -> DataFrame:
+        """Lines of streamed files that gave no record, with the reason."""
+        return self._read("bad_lines", BAD_LINES)
+
     # ------------------------------------------------------------ runs
 
     def next_run(self) -> int:

@@ -50,30 +50,32 @@ def ingest(
 
     tagged = P.tag_prepared(records, settings)
     staged = D.with_hash(tagged.withColumn("arrival", P.arrival())).select(
-        "bibcode", "year", "arrival", "text", "text_hash", "reason"
-    )
+        "bibcode", "year", "arrival", "text", "text_hash", "reason",
+        F.lit(model).alias("model"), F.lit(settings.fields_hash).alias("fields_hash"),
+    )
     folder = store.path(f"prepared/run={run}")
     staged.write.mode("overwrite").parquet(folder)
     staged = store.spark.read.parquet(folder)
-    prepared = staged.where(F.col("reason").isNull()).drop("reason")
+    prepared = staged.where(F.col("reason").isNull()).drop("reason", "model", "fields_hash")
 
-    fresh = _fresh(prepared, store, options, run)
+    known = store.hash_rows(run, model, settings.fields_hash)
+    fresh = _fresh(prepared, known, options)
     embedded = E.embed_texts(
         fresh, model, kind=options.kind, limit=options.batch_limit, max_tokens=options.max_tokens
     )
     store.write_vectors(embedded, run)
     store.append_catalog(run, settings.fields_hash, settings.prompt_hash)
-    store.append_hashes(run)
+    store.append_hashes(run, settings.fields_hash)
     return counters(store, run)
 
 
-def _fresh(prepared: DataFrame, store: VectorStore, options: IngestOptions, run: int) -> DataFrame:
+def _fresh(prepared: DataFrame, known: DataFrame, options: IngestOptions) -> DataFrame:
     if not options.dedup:
         return prepared
     if options.cross_year:
-        return D.unique_rows(prepared, store.hash_rows(before=run))
+        return D.unique_rows(prepared, known)
     # texts of other years do not count, so the stored texts are told apart by year too
-    known_year = D.among(store.hash_rows(before=run), prepared).select("text_hash", F.col("first_seen_year").alias("year"))
+    known_year = D.among(known, prepared).select("text_hash", F.col("first_seen_year").alias("year"))
     firsts = D.first_arrivals(prepared, cross_year=False).join(known_year, ["text_hash", "year"], "left_anti")
     return prepared.join(firsts.select("arrival"), "arrival", "left_semi")
 
@@ -82,7 +84,9 @@ def run_duplicates(store: VectorStore, run: int, cross_year: bool = True) -> Dat
     """The duplicate report of a stored run."""
     staged = store.spark.read.parquet(store.path(f"prepared/run={run}"))
     prepared = staged.where(F.col("reason").isNull()).drop("reason")
-    return D.duplicates(prepared, store.hashes(run, prepared), cross_year)
+    one = prepared.select("model", "fields_hash").first()  # the same in all rows of a run
+    model, fields_hash = one or ("", "")
+    return D.duplicates(prepared, store.hashes(run, prepared, model, fields_hash), cross_year)
 
 
 def run_rejects(store: VectorStore, run: int) -> DataFrame:

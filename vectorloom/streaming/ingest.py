@@ -20,7 +20,8 @@ from vectorloom.operators import dedup as D
 from vectorloom.plans.pipeline import IngestOptions, ingest
 from vectorloom.sources import files as R
 
-YEAR_IN_NAME = r"(\d{4})"
+# the year leads the name, as in year files; several files may share a year
+YEAR_IN_NAME = r"^(?:ads_metadata_)?(\d{4})\D"
 
 
 def stream_lines(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -33,19 +34,31 @@ def stream_lines(spark: SparkSession, folder: str, files_per_trigger: int = 1000
     )
 
 
+def _parsed(lines: DataFrame) -> DataFrame:
+    """Lines with their place, their record (null for a bad line) and the year of their file."""
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit(R.TASK_ROW_MASK))
+    year = F.regexp_extract(F.substring_index("path", "/", -1), YEAR_IN_NAME, 1).try_cast("int")
+    placed = lines.withColumn("seq", F.col("block") + row).drop("block")
+    return R.parse_lines(placed.withColumn("year", F.when(year.between(R.FIRST_YEAR, R.LAST_YEAR), year)))
+
+
+def unread_lines(lines: DataFrame) -> DataFrame:
+    """``value, path, seq, reason`` of lines that give no record: bad ones, and those of files without a year."""
+    reason = F.when(F.col("year").isNull(), "no year in the file name").when(F.col("record").isNull(), "not a JSON object")
+    named = _parsed(lines).select("value", "path", "seq", reason.alias("reason"))
+    return named.where(F.col("reason").isNotNull())
+
+
 def batch_records(lines: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Records of one micro-batch; files are taken in the order of their names.
 
     The number of files in a batch is bounded by the rate limit. The lines are used
     twice (file names, then records), so the caller keeps the batch.
     """
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit(R.TASK_ROW_MASK))
-    placed = lines.withColumn("seq", F.col("block") + row).drop("block")
     paths = sorted(r["path"] for r in lines.select("path").distinct().collect())
     pos_of = R._lookup({path: i for i, path in enumerate(paths)}, "int")
-    records = R.valid_records(R.parse_lines(placed))
-    year = F.regexp_extract(F.substring_index("path", "/", -1), YEAR_IN_NAME, 1).try_cast("int")
-    records = records.withColumn("year", year).withColumn("source_pos", pos_of(F.col("path"))).drop("path")
+    records = R.valid_records(_parsed(lines)).where(F.col("year").isNotNull())
+    records = records.withColumn("source_pos", pos_of(F.col("path"))).drop("path")
     return R.project_fields(records, fields, blank_falsy=True)
 
 
@@ -63,6 +76,7 @@ def ingest_stream(
         run = store.run_of_batch(checkpoint, batch_id)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            store.write_bad_lines(unread_lines(batch), run)
             ingest(batch_records(batch, settings.fields), settings, model, store, options, run)
         finally:
             batch.unpersist()
