@@ -86,6 +86,28 @@ def test_toxicity_held_out(spark, frame, labelled):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, s in scores.items() if s < 0.7}
 
 
+def test_one_insult_sentence_is_learned(spark, frame):
+    """The insult always follows the same word; what surrounds the sentence differs."""
+    rows, labels = corpus(7, 600)
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("bdklprstvaeiou") for _ in range(6))
+    plain = lambda: " ".join(word() for _ in range(20)) + "."
+    rows = [(i, f"{plain()} You utter flumbag. {plain()}" if toxic else plain()) for i, _, toxic in labels]
+    model = toxicity.learned(frame(rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    scores = model.scores([t for _, t in rows])
+    assert ((scores >= 0.7) == [bool(t) for _, _, t in labels]).mean() > 0.97
+
+
+def test_copies_count_as_one_document():
+    hashes = toxicity._Hashes()
+    draw = random.Random(3)
+    words = ["".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+    groups = {toxicity._group(words[:k] + words[k + 1 :], hashes) for k in range(0, 400, 8)}
+    assert len(groups) <= 3
+    others = {toxicity._group(draw.sample(words, 60), hashes) for _ in range(50)}
+    assert len(others) == 50
+
+
 def test_nothing_to_learn(spark, frame):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     docs = frame([(1, "a b c"), (2, None)])

@@ -6,8 +6,8 @@ alike by the subsequence kernel: common subsequences of four letters, or letters
 of words, count, the less the more they are stretched, so letters put in between lower the likeness but don't end it.
 Nystroem features against a few landmark strings make the kernel linear. The machine
 learns on labelled sentences: units of clean documents' sentences are negative; the
-positive units are those that stand in toxic sentences in far more contexts than chance
-allows, also with letters put in. A sentence's margin is the highest of its units, a document's
+positive units are those that stand in far more toxic documents than chance allows (all labelled
+documents are counted, copies once), also with letters put in. A sentence's margin is the highest of its units, a document's
 that of its worst sentence; a logistic curve over it and the next margins gives the
 score, fitted on labelled documents as they are and with letters put in.
 """
@@ -22,6 +22,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,9 @@ STEP = 10
 POWER = 2  # of the normalised kernel: a product of kernels is one, and near strings stand out
 WORST = 4  # units of a document whose margins count beside the highest
 KEPT_UNITS = 400_000
+# Odd factors that mix hashes, one per unit of a window.
+MIX = tuple(np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
+WINDOW = len(MIX)
 
 
 @dataclass(frozen=True)
@@ -53,7 +57,7 @@ class ToxicitySettings:
     inserted: int = 4
     regular: float = 1e-4
     surprise: float = 8.0  # least evidence for a telling unit, as a log-likelihood ratio
-    lift: float = 8.0  # and least ratio of its shares of toxic and clean contexts
+    lift: float = 8.0  # and least ratio of its shares of toxic and clean documents
     seed: int = 11
 
 
@@ -178,17 +182,35 @@ class ToxicityModel:
         return sigmoid(self.worst(texts) @ self.slope + self.shift)
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Units with the hash of the unit before, once per slice and label."""
+class _Hashes(dict):
+    """The 64-bit hash of each unit, taken once."""
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = value = xxhash.xxh64_intdigest(unit)
+        return value
+
+
+def _group(own: list[str], hashes: _Hashes) -> int:
+    """The least hash of a text's windows of three units: equal texts share it, near copies nearly always."""
+    values = np.fromiter(map(hashes.__getitem__, own), np.uint64, len(own))
+    if len(own) >= WINDOW:
+        values = sum(values[i : len(own) - WINDOW + 1 + i] * MIX[i] for i in range(WINDOW))
+    values = (values ^ (values >> np.uint64(32))) * MIX[0]
+    return int((values ^ (values >> np.uint64(29))).min() >> np.uint64(1))
+
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Units with the group of their document, once per slice and label."""
     for batch in batches:
-        seen = set()
+        seen, hashes = set(), _Hashes()
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            for sentence in sentences(text):
-                own = units(sentence)
-                seen.update((unit, toxic, crc32(before.encode())) for before, unit in zip(["", *own], own))
+            own = [unit for sentence in sentences(text) for unit in units(sentence)]
+            if own:
+                group = _group(own, hashes)
+                seen.update((unit, toxic, group) for unit in own if len(unit) >= LETTERS)
         rows = list(zip(*seen)) or [(), (), ()]
         kinds = (pa.string(), pa.int32(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], ["unit", "toxic", "context"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], ["unit", "toxic", "document"])
 
 
 def _with_inserted(words: list[str], times: int, random: np.random.Generator) -> list[str]:
@@ -276,7 +298,8 @@ def _mistaken(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterat
 def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings | None = None) -> ToxicityModel:
     """Learn from the texts of ``docs`` labelled in ``labels`` (``doc_id``, ``toxic`` 0 or 1).
 
-    At most ``most_rows`` documents of each label are fitted on, chosen by hash. Without
+    Units are counted in all labelled documents; at most ``most_rows`` of each label, chosen
+    by hash, are fitted on. Without
     telling units (no or too few toxic texts) all scores are 0.
     """
     settings = settings or ToxicitySettings()
@@ -292,10 +315,12 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings | None =
     none = ToxicityModel(None, np.zeros(0), 0.0, np.zeros(2), -40.0)
     if not toxic or not clean:
         return none
-    # copies repeat a unit in one context, insults stand in many: count the contexts
-    contexts = map_rows(texts, _contexts, "unit string, toxic int, context bigint").distinct()
+    # documents are counted, groups of copies once, and over all labels: the bar stays when the sample is capped
+    own_label = labels.where(F.col("toxic").isin(0, 1)).select(F.col("doc_id").cast("bigint"), F.col("toxic").cast("int"))
+    every = id_and_text(docs).join(own_label, "doc_id").select("text", "toxic")
+    held = map_rows(every, _documents, "unit string, toxic int, document bigint").distinct()
     counted = stored(
-        contexts.where(F.length("unit") >= LETTERS).groupBy("unit").agg(
+        held.groupBy("unit").agg(
             F.sum("toxic").cast("bigint").alias("a"), F.sum(1 - F.col("toxic")).cast("bigint").alias("b")
         ),
         "toxic-units",
@@ -303,7 +328,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings | None =
     total = counted.agg(F.sum("a").alias("a"), F.sum("b").alias("b")).first()
     if not total["a"] or not total["b"]:
         return none
-    # surprise: log-likelihood ratio of the unit's own share of toxic contexts against the common one
+    # surprise: log-likelihood ratio of the unit's own share of toxic documents against the common one
     share, n = total["a"] / (total["a"] + total["b"]), F.col("a") + F.col("b")
     own = F.col("a") / n
     told = F.col("a") * F.log(own / share) + F.when(F.col("b") > 0, F.col("b") * F.log((1 - own) / (1 - share))).otherwise(0)
