@@ -55,6 +55,20 @@ def test_every_code_point_as_the_library(library):
     assert [i.tolist() for i in ids] == [library(t) for t in sample]
 
 
+def test_added_tokens_in_texts_as_the_library(spark, frame):
+    """The library as the file sets it, which takes an added token in a text for that token."""
+    from tokenizers import Tokenizer
+
+    path, end = vocabulary("byte_bpe_50k.json"), "<|endoftext|>"
+    tokenizer = Tokenizer.from_file(path)
+    sample = ["plain text", f"a{end}b", end, f"it's {end}{end} \n 's", f"x <|endof{end}text|> ", "<|endoftext|", ""]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in sample]
+    assert [i.tolist() for i in pretokens.library_ids(path, sample)] == want and 50256 in want[1]
+    rows = token_files.write_and_read(frame(list(enumerate(sample))), path).collect()
+    crc = lambda ids: zlib.crc32(np.array([*ids, 0], "<u4").tobytes())
+    assert {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in rows} == {i: (len(w) + 1, crc(w)) for i, w in enumerate(want)}
+
+
 def test_tree_is_the_rank_library(ranks, rank_library):
     small = byte_bpe.TreeBpe(ranks, leaf=3)
     for leaf, sample in ((2, texts(2, 600, 40)), (5, texts(3, 600, 60)), (9, texts(4, 300, 200))):

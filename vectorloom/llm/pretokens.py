@@ -143,3 +143,32 @@ def library_words(path: str, most: int = 300_000) -> WordIds:
 
     small = tokenizer.get_vocab_size() <= 1 << 16
     return WordIds(encode, np.uint16 if small else np.uint32, most)
+
+
+@cache
+def _added(path: str):
+    """The library's tokenizer of a vocabulary file, and the tokens added to its vocabulary."""
+    import os
+
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return tokenizer, [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+
+
+def library_ids(path: str, texts: Sequence[str]) -> list[np.ndarray]:
+    """The ids of each text as the library's ``encode`` gives them, without ids around the text.
+
+    Texts that hold an added token go to the library whole; it cuts them there first.
+    """
+    words = library_words(path)
+    tokenizer, added = _added(path)
+    whole = [i for i, text in enumerate(texts) if any(token in text for token in added)]
+    if not whole:
+        return words.ids(split(texts))
+    held = set(whole)
+    ids = words.ids(split(["" if i in held else text for i, text in enumerate(texts)]))
+    for i in whole:
+        ids[i] = np.array(tokenizer.encode(texts[i], add_special_tokens=False).ids, words.dtype)
+    return ids

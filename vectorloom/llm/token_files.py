@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vectorloom.llm.common import id_and_text, map_rows, stored
-from vectorloom.llm.pretokens import library_words, split
+from vectorloom.llm.pretokens import library_ids, library_words
 from vectorloom.session import shared_folder
 
 # Fixed values of the format.
@@ -143,12 +143,11 @@ class TokenFileReader:
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[list, list[np.ndarray]]]:
     """Identifiers and ids by the tokenizers library, a few texts at a time."""
-    words = library_words(path)
     for batch in batches:
         step = max(1, batch.num_rows * TEXT_BYTES // max(1, batch.nbytes))
         for at in range(0, batch.num_rows, step):
             part = batch.slice(at, step)
-            yield part.column("doc_id").to_pylist(), words.ids(split(part.column("text").to_pylist()))
+            yield part.column("doc_id").to_pylist(), library_ids(path, part.column("text").to_pylist())
 
 
 def _write(batches, folder: str, path: str, end_id: int):
