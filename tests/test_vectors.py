@@ -128,6 +128,26 @@ def test_similarity_matrix_in_one_and_in_many_blocks(spark, monkeypatch):
     assert all(seen[f"b{i:04d}", f"b{j:04d}"] == pytest.approx(expected[i, j], abs=1e-6) for i in range(40) for j in range(40))
 
 
+@pytest.mark.parametrize("per_block", [64, 3])
+def test_similarity_matrix_has_one_form(spark, per_block):
+    """Null, empty and zero vectors are columns at every size; vectors meet those of their length."""
+    given = [[1.0, 0.0], [1.0, 1.0], [1.0, 2.0, 2.0], None, [], [0.0, 0.0], [2.0, 1.0, 2.0], [0.0, 3.0]]
+    table = spark.createDataFrame([(f"b{i}", v) for i, v in enumerate(given)], "bibcode string, embedding array<float>")
+    seen, places = {}, set()
+    for row in S.similarity_matrix(table, columns_per_block=per_block).collect():
+        assert row["columns"] == sorted(row["columns"]) and (row["bibcode"], row["block"]) not in places
+        places.add((row["bibcode"], row["block"]))
+        seen |= {(row["bibcode"], c): x for c, x in zip(row["columns"], row["cosines"], strict=True)}
+    assert len(seen) == 64
+    for i, one in enumerate(given):
+        for j, other in enumerate(given):
+            if one and other and len(one) == len(other) and any(one) and any(other):
+                want = np.dot(one, other) / np.linalg.norm(one) / np.linalg.norm(other)
+                assert seen[f"b{i}", f"b{j}"] == pytest.approx(want, abs=1e-6)
+            else:
+                assert seen[f"b{i}", f"b{j}"] is None
+
+
 def clustered(count=1200, dim=12, groups=8):
     centres = RNG.standard_normal((groups, dim)) * 3
     return (centres[np.arange(count) % groups] + 0.3 * RNG.standard_normal((count, dim))).astype(np.float32)

@@ -251,46 +251,41 @@ def knn_join(
 def similarity_matrix(vectors: DataFrame, key: str = "bibcode", columns_per_block: int = BLOCK_QUERIES) -> DataFrame:
     """Cosine of every vector with every other, as matrix rows.
 
-    One row per vector and block of columns: ``key, columns, cosines`` with the column
-    keys in ascending order and the cosines (null for a zero vector) aligned to them.
-    A set that fits one block comes out as one row per vector. The result is as large
+    One row per vector and block of columns at every size: ``key, block, columns, cosines``
+    with the column keys in ascending order and the cosines aligned to them. Every row is
+    a column too; a cosine is null with a null, empty or zero vector and between vectors
+    of different lengths. A set that fits one block has only block 0. The result is as large
     as the square of the set by nature; ``knn_join`` is the operator for a corpus.
     """
-    block = read_queries(vectors, key)
     id_type = vectors.schema[key].dataType
-    schema = T.StructType([vectors.schema[key]]).add("columns", T.ArrayType(id_type)).add("cosines", T.ArrayType(T.DoubleType()))
-    arrow = [_arrow_type(id_type), pa.list_(_arrow_type(id_type)), pa.list_(pa.float64())]
-
-    def rows_of(ids: list, mine: pa.Array, other_ids: list, others: np.ndarray) -> pa.RecordBatch:
-        order = sorted(range(len(other_ids)), key=lambda i: other_ids[i])
-        matrix = V.to_matrix(mine, others.shape[1])
-        scores = np.round(V.unit_rows(matrix) @ others[order].T, V.SCORE_DECIMALS)
-        columns = [other_ids[i] for i in order]
-        cosines = [[None if np.isnan(x) else float(x) for x in row] for row in scores]
-        data = [pa.array(ids, arrow[0]), pa.array([columns] * len(ids), arrow[1]), pa.array(cosines, arrow[2])]
-        return pa.RecordBatch.from_arrays(data, names=[key, "columns", "cosines"])
-
-    if block is not None:
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield rows_of(batch.column(key).to_pylist(), batch.column("embedding"), block.ids, block.matrix)
-
-        return vectors.select(key, "embedding").mapInArrow(run, schema)
+    schema = T.StructType([vectors.schema[key]]).add("block", T.IntegerType())
+    schema = schema.add("columns", T.ArrayType(id_type)).add("cosines", T.ArrayType(T.DoubleType()))
+    arrow = [_arrow_type(id_type), pa.int32(), pa.list_(_arrow_type(id_type)), pa.list_(pa.float64())]
+    names = [key, "block", "columns", "cosines"]
 
     other = f"other_{key}"
     sides = vectors.select(key, "embedding")
-    left, right = _cells(sides, sides.withColumnRenamed(key, other), columns_per_block, columns_per_block, key, other)
+    # both columns get names of their own: a cogroup of a frame with itself loses shared ones
+    others = sides.select(F.col(key).alias(other), F.col("embedding").alias("other_embedding"))
+    left, right = _cells(sides, others, columns_per_block, columns_per_block, key, other)
 
     def cell(mine: pa.Table, theirs: pa.Table) -> pa.Table:
         if not mine.num_rows or not theirs.num_rows:
-            return pa.Table.from_batches([], pa.schema(list(zip([key, "columns", "cosines"], arrow))))
-        vectors_there = pa.concat_arrays(theirs.column("embedding").chunks)
-        dim = int(V.as_rows(vectors_there)[2].max())
-        others = V.unit_rows(V.to_matrix(vectors_there, dim))
+            return pa.Table.from_batches([], pa.schema(list(zip(names, arrow))))
+        columns = theirs.column(other).to_pylist()
+        order = sorted(range(len(columns)), key=lambda i: (False,) if columns[i] is None else (True, columns[i]))
+        columns = [columns[i] for i in order]
         here = pa.concat_arrays(mine.column("embedding").chunks)
-        return pa.Table.from_batches(
-            [rows_of(mine.column(key).to_pylist(), here, theirs.column(other).to_pylist(), others)]
-        )
+        there = pa.concat_arrays(theirs.column("other_embedding").chunks).take(pa.array(order))
+        scores = np.full((mine.num_rows, len(columns)), np.nan)
+        lengths = V.as_rows(there)[2]
+        for dim in np.unique(lengths[lengths > 0]):
+            at = np.flatnonzero(lengths == dim)
+            facing = V.unit_rows(V.to_matrix(there.take(pa.array(at)), int(dim)))
+            scores[:, at] = np.round(V.unit_rows(V.to_matrix(here, int(dim))) @ facing.T, V.SCORE_DECIMALS)
+        cosines = [[None if np.isnan(x) else float(x) for x in row] for row in scores]
+        block = theirs.column("_col")[0].as_py()
+        data = [mine.column(key).to_pylist(), [block] * mine.num_rows, [columns] * mine.num_rows, cosines]
+        return pa.Table.from_arrays([pa.array(d, a) for d, a in zip(data, arrow)], names=names)
 
     return left.groupBy("_row", "_col").cogroup(right.groupBy("_row", "_col")).applyInArrow(cell, schema)

@@ -96,7 +96,10 @@ def cosine_pairs(spark, sf_dir):
 )
 def similarity_matrix(spark, sf_dir):
     """Cosines among the benchmark texts, one matrix row per text."""
-    matrix = S.similarity_matrix(_benchmark_vectors(spark, sf_dir), "query_id")
+    blocks = S.similarity_matrix(_benchmark_vectors(spark, sf_dir), "query_id")
+    cells = F.array_sort(F.flatten(F.collect_list(F.arrays_zip("columns", "cosines")))).alias("cells")
+    matrix = blocks.groupBy("query_id").agg(cells)
+    matrix = matrix.select("query_id", F.col("cells.columns").alias("columns"), F.col("cells.cosines").alias("cosines"))
     return matrix.select("query_id", F.size("columns").cast("bigint").alias("columns"), _digits("cosines").alias("cosines"))
 
 
