@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from vectorloom.llm import byte_bpe, chunk_prints, exact_dedup, ngram_join, packing, quality, secret_scan, sharding, token_files, toxicity
+from vectorloom.llm import byte_bpe, chunk_prints, exact_dedup, lexical_search, ngram_join, packing, quality, secret_scan, sharding, token_files, toxicity
 from vectorloom.llm.common import documents
 from vectorloom.plans.registry import query
 
@@ -103,3 +103,34 @@ def op9_ngram_join(spark, sf_dir):
 @query("op10_quality")
 def op10_quality(spark, sf_dir):
     return quality.score_documents(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+OP11_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), corpus AS (
+  SELECT count(*) AS nd, sum(len(w))::BIGINT AS nt FROM words WHERE len(w) > 0
+), wanted AS (
+  SELECT item_id, t, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY item_id, t
+), held AS (
+  SELECT doc_id, t, count(*) AS tf, any_value(n) AS n FROM (SELECT doc_id, len(w) AS n, unnest(w) AS t FROM words)
+  WHERE t IN (SELECT t FROM wanted) GROUP BY doc_id, t
+), weights AS (
+  SELECT t, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM held, corpus GROUP BY t, nd
+), scored AS (
+  SELECT item_id, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // nt))))::BIGINT AS score
+  FROM wanted JOIN held USING (t) JOIN weights USING (t), corpus GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op11_lexical_search", OP11_SQL)
+def op11_lexical_search(spark, sf_dir):
+    return lexical_search.rank_documents(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"), k=20)
