@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from vectorloom.llm import byte_bpe, chunk_prints, exact_dedup, lexical_search, ngram_join, packing, quality, secret_scan, sharding, token_files, toxicity
+from vectorloom.llm import byte_bpe, chunk_prints, exact_dedup, lexical_search, ngram_join, packing, prefix_trie, quality, secret_scan, sharding, token_files, toxicity
 from vectorloom.llm.common import documents
 from vectorloom.plans.registry import query
 
@@ -134,3 +134,41 @@ SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 20
 @query("op11_lexical_search", OP11_SQL)
 def op11_lexical_search(spark, sf_dir):
     return lexical_search.rank_documents(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"), k=20)
+
+
+OP13_SQL = r"""
+WITH turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
+         coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT c, list({'role': role, 'text': text} ORDER BY i) AS l, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    flatten(list_transform(range(1, length(c::VARCHAR) + 1),
+      lambda j: list_prepend(ascii(substr(c::VARCHAR, j, 1))::BIGINT, [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+    lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) ELSE xor(x >> 1, (x & 1) * 3988292384) END)) % 6 AS h
+  FROM turns GROUP BY c
+), rebuilt AS (
+  SELECT o.c, list_concat(coalesce(b.l, [])[1:o.h], o.l[o.h + 1:]) AS l FROM own o LEFT JOIN own b ON b.c = o.c - o.c % 100
+), prefixes AS (
+  SELECT c, len(l) AS n, d, l[1:d] AS p, CASE WHEN d > 0 THEN l[1:d - 1] END AS up, coalesce(length(l[d].text), 0) AS chars
+  FROM (SELECT c, l, unnest(range(0, len(l) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT d, p, min(c) AS conv_id, any_value(up) AS up, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved,
+         coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '') AS ends FROM prefixes GROUP BY d, p
+), linked AS (
+  SELECT n.*, u.conv_id AS parent_conv_id FROM nodes n LEFT JOIN nodes u ON u.d = n.d - 1 AND u.p = n.up
+), children AS (
+  SELECT parent_conv_id AS conv_id, d - 1 AS d, count(*) AS n FROM linked WHERE d > 0 GROUP BY ALL
+), counted AS (
+  SELECT l.*, coalesce(k.n, 0) AS n_children FROM linked l LEFT JOIN children k ON k.conv_id = l.conv_id AND k.d = l.d
+), totals AS (
+  SELECT a.d, a.conv_id, sum(b.saved)::BIGINT AS saved_tokens, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves
+  FROM counted a JOIN counted b ON b.d >= a.d AND b.p[1:a.d] = a.p GROUP BY a.d, a.conv_id
+)
+SELECT c.conv_id, c.d AS depth, c.parent_conv_id, c.n_convs, c.n_children, t.n_leaves, t.saved_tokens, sha256(c.ends) AS ends_sha256
+FROM counted c JOIN totals t ON t.d = c.d AND t.conv_id = c.conv_id
+"""
+
+
+@query("op13_prefix_trie", OP13_SQL)
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.build(documents(spark, sf_dir, "conversations"))
