@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from vectorloom.llm import byte_bpe, chunk_prints, exact_dedup, lexical_search, ngram_join, packing, prefix_trie, quality, secret_scan, sharding, token_files, toxicity
+from vectorloom.llm import byte_bpe, chunk_prints, exact_dedup, lexical_search, ngram_join, ngram_lm, packing, prefix_trie, quality, secret_scan, sharding, token_files, toxicity
 from vectorloom.llm.common import documents
 from vectorloom.plans.registry import query
 
@@ -136,6 +136,11 @@ def op11_lexical_search(spark, sf_dir):
     return lexical_search.rank_documents(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"), k=20)
 
 
+@query("op12_ngram_lm")
+def op12_ngram_lm(spark, sf_dir):
+    return ngram_lm.score_documents(documents(spark, sf_dir))
+
+
 OP13_SQL = r"""
 WITH turns AS (
   SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
