@@ -43,7 +43,7 @@ U64 = np.uint64
 HOT_SHARE = 1 << 14
 SHARD_TOKENS = 1 << 21
 TASK_SHARDS = 4
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 SLICE_ROWS = 1 << 16
 WORD_BITS = 40  # of a word behind its context: its upper bits
 CONTEXT_BITS = 64 - WORD_BITS  # contexts of a shard stay below 2**24
@@ -81,22 +81,36 @@ def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit words of all texts, each text closed by the end (0), and the text of each token."""
+def tokens(texts: pa.Array, codes: Codes | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of some texts in order, the place of each token's word there, and its text.
+
+    Words are hashes, frequent ones ``codes``; each text is closed by the end (word 0).
+    """
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     rows = len(texts)
     words = lists.flatten()
-    text = np.repeat(np.arange(rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+    text = np.repeat(np.arange(rows, dtype=np.int32), lists.value_lengths().to_numpy(zero_copy_only=False))
     filled = pc.not_equal(words, "")
     text = text[filled.to_numpy(zero_copy_only=False)]
     coded = words.filter(filled).dictionary_encode()
     top = 1 << 63
     hashes = (top | xxhash.xxh64_intdigest(word) for word in coded.dictionary.cast(pa.binary()).to_pylist())
-    hashes = np.fromiter(hashes, U64, len(coded.dictionary))
-    out = np.zeros(len(text) + rows, U64)
-    out[np.arange(len(text)) + text] = hashes[coded.indices.to_numpy()]
+    keys = np.concatenate([np.zeros(1, U64), np.fromiter(hashes, U64, len(coded.dictionary))])
+    if codes is not None:
+        keys = codes.apply(keys)
+    order = np.argsort(keys, kind="stable")
+    place = np.empty(len(keys), np.int32)
+    place[order] = np.arange(len(keys), dtype=np.int32)
+    out = np.full(len(text) + rows, place[0], np.int32)
+    out[np.arange(len(text)) + text] = place[coded.indices.to_numpy() + 1]
     lengths = np.bincount(text, minlength=rows) + 1
-    return out, np.repeat(np.arange(rows), lengths)
+    return keys[order], out, np.repeat(np.arange(rows, dtype=np.int32), lengths)
+
+
+def _bigrams(place: np.ndarray, end: int) -> np.ndarray:
+    """Context and word of every token in one number that sorts like the two; the end comes before a text."""
+    context = np.concatenate([[end], place[:-1]]).astype(np.int64)
+    return context << 32 | place
 
 
 def _mix(values: np.ndarray) -> np.ndarray:
@@ -155,7 +169,7 @@ def _width(values: np.ndarray) -> int:
 def pack(columns: list[np.ndarray]) -> bytes:
     """Columns of whole numbers, the first sorted (kept as runs), in one compressed piece."""
     first, *rest = columns
-    starts = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]])) if len(first) else np.zeros(0, int)
+    starts = _starts(first)
     runs = np.diff(np.append(starts, len(first)))
     parts = [first[starts], runs, *rest]
     widths = [_width(p) for p in parts]
@@ -178,7 +192,7 @@ def _packets(shard: np.ndarray, columns: list[np.ndarray], turn: int, row: int)
     order = np.argsort(shard, kind="stable")
     shard = shard[order]
     columns = [c[order] for c in columns]
-    starts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])) if len(shard) else np.zeros(0, int)
+    starts = _starts(shard)
     ends = np.append(starts[1:], len(shard))
     payloads = [pack([c[a:b] for c in columns]) for a, b in zip(starts, ends, strict=True)]
     yield _packet_batch(shard[starts], turn, row, payloads)
@@ -193,16 +207,13 @@ def _packet_batch(shards, turn: int, row: int, payloads: list[bytes]) -> pa.Reco
     return pa.RecordBatch.from_arrays(columns, ["shard", "turn", "row", "payload"])
 
 
-def _distinct(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows in order, and the place of each one's first row in that order."""
-    order = np.lexsort(columns[::-1])
-    columns = [c[order] for c in columns]
-    change = np.zeros(len(order), bool)
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where the rows of sorted columns change."""
+    change = np.zeros(len(columns[0]), bool)
     change[:1] = True
-    for c in columns:
-        change[1:] |= c[1:] != c[:-1]
-    starts = np.flatnonzero(change)
-    return [c[starts] for c in columns], np.append(starts, len(order))
+    for column in columns:
+        change[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(change)
 
 
 # ---- fitting ----------------------------------------------------------------------------
@@ -210,9 +221,9 @@ def _distinct(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
 
 def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in _gathered(batches):
-        words, _ = tokens(_one(table, "text"))
-        key, count = np.unique(words, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count)], ["word", "n"])
+        keys, place, _ = tokens(_one(table, "text"))
+        count = np.bincount(place, minlength=len(keys))
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(count)], ["word", "n"])
 
 
 def _one(table: pa.Table, column: str) -> pa.Array:
@@ -221,11 +232,12 @@ def _one(table: pa.Table, column: str) -> pa.Array:
 
 def _bigram_packets(batches: Iterable[pa.RecordBatch], codes: Codes, shards: int) -> Iterator[pa.RecordBatch]:
     for table in _gathered(batches):
-        words = codes.apply(tokens(_one(table, "text"))[0])
-        context = np.concatenate([np.zeros(1, U64), words[:-1]])  # the end comes before a text
-        (context, word), starts = _distinct([context, _upper(words)])
-        shard = _shard_of(context, word << U64(64 - WORD_BITS), codes.hot(context), shards)
-        yield from _packets(shard, [context, word, np.diff(starts).astype(U64)], 0, 0)
+        keys, place, _ = tokens(_one(table, "text"), codes)
+        pairs = np.sort(_bigrams(place, int(np.searchsorted(keys, 0))))
+        starts = _starts(pairs)
+        context, word = keys[pairs[starts] >> 32], keys[pairs[starts] & 0xFFFFFFFF]
+        shard = _shard_of(context, word, codes.hot(context), shards)
+        yield from _packets(shard, [context, _upper(word), np.diff(np.append(starts, len(pairs))).astype(U64)], 0, 0)
 
 
 def _merge_counts(batches: Iterable[pa.RecordBatch], codes: Codes) -> Iterator[pa.RecordBatch]:
@@ -235,8 +247,7 @@ def _merge_counts(batches: Iterable[pa.RecordBatch], codes: Codes) -> Iterator[p
         columns = [np.concatenate([p[k] for p in parts]) for k in range(3)]
         order = np.lexsort((columns[1], columns[0]))
         context, word, count = (c[order] for c in columns)
-        change = np.concatenate([[True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])])
-        starts = np.flatnonzero(change)
+        starts = _starts(context, word)
         context, word, count = context[starts], word[starts], np.add.reduceat(count, starts)
         seen = np.bincount(np.minimum(count, U64(5)).astype(np.int64), minlength=6)[1:5]
         hot = codes.hot(context)
@@ -333,7 +344,7 @@ class Shard:
 
     @staticmethod
     def pack(context: np.ndarray, word: np.ndarray, count: np.ndarray, model: Model) -> bytes:
-        starts = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+        starts = _starts(context)
         keys, codes = context[starts], model.codes
         if len(keys) >= 1 << CONTEXT_BITS:
             raise ValueError("too many contexts in one shard: fit with more shards")
@@ -472,9 +483,7 @@ def _event_packets(batches: Iterable[pa.RecordBatch], codes: Codes, shards: int)
     """Bigrams with their document, as packets by shard; documents themselves go to shard -1."""
     first = TaskContext.get().partitionId() << 40
     for turn, table in enumerate(_gathered(batches)):
-        words, text = tokens(_one(table, "text"))
-        words = codes.apply(words)
-        context = np.concatenate([np.zeros(1, U64), words[:-1]])
+        keys, place, text = tokens(_one(table, "text"), codes)
         lengths = np.bincount(text, minlength=table.num_rows)
         rows = pa.RecordBatch.from_arrays(
             [*(_one(table, c) for c in ("doc_id", "held_out")), pa.array(lengths)], ["doc_id", "held_out", "n_tokens"]
@@ -483,9 +492,14 @@ def _event_packets(batches: Iterable[pa.RecordBatch], codes: Codes, shards: int)
         with pa.ipc.new_stream(sink, rows.schema) as writer:
             writer.write_batch(rows)
         yield _packet_batch([-1], turn & 7, first, [sink.getvalue().to_pybytes()])
-        shard = _shard_of(context, words, codes.hot(context), shards)
-        (shard, context, word, text), starts = _distinct([shard, context, _upper(words), text])
-        yield from _packets(shard, [context, word, text.astype(U64), np.diff(starts).astype(U64)], turn & 7, first)
+        pairs = _bigrams(place, int(np.searchsorted(keys, 0)))
+        order = np.argsort(pairs, kind="stable")  # texts rise already
+        pairs, text = pairs[order], text[order]
+        starts = _starts(pairs, text)
+        times = np.diff(np.append(starts, len(pairs))).astype(U64)
+        context, word = keys[pairs[starts] >> 32], keys[pairs[starts] & 0xFFFFFFFF]
+        shard = _shard_of(context, word, codes.hot(context), shards)
+        yield from _packets(shard, [context, _upper(word), text[starts].astype(U64), times], turn & 7, first)
         first += table.num_rows
 
 
@@ -537,8 +551,7 @@ def _score_bigrams(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[
             opened, levels = shard, _open(system, root, shard)
         context, word, text, times = unpack(payload, 4)
         # sorted by context and word: one look-up per context and per bigram
-        change = np.concatenate([[True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])])
-        starts = np.flatnonzero(change)
+        starts = _starts(context, word)
         runs = np.diff(np.append(starts, len(word)))
         keys, at = np.unique(context[starts], return_inverse=True)
         hot, pair_word = codes.hot(keys), word[starts]
