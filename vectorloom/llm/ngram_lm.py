@@ -43,7 +43,7 @@ U64 = np.uint64
 HOT_SHARE = 1 << 14
 SHARD_TOKENS = 1 << 21
 TASK_SHARDS = 4
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 SLICE_ROWS = 1 << 16
 WORD_BITS = 40  # of a word behind its context: its upper bits
 CONTEXT_BITS = 64 - WORD_BITS  # contexts of a shard stay below 2**24
@@ -191,10 +191,9 @@ def _packets(shard: np.ndarray, columns: list[np.ndarray], turn: int, row: int)
     """Rows sorted by the columns, as one packet per shard."""
     order = np.argsort(shard, kind="stable")
     shard = shard[order]
-    columns = [c[order] for c in columns]
     starts = _starts(shard)
     ends = np.append(starts[1:], len(shard))
-    payloads = [pack([c[a:b] for c in columns]) for a, b in zip(starts, ends, strict=True)]
+    payloads = [pack([c[order[a:b]] for c in columns]) for a, b in zip(starts, ends, strict=True)]
     yield _packet_batch(shard[starts], turn, row, payloads)
 
 
