@@ -41,10 +41,11 @@ from vectorloom.session import shared_folder, ship_package
 
 U64 = np.uint64
 HOT_SHARE = 1 << 14
-SHARD_TOKENS = 1 << 21
-TASK_SHARDS = 4
+SHARD_TOKENS = 1 << 20
+TASK_SHARDS = 8
 SLICE_BYTES = 4 << 20
 SLICE_ROWS = 1 << 16
+EVENTS = 1 << 18  # bigrams looked up at once
 WORD_BITS = 40  # of a word behind its context: its upper bits
 CONTEXT_BITS = 64 - WORD_BITS  # contexts of a shard stay below 2**24
 STEP = 4096  # probabilities are kept as -log10 in steps of 1 / STEP
@@ -519,22 +520,39 @@ def _no_packet(size: int) -> list[pa.Array]:
     return [pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())]
 
 
-def _sums(row: int, text: np.ndarray, times: np.ndarray, known, base, score) -> pa.RecordBatch:
-    """Sums per document of the events of a packet."""
-    text, times = text.astype(np.int64), times.astype(np.int64)
-    present = np.unique(text)
-    added = [np.bincount(text, weights=v * times, minlength=int(present[-1]) + 1)[present] for v in (known, base, score)]
+def _sums(row: np.ndarray, times: np.ndarray, known, base, score) -> pa.RecordBatch:
+    """Sums per document of some events."""
+    present, at = np.unique(row, return_inverse=True)
+    added = [np.bincount(at, weights=v * times, minlength=len(present)) for v in (known, base, score)]
     size = len(present)
     columns = [
-        pa.array(present + row), pa.nulls(size, pa.int64()), pa.nulls(size, pa.bool_()), pa.nulls(size, pa.int64()),
+        pa.array(present), pa.nulls(size, pa.int64()), pa.nulls(size, pa.bool_()), pa.nulls(size, pa.int64()),
         pa.array(np.rint(added[0]).astype(np.int64)), pa.array(added[1]), pa.array(added[2]), *_no_packet(size),
     ]
     return pa.RecordBatch.from_arrays(columns, SCORED_NAMES)
 
 
-def _packet_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+def _events(batches: Iterable[pa.RecordBatch], columns: int) -> Iterator[tuple[int, list]]:
+    """Packets of a shard put together to about ``EVENTS`` rows, the column before the last as numbers of documents.
+
+    The documents' own packets (shard -1) come as they are, with the number of their first row.
+    """
+    held: list[list[np.ndarray]] = []
+    size, shard = 0, None
     for batch in batches:
-        yield from zip(*(batch.column(c).to_pylist() for c in ("shard", "turn", "row", "payload")), strict=True)
+        for s, row, payload in zip(*(batch.column(c).to_pylist() for c in ("shard", "row", "payload")), strict=True):
+            if s < 0:
+                yield s, [row, payload]
+                continue
+            if held and (s != shard or size >= EVENTS):
+                yield shard, [np.concatenate(c) for c in zip(*held, strict=True)]
+                held, size = [], 0
+            part = unpack(payload, columns)
+            part[-2] = part[-2].astype(np.int64) + row
+            held.append(part)
+            size, shard = size + len(part[0]), s
+    if held:
+        yield shard, [np.concatenate(c) for c in zip(*held, strict=True)]
 
 
 def _score_bigrams(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -542,58 +560,66 @@ def _score_bigrams(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[
     codes, hot_weights = model.codes, np.array(model.weights, np.int64)
     system, root = fs.FileSystem.from_uri(model.folder)
     opened, levels = None, None
-    for shard, turn, row, payload in _packet_rows(batches):
+    for shard, columns in _events(batches, 4):
         if shard < 0:
-            yield from _header(row, payload)
+            yield from _header(*columns)
             continue
         if shard != opened:
             opened, levels = shard, _open(system, root, shard)
-        context, word, text, times = unpack(payload, 4)
+        order = np.lexsort((columns[1], columns[0]))
+        context, word, row, times = (c[order] for c in columns)
         # sorted by context and word: one look-up per context and per bigram
         starts = _starts(context, word)
         runs = np.diff(np.append(starts, len(word)))
-        keys, at = np.unique(context[starts], return_inverse=True)
-        hot, pair_word = codes.hot(keys), word[starts]
+        first = _starts(context[starts])
+        keys, pair_word = context[starts[first]], word[starts]
+        at = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(starts))))
+        code = np.full(len(starts), -1, np.int64)
+        count, weight = np.zeros((2, len(keys)), np.int64)
         if levels:
             place, count, weight = levels.context(keys)
             there = place[at] >= 0
-            code = np.full(len(starts), -1, np.int64)
             code[there] = levels.next_word(place[at][there], pair_word[there])
-        else:
-            count, weight, code = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), np.full(len(starts), -1)
+        hot = codes.hot(keys)
         count[hot], weight[hot] = codes.counts[codes.place(keys[hot])], hot_weights[codes.place(keys[hot])]
         unseen = code < 0
         score = np.where(unseen, -weight[at], -code) / STEP
         coded = pair_word >> U64(WORD_BITS - 1) == 0
         short = unseen & coded
         score[short] += np.log10((codes.counts[pair_word[short].astype(np.int64)] + 1) / model.size)
-        counts = np.repeat(count[at], runs)
-        yield _sums(row, text, times, counts > 0, np.log10((counts + 1) / model.size), np.repeat(score, runs))
+        base = np.log10((count + 1) / model.size)
+        times = times.astype(np.int64)
+        yield _sums(row, times, np.repeat((count > 0)[at], runs), np.repeat(base[at], runs), np.repeat(score, runs))
         asked = np.repeat(unseen & ~coded, runs)
         if asked.any():
-            word, text, times = word[asked], text[asked], times[asked]
-            shard = (_mix(word) % U64(model.shards)).astype(np.int32)
-            order = np.lexsort((text, word))
-            for packet in _packets(shard[order], [word[order], text[order], times[order]], turn, row):
-                size = packet.num_rows
-                empty = [pa.nulls(size, pa.int64()), pa.nulls(size, pa.bool_()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64())]
-                floats = [pa.nulls(size, pa.float64())] * 2
-                columns = [packet.column("row"), *empty, *floats, *(packet.column(c) for c in ("shard", "turn", "payload"))]
-                yield pa.RecordBatch.from_arrays(columns, SCORED_NAMES)
+            yield from _unseen(word[asked], row[asked], times[asked], model.shards)
+
+
+def _unseen(word: np.ndarray, row: np.ndarray, times: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
+    """Packets that ask for the unigram of words, with their documents counted from the least one."""
+    least = int(row.min())
+    order = np.lexsort((row, word))
+    word, row, times = word[order], row[order] - least, times[order]
+    shard = (_mix(word) % U64(shards)).astype(np.int32)
+    for packet in _packets(shard, [word, row.astype(U64), times.astype(U64)], least & 7, least):
+        size = packet.num_rows
+        empty = [pa.nulls(size, pa.int64()), pa.nulls(size, pa.bool_()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64())]
+        floats = [pa.nulls(size, pa.float64())] * 2
+        columns = [packet.column("row"), *empty, *floats, *(packet.column(c) for c in ("shard", "turn", "payload"))]
+        yield pa.RecordBatch.from_arrays(columns, SCORED_NAMES)
 
 
 def _score_words(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """Adds the unigram of words not seen behind their context."""
     system, root = fs.FileSystem.from_uri(model.folder)
     opened, levels = None, None
-    for shard, _, row, payload in _packet_rows(batches):
+    for shard, (word, row, times) in _events(batches, 3):
         if shard != opened:
             opened, levels = shard, _open(system, root, shard)
-        word, text, times = unpack(payload, 3)
         keys, at = np.unique(word, return_inverse=True)
         count = levels.word(keys) if levels else np.zeros(len(keys), np.int64)
         nothing = np.zeros(len(word))
-        yield _sums(row, text, times, nothing, nothing, np.log10((count + 1) / model.size)[at])
+        yield _sums(row, times.astype(np.int64), nothing, nothing, np.log10((count + 1) / model.size)[at])
 
 
 def score(
