@@ -1,6 +1,7 @@
 """Vector functions, search, approximate search, statistics and ranking, against NumPy."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +9,7 @@ from vectorloom.functions import vectors as V
 from vectorloom.operators import ann as N
 from vectorloom.operators import embed as E
 from vectorloom.operators import hybrid as H
+from vectorloom.operators import passes as P
 from vectorloom.operators import search as S
 from vectorloom.operators import stats as A
 
@@ -80,13 +82,35 @@ def test_topk_and_fewer_rows_than_k(spark):
         assert row["score"] ** 2 == pytest.approx(2 - 2 * cosine[row["bibcode"]], abs=1e-6)
 
 
-@pytest.mark.parametrize("cells", [False, True])
-def test_knn_join_against_brute_force(spark, cells):
+@pytest.mark.parametrize("passes", [False, True])
+def test_knn_join_against_brute_force(spark, passes):
     corpus = frame(spark, POINTS, extra=[("zero", [0.0] * 12), ("none", None)])
-    found = S.knn_join(corpus, frame(spark, QUERIES, "query_id", "q"), 7, block_rows=64, force_cells=cells)
+    found = S.knn_join(corpus, frame(spark, QUERIES, "query_id", "q"), 7, force_passes=passes)
     assert hits(found) == sorted(nearest(POINTS, QUERIES, 7))
 
 
+def test_knn_join_in_several_passes_moves_no_corpus(spark, monkeypatch):
+    corpus = frame(spark, POINTS)
+    queries = frame(spark, QUERIES, "query_id", "q", [("empty", []), ("none", None), ("zero", [0.0] * 12)])
+    tables = [t.num_rows for t in P.query_passes(queries, "query_id", 2, 1 << 20)]
+    assert sum(tables) == 10 and max(tables) <= 2
+    found = P.nearest_by_passes(corpus, queries, 6, "bibcode", "query_id", pass_queries=2)
+    assert hits(found) == sorted(nearest(POINTS, QUERIES, 6))
+    blocks = P.blocks_by_length(np.array(["a"], object), pa.array([[1.0] * 12]))
+    schema = P.hit_schema(corpus, queries, "bibcode", "query_id")
+    plan = P.nearest_in_place(frame(spark, POINTS).coalesce(2), blocks, 3, "bibcode", "query_id", schema)
+    assert "Generate" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_passes_merge_the_hits_of_a_repeated_query_key(spark):
+    corpus = frame(spark, POINTS)
+    both = [("q", [float(x) for x in row]) for row in QUERIES[:2]]
+    asked = spark.createDataFrame(both, "query_id string, embedding array<float>").repartition(2)
+    found = P.nearest_by_passes(corpus, asked, 5, "bibcode", "query_id", pass_queries=1).collect()
+    scores = np.round(unit(POINTS) @ unit(QUERIES[:2]).T, V.SCORE_DECIMALS).ravel()
+    assert [r["score"] for r in sorted(found, key=lambda r: r["rank"])] == pytest.approx(sorted(scores)[::-1][:5])
+
+
 def test_knn_join_switches_when_queries_do_not_fit(spark, monkeypatch):
     monkeypatch.setattr(S, "BLOCK_QUERIES", 4)
     queries = frame(spark, QUERIES, "query_id", "q")
@@ -94,12 +118,12 @@ def test_knn_join_switches_when_queries_do_not_fit(spark, monkeypatch):
     assert hits(S.knn_join(frame(spark, POINTS), queries, 3)) == sorted(nearest(POINTS, QUERIES, 3))
 
 
-@pytest.mark.parametrize("cells", [False, True])
-def test_many_equal_vectors_rank_by_id(spark, cells):
+@pytest.mark.parametrize("passes", [False, True])
+def test_many_equal_vectors_rank_by_id(spark, passes):
     """A third of all rows is the same vector: ties go to the lower id, none is lost."""
     points = POINTS[:300].copy()
     points[::3] = QUERIES[0]
-    found = S.knn_join(frame(spark, points), frame(spark, QUERIES[:2], "query_id", "q"), 20, block_rows=50, force_cells=cells)
+    found = S.knn_join(frame(spark, points), frame(spark, QUERIES[:2], "query_id", "q"), 20, force_passes=passes)
     assert hits(found) == sorted(nearest(points, QUERIES[:2], 20))
 
 
@@ -173,6 +197,46 @@ def test_approximate_search(spark, kind, tmp_path):
     assert "PartitionFilters" in plan and "cell#" in plan
 
 
+def test_nearest_flips_are_those_of_a_full_listing():
+    for seed, bits in ((1, 1), (2, 5), (3, 12)):
+        margins = np.random.default_rng(seed).random(bits)
+        masks = np.arange(1 << bits)
+        cost = (((masks[:, None] >> np.arange(bits)) & 1) * margins).sum(axis=1)
+        count = min(200, 1 << bits)
+        assert N.nearest_flips(margins, count) == masks[np.argsort(cost, kind="stable")][:count].tolist()
+        assert sorted(N.nearest_flips(margins, 1 << bits)) == masks.tolist()
+
+
+def test_twenty_planes(spark):
+    planes = N.Hyperplanes(12, 20, seed=2)
+    assert planes.probes(QUERIES.astype(float), 50).shape == (9, 50)
+    corpus = frame(spark, np.concatenate([POINTS, QUERIES]))
+    filed = N.assign_cells(corpus, planes)
+    assert filed.schema["cell"].dataType.simpleString() == "bigint"
+    found = N.approximate_knn(filed, planes, frame(spark, QUERIES, "query_id", "q"), 1, probes=3).collect()
+    assert {(r["query_id"], r["bibcode"]) for r in found} == {(f"q{i:04d}", f"b{400 + i:04d}") for i in range(9)}
+
+
+@pytest.mark.parametrize("kind", ["centroids", "planes"])
+def test_routed_queries_give_the_same_and_read_only_their_cells(spark, kind, tmp_path):
+    both = clustered(640)
+    corpus = frame(spark, both[40:], extra=[(f"b{n:04d}", [float(x) for x in both[40]]) for n in range(700, 750)])
+    asked = frame(spark, both[:40], "query_id", "q", [("empty", []), ("short", [1.0])])
+    quantizer = N.Centroids.fit(corpus, 8, seed=2) if kind == "centroids" else N.Hyperplanes(12, 4, seed=2)
+    N.write_index(N.assign_cells(corpus, quantizer), str(tmp_path / "index"))
+    filed = N.read_index(spark, str(tmp_path / "index"))
+    fitting = frame(spark, both[:40], "query_id", "q")
+    within = hits(N.approximate_knn(filed, quantizer, fitting, 10, probes=2))
+    assert hits(N.approximate_knn(filed, quantizer, asked, 10, probes=2, force_routes=True)) == within
+    # hot cells and many queries in parts
+    chosen = lambda matrix: quantizer.probes(matrix, 2)
+    parted = P.nearest_in_cells(filed, asked, chosen, 12, 10, "bibcode", "query_id", part_rows=16, part_queries=3)
+    assert hits(parted) == within
+    one = P.nearest_in_cells(filed, fitting.limit(1), lambda m: quantizer.probes(m, 1), 12, 3, "bibcode", "query_id")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(cell" in plan
+
+
 def test_probes_hold_beyond_one_block(spark, monkeypatch):
     """More queries than fit a block give the rows that blocks of them give."""
     both = clustered(640)

@@ -8,6 +8,7 @@ cells. A cell is only a folder: one that holds most vectors is many files and ta
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 
 import numpy as np
@@ -20,10 +21,11 @@ from pyspark.sql import types as T
 
 from vectorloom.functions import vectors as V
 from vectorloom.operators import search as S
+from vectorloom.operators.passes import nearest_in_cells
 from vectorloom.operators.positions import top_per_group
 
-# a query is compared with every cell to choose its probes: at most 4,096 of them
-MAX_BITS = 12
+# cells are 64-bit numbers
+MAX_BITS = 62
 
 
 class Centroids:
@@ -73,22 +75,40 @@ class Hyperplanes:
 
     def cell_of(self, matrix: np.ndarray) -> np.ndarray:
         sides = np.nan_to_num(V.unit_rows(matrix) @ self.planes.T, nan=-1.0) > 0
-        return sides @ (1 << np.arange(len(self.planes)))
+        return sides.astype(np.int64) @ (np.int64(1) << np.arange(len(self.planes), dtype=np.int64))
 
     def probes(self, matrix: np.ndarray, count: int) -> np.ndarray:
         """Own cell first, then the cells behind the nearest planes."""
-        margins = V.unit_rows(matrix) @ self.planes.T
-        bits = 1 << np.arange(len(self.planes))
-        flips = ((np.arange(1 << len(self.planes))[:, None] & bits) > 0).astype(float)
-        cost = np.abs(margins) @ flips.T
-        nearest = np.argsort(cost, axis=1, kind="stable")[:, :count]
-        return self.cell_of(matrix)[:, None] ^ nearest
+        margins = np.abs(V.unit_rows(matrix) @ self.planes.T)
+        count = min(count, 1 << len(self.planes))
+        flips = np.array([nearest_flips(row, count) for row in margins], np.int64).reshape(len(matrix), count)
+        return self.cell_of(matrix)[:, None] ^ flips
 
     @property
     def dim(self) -> int:
         return self.planes.shape[1]
 
 
+def nearest_flips(margins: np.ndarray, count: int) -> list[int]:
+    """The ``count`` cheapest sets of planes to cross, as bit masks, by rising sum of margins.
+
+    Sets grow from a heap: from a set whose farthest plane is the i-th nearest come the set
+    with the next plane added and the one with it in place of the i-th. Each set is reached
+    once and after a cheaper one, so 2 * ``count`` of them are looked at, not all 2**bits.
+    """
+    order = np.argsort(margins, kind="stable").tolist()
+    cost = margins[order].tolist()
+    flips, heap = [0], [(cost[0], 0, 1 << order[0])]
+    while len(flips) < count and heap:
+        total, last, mask = heapq.heappop(heap)
+        flips.append(mask)
+        if last + 1 < len(order):
+            following = 1 << order[last + 1]
+            heapq.heappush(heap, (total + cost[last + 1], last + 1, mask | following))
+            heapq.heappush(heap, (total - cost[last] + cost[last + 1], last + 1, mask ^ (1 << order[last]) | following))
+    return flips
+
+
 Quantizer = Centroids | Hyperplanes
 
 
@@ -109,11 +129,11 @@ def quantizer_from(kind: str, matrix: np.ndarray) -> Quantizer:
 def assign_cells(vectors: DataFrame, quantizer: Quantizer) -> DataFrame:
     """Add ``cell``; vectors that cannot be scored leave."""
 
-    @F.arrow_udf(T.IntegerType())
+    @F.arrow_udf(T.LongType())
     def cell(column: pa.Array) -> pa.Array:
         matrix = V.to_matrix(column, quantizer.dim)
         missing = ~np.isfinite(V.unit_rows(matrix)).all(axis=1)
-        return pa.array(quantizer.cell_of(matrix).astype(np.int32), mask=missing)
+        return pa.array(quantizer.cell_of(matrix).astype(np.int64), mask=missing)
 
     # declared nondeterministic so that filters on the cell do not compute it again
     filed = vectors.withColumn("cell", cell.asNondeterministic()("embedding"))
@@ -137,21 +157,25 @@ def approximate_knn(
     probes: int = 4,
     key: str = "bibcode",
     query_key: str = "query_id",
+    force_routes: bool = False,
 ) -> DataFrame:
-    """The best ``k`` rows of each query among its probed cells.
+    """The best ``k`` rows of each query among its probed cells; only those are read.
 
-    A query table that fits one block prunes the scan to the probed cells; a larger one
-    meets the corpus block by block. Each query sees the same cells either way.
+    A query table that fits one block is sent to the tasks that scan the cells; a larger
+    one is routed to them. Each query sees the same cells either way. Queries of another
+    length than the index find nothing.
     """
-    block = S.read_queries(queries, query_key)
+    block = None if force_routes else S.read_queries(queries, query_key)
     if block is None:
-        return S.knn_join(
-            filed, queries, k, key, query_key, force_cells=True, probes=lambda matrix: quantizer.probes(matrix, probes)
+        return nearest_in_cells(
+            filed, queries, lambda matrix: quantizer.probes(matrix, probes), quantizer.dim, k, key, query_key
         )
-    if block.ids:
+    if block.ids and block.matrix.shape[1] == quantizer.dim:
         block.cells = quantizer.probes(block.matrix, probes)
         wanted: Sequence[int] = sorted({int(c) for c in block.cells.ravel()})
         filed = filed.where(F.col("cell").isin(list(wanted)))
+    else:
+        block = S.QueryBlock([], block.matrix)
     found = S.nearest_in_tasks(filed, block, k, key, query_key, queries.schema[query_key].dataType, "cell")
     ranked = top_per_group(found, [query_key], [F.desc("score"), F.asc(key)], k)
     return ranked.select(query_key, "rank", key, "score")

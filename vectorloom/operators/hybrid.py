@@ -1,14 +1,16 @@
 """Keyword (BM25), vector and combined ranking for one query over a whole corpus.
 
-Both scores are computed in the row they belong to. The corpus statistics BM25 needs
-come from one aggregate over the same table, used as a scalar subquery, so no postings
-are shuffled and a term that occurs everywhere costs no more than a rare one.
+With a stored term index the keyword scores come from the postings of the query's terms
+and are joined to the vector scores by key. Texts that are not indexed are scored in
+the row they belong to; the corpus figures then come from one aggregate over the same
+table, used as a scalar subquery.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -19,6 +21,9 @@ from vectorloom.functions import vectors as V
 from vectorloom.operators.positions import top_per_group
 from vectorloom.session import spread_small
 
+if TYPE_CHECKING:
+    from vectorloom.operators.term_index import TermIndex
+
 K1, B = 1.2, 0.75
 DEFAULT_WEIGHTS = (0.7, 0.3)  # semantic, keyword
 
@@ -90,19 +95,20 @@ def _term_score(field: int, term: int) -> Column:
     return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * share))
 
 
-def _ranked(rows: DataFrame, k: int, key: str) -> DataFrame:
+def ranked(rows: DataFrame, k: int, key: str) -> DataFrame:
+    """The ``k`` best rows with a score above 0, numbered; ties go to the lower key."""
     best = rows.orderBy(F.desc("score"), F.asc(key)).limit(k)
-    ranked = best.withColumn("rank", F.row_number().over(W.orderBy(F.desc("score"), F.asc(key))))
+    numbered = best.withColumn("rank", F.row_number().over(W.orderBy(F.desc("score"), F.asc(key))))
     # rows that match nothing come last; filtered before the limit, the predicate would
     # be pushed below the score and every score computed twice
-    return ranked.where(F.col("score") > 0)
+    return numbered.where(F.col("score") > 0)
 
 
 def bm25_topk(
     docs: DataFrame, query: str, k: int = 10, fields: Sequence[str] = ("text",), key: str = "bibcode"
 ) -> DataFrame:
     scored = with_bm25(docs, query, fields, "score").select(key, "score")
-    return _ranked(scored, k, key).select("rank", key, "score")
+    return ranked(scored, k, key).select("rank", key, "score")
 
 
 def with_scores(
@@ -111,15 +117,23 @@ def with_scores(
     query_vectors: Mapping[str, Sequence[float]],
     keyword_fields: Sequence[str] = ("text",),
     corpus: DataFrame | None = None,
+    index: TermIndex | None = None,
+    key: str = "bibcode",
 ) -> DataFrame:
     """Add ``semantic`` (cosine + 1, summed over vector columns) and ``keyword``.
 
-    A row without a vector has semantic score 0.
+    A row without a vector has semantic score 0, one without a term of the query keyword
+    score 0. With ``index`` the texts aren't read; ``docs`` then keep only key and scores.
     """
     cosines = [
         F.coalesce(V.score_against(list(vector))(column) + 1.0, F.lit(0.0)) for column, vector in query_vectors.items()
     ]
-    return with_bm25(docs, query, keyword_fields, corpus=corpus).withColumn("semantic", _add_up(cosines))
+    semantic = _add_up(cosines)
+    if index is None:
+        return with_bm25(docs, query, keyword_fields, corpus=corpus).withColumn("semantic", semantic)
+    keyword = index.scores(query, keyword_fields).withColumnRenamed(index.key, key)
+    scored = docs.select(key, semantic.alias("semantic")).join(keyword, key, "left")
+    return scored.withColumn("keyword", F.coalesce("keyword", F.lit(0.0)))
 
 
 def hybrid_topk(
@@ -131,13 +145,14 @@ def hybrid_topk(
     keyword_fields: Sequence[str] = ("text",),
     key: str = "bibcode",
     corpus: DataFrame | None = None,
+    index: TermIndex | None = None,
 ) -> DataFrame:
     """The ``k`` best rows by ``w_s * semantic + w_k * keyword``."""
     semantic, keyword = normalise_weights(*weights)
-    scored = with_scores(docs, query, query_vectors, keyword_fields, corpus)
+    scored = with_scores(docs, query, query_vectors, keyword_fields, corpus, index, key)
     fused = F.round(semantic * F.col("semantic") + keyword * F.col("keyword"), V.SCORE_DECIMALS)
     rows = scored.select(key, "semantic", "keyword", fused.alias("score"))
-    return _ranked(rows, k, key).select("rank", key, "semantic", "keyword", "score")
+    return ranked(rows, k, key).select("rank", key, "semantic", "keyword", "score")
 
 
 def weight_sweep(
@@ -149,6 +164,7 @@ def weight_sweep(
     keyword_fields: Sequence[str] = ("text",),
     key: str = "bibcode",
     corpus: DataFrame | None = None,
+    index: TermIndex | None = None,
 ) -> DataFrame:
     """``hybrid_topk`` for several weights in one pass over the corpus."""
     settings = []
@@ -160,10 +176,10 @@ def weight_sweep(
                 F.lit(float(keyword)).alias("keyword_weight"),
             )
         )
-    scored = with_scores(docs, query, query_vectors, keyword_fields, corpus)
+    scored = with_scores(docs, query, query_vectors, keyword_fields, corpus, index, key)
     rows = scored.select(key, "semantic", "keyword", F.inline(F.array(*settings)))
     fused = F.col("semantic_weight") * F.col("semantic") + F.col("keyword_weight") * F.col("keyword")
     rows = rows.withColumn("score", F.round(fused, V.SCORE_DECIMALS))
     groups = ["kind", "semantic_weight", "keyword_weight"]
-    ranked = top_per_group(rows, groups, [F.desc("score"), F.asc(key)], k)
-    return ranked.where(F.col("score") > 0).select(*groups, "rank", key, "score")
+    best = top_per_group(rows, groups, [F.desc("score"), F.asc(key)], k)
+    return best.where(F.col("score") > 0).select(*groups, "rank", key, "score")

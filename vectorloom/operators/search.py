@@ -1,13 +1,13 @@
 """Nearest vectors by cosine: one query, many queries, and their similarity matrix.
 
-One query is a scan with a per-task top-k. Many queries are scored block against block
-with matrix products inside the tasks, and each task keeps only its best ``k`` rows
+One query is a scan with a per-task top-k. Many queries are scored with matrix products
+inside the tasks that scan the corpus, and each task keeps only its best ``k`` rows
 per query, so what is shuffled does not depend on the number of pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -23,8 +23,6 @@ from vectorloom.operators.positions import top_per_group
 # A query block travels to every task: at most this many vectors and bytes.
 BLOCK_QUERIES = 2048
 BLOCK_BYTES = 32 << 20
-# Rows of the corpus side in one cell when both sides are cut into blocks.
-BLOCK_ROWS = 32_768
 SCORES_AT_ONCE = 1 << 22
 
 
@@ -94,7 +92,7 @@ def _best_of(ids: np.ndarray, scores: np.ndarray, block: QueryBlock, k: int) ->
     return pd.DataFrame({"query": query, "id": ids[at], "score": scores[at, query]})
 
 
-def _keep_best(frames: list[pd.DataFrame], k: int) -> pd.DataFrame:
+def keep_best(frames: list[pd.DataFrame], k: int) -> pd.DataFrame:
     merged = pd.concat(frames, ignore_index=True)
     merged = merged.sort_values(["query", "score", "id"], ascending=[True, False, True], kind="stable")
     return merged[merged.groupby("query").cumcount() < k]
@@ -114,7 +112,7 @@ def score_block(
             for probe in block.cells.T:
                 allowed |= cells[part][:, None] == probe[None, :]
             scores = np.where(allowed, scores, np.nan)
-        best = [_keep_best([*best, _best_of(ids[part], scores, block, k)], k)]
+        best = [keep_best([*best, _best_of(ids[part], scores, block, k)], k)]
     return best[0] if best else pd.DataFrame({"query": [], "id": [], "score": []})
 
 
@@ -130,12 +128,12 @@ def nearest_in_tasks(
             ids = np.asarray(batch.column(key).to_pylist(), dtype=object)
             matrix = V.to_matrix(batch.column("embedding"), block.matrix.shape[1])
             cells = batch.column(cell).to_numpy(zero_copy_only=False) if cell else None
-            best = [_keep_best([*best, score_block(ids, matrix, block, k, cells)], k)]
+            best = [keep_best([*best, score_block(ids, matrix, block, k, cells)], k)]
         for frame in best:
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([block.ids[int(q)] for q in frame["query"]], _arrow_type(query_type)),
-                    pa.array(frame["id"].tolist(), _arrow_type(schema[key].dataType)),
+                    pa.array([block.ids[int(q)] for q in frame["query"]], arrow_type(query_type)),
+                    pa.array(frame["id"].tolist(), arrow_type(schema[key].dataType)),
                     pa.array(frame["score"].astype(float)),
                 ],
                 names=[query_key, key, "score"],
@@ -147,100 +145,34 @@ def nearest_in_tasks(
     return corpus.select(*columns).mapInArrow(run, schema)
 
 
-def _arrow_type(kind: T.DataType) -> pa.DataType:
+def arrow_type(kind: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 
     return to_arrow_type(kind)
 
 
-def _cells(
-    corpus: DataFrame, queries: DataFrame, rows: int, query_rows: int, key: str, query_key: str
-) -> tuple[DataFrame, DataFrame]:
-    """Both sides cut into blocks of about the given sizes, one copy per facing block.
-
-    Rows are dealt out by the hash of their key, so a repeated task deals them alike.
-    """
-    down = max(-(-corpus.count() // rows), 1)
-    across = max(-(-queries.count() // query_rows), 1)
-
-    def cut(frame: DataFrame, by: str, mine: str, blocks: int, other: str, others: int) -> DataFrame:
-        placed = frame.withColumn(mine, F.pmod(F.xxhash64(by), F.lit(blocks)).cast("int"))
-        return placed.select("*", F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
-
-    return cut(corpus, key, "_row", down, "_col", across), cut(queries, query_key, "_col", across, "_row", down)
-
-
-def _nearest_by_cells(
-    corpus: DataFrame,
-    queries: DataFrame,
-    k: int,
-    key: str,
-    query_key: str,
-    rows: int,
-    query_rows: int,
-    probes: Callable[[np.ndarray], np.ndarray] | None = None,
-) -> DataFrame:
-    """For a query side of any size: a grid of blocks, best ``k`` rows per query and block.
-
-    ``probes`` gives the cells each query vector may look into, by the corpus's ``cell``.
-    Queries meet vectors of their own length.
-    """
-    schema = T.StructType([queries.schema[query_key], corpus.schema[key]]).add("score", "double")
-    columns = [key, "embedding"] + (["cell"] if probes else [])
-    sides = corpus.select(*columns), queries.select(query_key, "embedding").where(F.size("embedding") > 0)
-    left, right = _cells(*sides, rows, query_rows, key, query_key)
-
-    def cell(mine: pa.Table, theirs: pa.Table) -> pa.Table:
-        parts = []
-        if mine.num_rows and theirs.num_rows:
-            ids = np.asarray(mine.column(key).to_pylist(), dtype=object)
-            vectors = pa.concat_arrays(mine.column("embedding").chunks)
-            asked = pa.concat_arrays(theirs.column("embedding").chunks)
-            names = np.asarray(theirs.column(query_key).to_pylist(), dtype=object)
-            lengths = V.as_rows(asked)[2]
-            for dim in np.unique(lengths):
-                at = np.flatnonzero(lengths == dim)
-                block = QueryBlock(names[at].tolist(), V.to_matrix(asked.take(pa.array(at)), int(dim)))
-                cells = None
-                if probes:
-                    block.cells = probes(block.matrix)
-                    cells = mine.column("cell").to_numpy()
-                found = score_block(ids, V.to_matrix(vectors, int(dim)), block, k, cells)
-                parts.append(found.assign(query=[block.ids[int(q)] for q in found["query"]]))
-        found = pd.concat(parts) if parts else pd.DataFrame({"query": [], "id": [], "score": []})
-        return pa.table(
-            {
-                query_key: pa.array(found["query"].tolist(), _arrow_type(schema[query_key].dataType)),
-                key: pa.array(found["id"].tolist(), _arrow_type(schema[key].dataType)),
-                "score": pa.array(found["score"].astype(float)),
-            }
-        )
-
-    grouped = left.groupBy("_row", "_col").cogroup(right.groupBy("_row", "_col"))
-    return grouped.applyInArrow(cell, schema)
-
-
 def knn_join(
     corpus: DataFrame,
     queries: DataFrame,
     k: int = 10,
     key: str = "bibcode",
     query_key: str = "query_id",
-    block_rows: int = BLOCK_ROWS,
-    force_cells: bool = False,
-    probes: Callable[[np.ndarray], np.ndarray] | None = None,
+    force_passes: bool = False,
 ) -> DataFrame:
     """The exact ``k`` nearest rows of each query: ``query_key, rank, key, score``.
 
-    Both tables carry ``embedding``. A query table that fits one block is sent to the
-    tasks that scan the corpus; a larger one is joined block by block.
+    Both tables carry ``embedding``; queries meet vectors of their own length. A query
+    table that fits one block is sent to the tasks that scan the corpus within this
+    query's plan; a larger one goes there pass by pass, and the corpus, which every pass
+    scans, should be a stored table.
     """
-    block = None if force_cells else read_queries(queries, query_key)
-    if block is not None:
-        kind = queries.schema[query_key].dataType
-        found = nearest_in_tasks(corpus, block, k, key, query_key, kind)
-    else:
-        found = _nearest_by_cells(corpus, queries, k, key, query_key, block_rows, min(BLOCK_QUERIES, block_rows), probes)
+    from vectorloom.operators.passes import nearest_by_passes
+
+    block = None if force_passes else read_queries(queries, query_key)
+    if block is None:
+        return nearest_by_passes(corpus, queries, k, key, query_key)
+    kind = queries.schema[query_key].dataType
+    found = nearest_in_tasks(corpus, block, k, key, query_key, kind)
     ranked = top_per_group(found, [query_key], [F.desc("score"), F.asc(key)], k)
     return ranked.select(query_key, "rank", key, "score")
 
@@ -260,14 +192,20 @@ def similarity_matrix(vectors: DataFrame, key: str = "bibcode", columns_per_bloc
     id_type = vectors.schema[key].dataType
     schema = T.StructType([vectors.schema[key]]).add("block", T.IntegerType())
     schema = schema.add("columns", T.ArrayType(id_type)).add("cosines", T.ArrayType(T.DoubleType()))
-    arrow = [_arrow_type(id_type), pa.int32(), pa.list_(_arrow_type(id_type)), pa.list_(pa.float64())]
+    arrow = [arrow_type(id_type), pa.int32(), pa.list_(arrow_type(id_type)), pa.list_(pa.float64())]
     names = [key, "block", "columns", "cosines"]
 
     other = f"other_{key}"
     sides = vectors.select(key, "embedding")
     # both columns get names of their own: a cogroup of a frame with itself loses shared ones
     others = sides.select(F.col(key).alias(other), F.col("embedding").alias("other_embedding"))
-    left, right = _cells(sides, others, columns_per_block, columns_per_block, key, other)
+    blocks = max(-(-vectors.count() // columns_per_block), 1)
+
+    def cut(frame: DataFrame, mine: str, facing: str) -> DataFrame:
+        placed = frame.withColumn(mine, (F.monotonically_increasing_id() % blocks).cast("int"))
+        return placed.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias(facing))
+
+    left, right = cut(sides, "_row", "_col"), cut(others, "_col", "_row")
 
     def cell(mine: pa.Table, theirs: pa.Table) -> pa.Table:
         if not mine.num_rows or not theirs.num_rows:

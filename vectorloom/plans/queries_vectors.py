@@ -18,7 +18,6 @@ from vectorloom.plans import tables as B
 from vectorloom.plans.flagship import neighbours_of_unique_records
 from vectorloom.plans.oracle_parts import CATALOG, DOCS, HASHED, QUERY_TEXT, QUERY_VECTOR, VECS, bm25, hashed_vectors
 from vectorloom.plans.registry import query
-from vectorloom.session import shared_folder
 
 
 def _checksum(column="embedding"):
@@ -39,13 +38,6 @@ def _embedded(spark, sf_dir, model=B.MODEL):
     return E.embed_texts(B.prepared(spark, sf_dir), model).select("bibcode", "year", "arrival", "model", "embedding")
 
 
-def _stored(spark, sf_dir):
-    """The embedded documents as a table: what searches use more than once is written first."""
-    folder = shared_folder(spark, "vectors")
-    _embedded(spark, sf_dir).write.parquet(folder)
-    return spark.read.parquet(folder)
-
-
 def _benchmark_vectors(spark, sf_dir):
     texts = B.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.lower("text").alias("text"))
     return E.embed_texts(texts, B.MODEL).select("query_id", "embedding")
@@ -403,8 +395,8 @@ def topk_all_years(spark, sf_dir):
                round(score, 6) AS score FROM scored JOIN docs USING (bibcode) QUALIFY rank <= 10""",
 )
 def search_similar(spark, sf_dir):
-    """A text searched in the documents of every year."""
-    hits = S.topk_per_year(_embedded(spark, sf_dir), E.embed_one(B.QUERY, B.MODEL), 10)
+    """A text searched in the stored vectors of every year."""
+    hits = S.topk_per_year(B.document_vectors(spark, sf_dir), E.embed_one(B.QUERY, B.MODEL), 10)
     return hits.select("year", "rank", "bibcode", _six("score").alias("score"))
 
 
@@ -418,7 +410,7 @@ _KNN = f"""{BENCH_VECTORS},
 @query("knn_join", f"WITH {DOCS}, {DOC_VECTORS}, {_KNN}")
 def knn_join(spark, sf_dir):
     """The ten nearest documents of every benchmark text."""
-    hits = S.knn_join(_embedded(spark, sf_dir), _benchmark_vectors(spark, sf_dir), 10)
+    hits = S.knn_join(B.document_vectors(spark, sf_dir), _benchmark_vectors(spark, sf_dir), 10)
     return hits.withColumn("score", _six("score"))
 
 
@@ -435,8 +427,8 @@ def unique_neighbours(spark, sf_dir):
 @query("knn_join_cells", f"WITH {DOCS}, {DOC_VECTORS}, {_KNN}")
 def knn_join_cells(spark, sf_dir):
     """The same join the way it runs for a query table of any size."""
-    corpus, queries = _embedded(spark, sf_dir), _benchmark_vectors(spark, sf_dir)
-    hits = S.knn_join(corpus, queries, 10, block_rows=256, force_cells=True)
+    corpus, queries = B.document_vectors(spark, sf_dir), _benchmark_vectors(spark, sf_dir)
+    hits = S.knn_join(corpus, queries, 10, force_passes=True)
     return hits.withColumn("score", _six("score"))
 
 
@@ -445,7 +437,7 @@ CELLS, BITS, PROBES = 16, 4, 6
 
 @query("topk_ivf")
 def topk_ivf(spark, sf_dir):
-    return _ivf_hits(spark, sf_dir, _stored(spark, sf_dir))
+    return _ivf_hits(spark, sf_dir, B.document_vectors(spark, sf_dir))
 
 
 def _ivf_hits(spark, sf_dir, corpus):
@@ -457,7 +449,7 @@ def _ivf_hits(spark, sf_dir, corpus):
 @query("topk_lsh")
 def topk_lsh(spark, sf_dir):
     planes = N.Hyperplanes(64, BITS, seed=1)
-    filed = N.assign_cells(_stored(spark, sf_dir), planes)
+    filed = N.assign_cells(B.document_vectors(spark, sf_dir), planes)
     return N.approximate_knn(filed, planes, _benchmark_vectors(spark, sf_dir), 10, PROBES)
 
 
@@ -465,14 +457,23 @@ def topk_lsh(spark, sf_dir):
 def topk_lsh_all_cells(spark, sf_dir):
     """With every cell probed the approximate search is exact."""
     planes = N.Hyperplanes(64, BITS, seed=1)
-    filed = N.assign_cells(_embedded(spark, sf_dir), planes)
+    filed = N.assign_cells(B.document_vectors(spark, sf_dir), planes)
     hits = N.approximate_knn(filed, planes, _benchmark_vectors(spark, sf_dir), 10, 1 << BITS)
     return hits.withColumn("score", _six("score"))
 
 
+@query("topk_lsh_routed", f"WITH {DOCS}, {DOC_VECTORS}, {_KNN}")
+def topk_lsh_routed(spark, sf_dir):
+    """Queries routed to their cells, the way it runs for a query table of any size; all cells probed."""
+    planes = N.Hyperplanes(64, BITS, seed=1)
+    filed = N.assign_cells(B.document_vectors(spark, sf_dir), planes)
+    hits = N.approximate_knn(filed, planes, _benchmark_vectors(spark, sf_dir), 10, 1 << BITS, force_routes=True)
+    return hits.withColumn("score", _six("score"))
+
+
 @query("ann_recall")
 def ann_recall(spark, sf_dir):
-    corpus = _stored(spark, sf_dir)
+    corpus = B.document_vectors(spark, sf_dir)
     exact = S.knn_join(corpus, _benchmark_vectors(spark, sf_dir), 10)
     return N.recall(_ivf_hits(spark, sf_dir, corpus), exact)
 
@@ -480,15 +481,16 @@ def ann_recall(spark, sf_dir):
 # ---------------------------------------------------------------- keyword and vector
 
 
-def _texts(spark, sf_dir):
-    return B.records(spark, sf_dir).select("bibcode", "title", F.col("abstract").alias("text"))
-
-
-def _hybrid_docs(spark, sf_dir):
-    """Documents with their whole text and its hashing vector."""
-    texts = _texts(spark, sf_dir).withColumn("lower_text", F.lower("text"))
-    embedded = E.embed_texts(texts, B.MODEL, "lower_text")
-    return embedded.select("bibcode", "title", "text", "embedding")
+@query(
+    "bm25_scan",
+    f"""WITH {DOCS}, {bm25("kw", "docs", "bibcode", "abstract")}
+        SELECT CAST(row_number() OVER (ORDER BY keyword DESC, bibcode) AS INTEGER) AS rank, bibcode,
+        round(keyword, 6) AS score FROM kw WHERE keyword > 0 ORDER BY keyword DESC, bibcode LIMIT 20""",
+)
+def bm25_scan(spark, sf_dir):
+    """Texts that are not indexed, scored in the row."""
+    hits = H.bm25_topk(B.records(spark, sf_dir), B.QUERY, 20, ["abstract"])
+    return hits.withColumn("score", _six("score"))
 
 
 def _query_vectors():
@@ -509,7 +511,7 @@ paired AS (SELECT bibcode, coalesce(semantic, 0) AS semantic, coalesce(keyword,
         round(keyword, 6) AS score FROM kw WHERE keyword > 0 ORDER BY keyword DESC, bibcode LIMIT 20""",
 )
 def bm25_topk(spark, sf_dir):
-    hits = H.bm25_topk(B.records(spark, sf_dir), B.QUERY, 20, ["abstract"])
+    hits = B.term_index(spark, sf_dir).search(B.QUERY, 20, ["abstract"])
     return hits.withColumn("score", _six("score"))
 
 
@@ -520,7 +522,8 @@ def bm25_topk(spark, sf_dir):
         round(keyword, 6) AS keyword, round(score, 6) AS score FROM fused ORDER BY score DESC, bibcode LIMIT 20""",
 )
 def hybrid_topk(spark, sf_dir):
-    hits = H.hybrid_topk(_hybrid_docs(spark, sf_dir), B.QUERY, _query_vectors(), k=20, corpus=_texts(spark, sf_dir))
+    docs, index = B.document_vectors(spark, sf_dir), B.term_index(spark, sf_dir)
+    hits = H.hybrid_topk(docs, B.QUERY, _query_vectors(), k=20, keyword_fields=["abstract"], index=index)
     return hits.select("rank", "bibcode", *[_six(c).alias(c) for c in ("semantic", "keyword", "score")])
 
 
@@ -539,9 +542,9 @@ def hybrid_topk(spark, sf_dir):
 def hybrid_fields(spark, sf_dir):
     """Two vector columns and two text fields, each side summed."""
     stored = B.vectors(spark, sf_dir).select("bibcode", F.col("embedding").alias("stored"))
-    docs = _hybrid_docs(spark, sf_dir).join(stored, "bibcode", "left")
-    probes = {**_query_vectors(), "stored": B.query_vector()}
-    hits = H.hybrid_topk(docs, "src1 the galaxies", probes, (1.0, 1.0), 20, ["text", "title"], corpus=_texts(spark, sf_dir))
+    docs = B.document_vectors(spark, sf_dir).join(stored, "bibcode", "left")
+    probes, index = {**_query_vectors(), "stored": B.query_vector()}, B.term_index(spark, sf_dir)
+    hits = H.hybrid_topk(docs, "src1 the galaxies", probes, (1.0, 1.0), 20, ["abstract", "title"], index=index)
     return hits.select("bibcode", *[F.round(c, 5).alias(c) for c in ("semantic", "keyword", "score")])
 
 
@@ -553,7 +556,8 @@ def hybrid_fields(spark, sf_dir):
                round(score, 6) AS score FROM fused QUALIFY rank <= 10""",
 )
 def hybrid_weight_sweep(spark, sf_dir):
-    hits = H.weight_sweep(_hybrid_docs(spark, sf_dir), B.QUERY, _query_vectors(), corpus=_texts(spark, sf_dir))
+    docs, index = B.document_vectors(spark, sf_dir), B.term_index(spark, sf_dir)
+    hits = H.weight_sweep(docs, B.QUERY, _query_vectors(), keyword_fields=["abstract"], index=index)
     return hits.select("kind", "rank", "bibcode", _six("score").alias("score"))
 
 

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectorloom.operators import dedup as D
 from vectorloom.operators import prepare as P
-from vectorloom.session import apply_runtime_conf
+from vectorloom.operators.term_index import TermIndex
+from vectorloom.session import apply_runtime_conf, path_exists, shared_folder
 
 MODEL = "hash://64"
 TABLE_MODEL = "table://embeddings"
 SETTINGS = P.PrepareSettings(fields=("title", "abstract"))
 TEXT_ONLY = P.PrepareSettings(fields=("abstract",))
+TERM_FIELDS = ("title", "abstract")
 QUERY = "the observation of stars and galaxies in the early universe"
 # a query vector given from outside: component i is sin(i + 1)
 QUERY_DIM = 64
@@ -76,6 +80,44 @@ def catalog_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+_kept: dict[tuple, str] = {}
+
+
+def kept_folder(spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], None]) -> str:
+    """A stored table that searches share: built once per application and input folder."""
+    wanted = (spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", None), sf_dir, name)
+    folder = _kept.get(wanted)
+    if folder is None or not path_exists(spark, f"{folder}/_DONE"):
+        folder = shared_folder(spark, name)
+        build(folder)
+        spark.range(1).coalesce(1).write.parquet(f"{folder}/_DONE")
+        _kept[wanted] = folder
+    return folder
+
+
+def document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bibcode, year, arrival, embedding`` of all documents, embedded once and stored."""
+    from vectorloom.operators import embed as E
+
+    def build(folder: str) -> None:
+        docs = records(spark, sf_dir).withColumns({"text": F.lower("abstract"), "arrival": P.arrival()})
+        embedded = E.embed_texts(docs.select("bibcode", "year", "arrival", "text"), MODEL)
+        embedded.select("bibcode", "year", "arrival", "embedding").write.parquet(f"{folder}/vectors")
+
+    return spark.read.parquet(f"{kept_folder(spark, sf_dir, 'document-vectors', build)}/vectors")
+
+
+def term_index(spark: SparkSession, sf_dir: str) -> TermIndex:
+    """Titles and texts of all documents, indexed once in two runs."""
+
+    def build(folder: str) -> None:
+        docs, index = records(spark, sf_dir), TermIndex(spark, folder, TERM_FIELDS)
+        for run, half in ((1, "seq % 2 = 0"), (2, "seq % 2 = 1")):
+            index.append(docs.where(half), run)
+
+    return TermIndex(spark, kept_folder(spark, sf_dir, "term-index", build), TERM_FIELDS)
+
+
 def query_vector() -> list[float]:
     import math
 
