@@ -130,6 +130,28 @@ def _sum_parts(vectors: pa.Array) -> pa.Array:
     return _lists(parts.ravel(), np.full(rows, 2), np.zeros(rows, bool), pa.float64())
 
 
+@F.arrow_udf(T.BinaryType())
+def _pack_half(vectors: pa.Array) -> pa.Array:
+    flat, _, lengths = as_rows(vectors)
+    with np.errstate(over="ignore"):
+        data = flat.astype(np.float32).astype("<f2").tobytes()
+    offsets = np.concatenate([[0], 2 * np.cumsum(lengths)])
+    if offsets[-1] >= 1 << 31:
+        raise ValueError("too many components in one Arrow batch")
+    valid = pa.array(np.asarray(vectors.is_valid())).buffers()[1] if vectors.null_count else None
+    buffers = [valid, pa.py_buffer(offsets.astype("<i4").tobytes()), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.binary(), len(vectors), buffers)
+
+
+@F.arrow_udf(T.ArrayType(T.FloatType()))
+def _unpack_half(packed: pa.Array) -> pa.Array:
+    lengths = pc.fill_null(pc.binary_length(packed), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    offsets, data = packed.buffers()[1:]
+    first = np.frombuffer(offsets, "<i4", 1, 4 * packed.offset)[0] if len(packed) else 0
+    halves = np.frombuffer(data, "<f2", int(lengths.sum()) // 2, int(first)) if lengths.sum() else np.zeros(0, "<f2")
+    return _lists(halves.astype(np.float32), lengths // 2, np.asarray(packed.is_null()), pa.float32())
+
+
 def norm(vector: Column | str) -> Column:
     return _norm(vector)
 
@@ -154,6 +176,16 @@ def half_precision(vector: Column | str) -> Column:
     return _half(vector)
 
 
+def pack_half(vector: Column | str) -> Column:
+    """A vector as bytes, two per component: the nearest 16-bit floats, little-endian."""
+    return _pack_half(vector)
+
+
+def unpack_half(packed: Column | str) -> Column:
+    """The vector ``pack_half`` packed, as floats."""
+    return _unpack_half(packed)
+
+
 def component_sums(vector: Column | str) -> Column:
     """``[sum, sum of squares]`` of the components: adds up exactly across rows."""
     return _sum_parts(vector)

@@ -1,14 +1,22 @@
 """The store of a corpus: vectors, manifests, catalog and hashes as Parquet tables.
 
 Every write belongs to a numbered run and replaces only that run's partitions, so a
-repeated run leaves the same tables. Tables grow by appending runs; the catalog is
-merged when it is read and can be compacted into a base snapshot.
+repeated run leaves the same tables. Tables grow by appending runs; the catalog and the
+seen texts can be compacted into base snapshots.
+
+Vectors, catalog and seen texts are sorted by their key within a file and carry a bloom
+filter on it, so that a look-up opens few row groups. Vectors are kept as bytes, two per
+component, unless the store is told to keep them as they are.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,9 +25,10 @@ from vectorloom.operators import catalog as C
 from vectorloom.operators import dedup as D
 from vectorloom.operators.lookup import small_table
 
+# fixed values: the names of tables and columns
 VECTORS = (
-    "bibcode string, arrival bigint, text_hash string, embedding array<float>, error string, batch_no int, "
-    "status string, year int, model string, run bigint"
+    "bibcode string, arrival bigint, text_hash string, embedding array<float>, half binary, error string, batch_no int, "
+    "run bigint, status string, year int, model string"
 )
 ENTRIES = (
     "bibcode string, year int, row_id bigint, model string, vector_file string, fields_hash string, "
@@ -28,6 +37,7 @@ ENTRIES = (
 HASHES = (
     "text_hash string, first_seen_bibcode string, first_seen_year int, model string, fields_hash string, run bigint"
 )
+HASH_BASE = f"{HASHES}, prefix string"
 MANIFESTS = (
     "year int, model string, dim int, count bigint, fields_hash string, prompt_hash string, "
     "created_at timestamp, vector_file string, version bigint"
@@ -37,6 +47,12 @@ REPLACED = "bibcode string, model string, run bigint, year int, version bigint"
 BAD_LINES = "value string, path string, seq bigint, reason string, run bigint"
 RUNS = "source string, batch bigint, run bigint"
 
+# hex digits of a hash that name its folder in a base snapshot
+PREFIX_DIGITS = 2
+# a batch of up to so many texts names them to the reader, which then skips row groups by
+# their range and bloom filter; a larger one has texts in most row groups
+NAMED_HASHES = 200
+
 
 @dataclass(frozen=True)
 class VectorStore:
@@ -68,32 +84,74 @@ class VectorStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.path(table))
 
-    def _write(self, rows: DataFrame, table: str, run: int, partitions: tuple[str, ...] = (), key: str = "run") -> None:
+    def _write(
+        self,
+        rows: DataFrame,
+        table: str,
+        run: int,
+        partitions: tuple[str, ...] = (),
+        key: str = "run",
+        look_up: str | None = None,
+    ) -> None:
         """Put the rows of one run in its own folder, in place of what an earlier attempt left."""
         if partitions:
             # evens out partitions of very different size, and splits a large one; without
             # the exchange every task would leave a file in every partition
             rows = rows.hint("rebalance", *partitions)
-        rows.write.mode("overwrite").partitionBy(*partitions).parquet(self.path(f"{table}/{key}={run}"))
+        self._save(rows, f"{table}/{key}={run}", partitions, look_up)
+
+    def _save(self, rows: DataFrame, path: str, partitions: Sequence[str] = (), look_up: str | None = None) -> None:
+        if look_up is not None:
+            rows = rows.sortWithinPartitions(*partitions, look_up)
+        writer = rows.write.mode("overwrite").partitionBy(*partitions)
+        if look_up is not None:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{look_up}", "true")
+            writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+        # packed vectors don't repeat, and their lengths are all but free in this form
+        writer = writer.option("parquet.writer.version", "v2").option("parquet.enable.dictionary#half", "false")
+        writer.parquet(self.path(path))
 
     # ------------------------------------------------------------ vectors
 
     def write_vectors(self, embedded: DataFrame, run: int) -> None:
         """Embedding results of a run; failed ones lie in their own partitions."""
-        vector = V.half_precision("embedding") if self.half_precision else F.col("embedding")
+        half, whole = F.lit(None).cast("binary"), F.lit(None).cast("array<float>")
+        packed = [whole.alias("embedding"), V.pack_half("embedding").alias("half")]
         rows = embedded.select(
-            "bibcode", "arrival", "text_hash", vector.alias("embedding"), "error", "batch_no",
-            "status", "year", "model",
+            "bibcode", "arrival", "text_hash", *(packed if self.half_precision else ["embedding", half.alias("half")]),
+            "error", "batch_no", "status", "year", "model",
         )
-        self._write(rows, "vectors", run, ("status", "year", "model"))
+        self._write(rows, "vectors", run, ("status", "year", "model"), look_up="bibcode")
+
+    def _unpacked(self, rows: DataFrame) -> DataFrame:
+        """Vectors as floats, however they were kept."""
+        if not self.half_precision:
+            return rows.drop("half")
+        whole = F.coalesce("embedding", V.unpack_half("half")).alias("embedding")
+        return rows.select(*[whole if c == "embedding" else c for c in rows.columns if c != "half"])
 
     def results(self, run: int | None = None) -> DataFrame:
-        rows = self._read("vectors", VECTORS)
-        return rows if run is None else rows.where(F.col("run") == run)
+        """All results, or those of a run, whose folder alone is then listed."""
+        if run is None or not self.exists(f"vectors/run={run}"):
+            rows = self._read("vectors", VECTORS)
+            return self._unpacked(rows if run is None else rows.where(F.col("run") == run))
+        reader = self.spark.read.schema(VECTORS).option("basePath", self.path("vectors"))
+        return self._unpacked(reader.parquet(self.path(f"vectors/run={run}")))
+
+    def _unfinished(self) -> list[int]:
+        """Runs that wrote vectors and broke off before their catalog; there are few at any time."""
+        begun = {int(name.split("=")[1]) for name in self._folders("vectors") if name.startswith("run=")}
+        ended = {int(name.split("=")[1]) for name in self._folders("manifests") if name.startswith("version=")}
+        return sorted(begun - ended)
 
     def vectors(self, year: int | None = None, model: str | None = None) -> DataFrame:
-        """The latest stored vector of each record and model; year and model prune partitions."""
+        """The latest stored vector of each record and model; year and model prune partitions.
+
+        Runs that broke off before their catalog was written don't count.
+        """
         rows = self.results().where(F.col("status") == "ok").drop("status", "error", "batch_no")
+        if unfinished := self._unfinished():
+            rows = rows.where(~F.col("run").isin(unfinished))
         if year is not None:
             rows = rows.where(F.col("year") == year)
         if model is not None:
@@ -114,7 +172,7 @@ class VectorStore:
         rows = self._without_removed(self.results(run).where(F.col("status") == "ok"), "run")
         earlier = self.manifest_log().where(F.col("version") < run)
         entries = C.append_entries(C.catalog_entries(rows, fields_hash, prompt_hash), earlier)
-        self._write(entries.withColumn("created_at", F.current_timestamp()), "catalog", run, key="version")
+        self._write(entries.withColumn("created_at", F.current_timestamp()), "catalog", run, key="version", look_up="bibcode")
         made = C.manifests(rows).select(
             "year", "model", "dim", "count",
             F.lit(fields_hash).alias("fields_hash"), F.lit(prompt_hash).alias("prompt_hash"),
@@ -134,15 +192,17 @@ class VectorStore:
         self._write(old.join(new, ["bibcode", "model"]), "replaced", run, key="version")
 
     def catalog_log(self) -> DataFrame:
-        bases = sorted(int(name.split("=")[1]) for name in self._folders("catalog_base") if name.startswith("upto="))
-        log = self._read("catalog", ENTRIES)
-        while bases:
-            base = f"catalog_base/upto={bases[-1]}"
-            if self.exists(f"{base}/_SUCCESS"):
-                merged = self.spark.read.schema(ENTRIES).parquet(self.path(base))
-                return merged.unionByName(log.where(F.col("version") > bases[-1]))
-            bases.pop()
-        return log
+        log, base = self._read("catalog", ENTRIES), self._base("catalog_base")
+        if base is None:
+            return log
+        merged = self.spark.read.schema(ENTRIES).parquet(self.path(f"catalog_base/upto={base}"))
+        return merged.unionByName(log.where(F.col("version") > base))
+
+    def _base(self, table: str) -> int | None:
+        """The run up to which the newest complete snapshot reaches."""
+        found = sorted(int(name.split("=")[1]) for name in self._folders(table) if name.startswith("upto="))
+        complete = [upto for upto in found if self.exists(f"{table}/upto={upto}/_SUCCESS")]
+        return complete[-1] if complete else None
 
     def catalog(self) -> DataFrame:
         """One row per (record, model); the latest run wins."""
@@ -152,7 +212,7 @@ class VectorStore:
     def compact_catalog(self, upto: int) -> None:
         """Merge the runs up to one number into a base snapshot; readers switch when it is complete."""
         merged = C.upsert(self.catalog_log().where(F.col("version") <= upto)).drop("replaced")
-        merged.write.mode("overwrite").parquet(self.path(f"catalog_base/upto={upto}"))
+        self._save(merged, f"catalog_base/upto={upto}", look_up="bibcode")
 
     def manifest_log(self) -> DataFrame:
         return self._without_removed(self._read("manifests", MANIFESTS), "version")
@@ -191,16 +251,49 @@ class VectorStore:
             "text_hash", F.col("bibcode").alias("first_seen_bibcode"), F.col("year").alias("first_seen_year"),
             "model", F.lit(fields_hash).alias("fields_hash"),
         )
-        self._write(seen, "hashes", run)
+        self._write(seen, "hashes", run, look_up="text_hash")
+
+    def compact_hashes(self, upto: int) -> None:
+        """Merge the seen texts of the runs up to one number into a snapshot with a folder per prefix.
+
+        Within a folder files are ranges of hashes. Readers switch when it is complete.
+        """
+        rows = self._hash_log().where(F.col("run") <= upto).withColumn("prefix", F.substring("text_hash", 1, PREFIX_DIGITS))
+        ordered = rows.repartitionByRange("prefix", "text_hash")
+        self._save(ordered, f"hash_base/upto={upto}", ["prefix"], "text_hash")
+
+    def _hash_log(self, wanted: DataFrame | None = None) -> DataFrame:
+        """Seen texts of the newest snapshot and of the runs after it; with ``wanted`` what may hold its texts."""
+        log, base = self._read("hashes", HASHES), self._base("hash_base")
+        if base is not None:
+            # whole runs are left out by their folder
+            log = log.where(F.col("run") > base)
+            merged = self.spark.read.schema(HASH_BASE).parquet(self.path(f"hash_base/upto={base}"))
+        if wanted is None:
+            return log if base is None else merged.drop("prefix").unionByName(log)
+        asked = wanted.select("text_hash")
+        if base is not None:
+            # at most 16 ** PREFIX_DIGITS values
+            prefixes = asked.select(F.substring("text_hash", 1, PREFIX_DIGITS).alias("prefix")).distinct().collect()
+            merged = merged.where(F.col("prefix").isin([row["prefix"] for row in prefixes]))
+            log = merged.drop("prefix").unionByName(log)
+        named = [row["text_hash"] for row in asked.distinct().limit(NAMED_HASHES + 1).collect()]
+        return log.where(F.col("text_hash").isin(named)) if len(named) <= NAMED_HASHES else log
 
     def hash_rows(
-        self, before: int | None = None, model: str | None = None, fields_hash: str | None = None
+        self,
+        before: int | None = None,
+        model: str | None = None,
+        fields_hash: str | None = None,
+        wanted: DataFrame | None = None,
     ) -> DataFrame:
         """Seen texts; those of a removed (year, model) are free again.
 
-        A file has one model and one hash of fields, so these filters skip whole files.
+        A file of a run has one model and one hash of fields, so these filters skip whole
+        files. With ``wanted``, a stored table, only what may hold its ``text_hash`` values
+        is read: folders by prefix, and for a small batch row groups by bloom filter.
         """
-        rows = self._read("hashes", HASHES)
+        rows = self._hash_log(wanted)
         if before is not None:
             rows = rows.where(F.col("run") < before)
         if model is not None:
@@ -222,7 +315,7 @@ class VectorStore:
         With ``wanted`` only for its ``text_hash`` values, which keeps a small batch from
         grouping the whole store.
         """
-        rows = self.hash_rows(before, model, fields_hash)
+        rows = self.hash_rows(before, model, fields_hash, wanted)
         if wanted is not None:
             rows = D.among(rows, wanted)
         # within-year dedup keeps a text once per year, so a text may have several rows
@@ -231,6 +324,24 @@ class VectorStore:
             "text_hash", "first.first_seen_bibcode", "first.first_seen_year"
         )
 
+    # ------------------------------------------------------------ footprint
+
+    def footprint(self) -> DataFrame:
+        """Per year and model: stored vectors, their components, and the bytes of the vectors on disk.
+
+        The bytes are those of the column in the files, read from the files' footers by
+        the tasks, so the store must be open to pyarrow's file systems as it is to Spark.
+        """
+        column = "half" if self.half_precision else "embedding"
+        rows = self._read("vectors", VECTORS).where(F.col("status") == "ok")
+        size = F.octet_length("half") / 2 if self.half_precision else F.size("embedding")
+        counts = rows.groupBy("year", "model").agg(
+            F.count(column).alias("vectors"), F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("components")
+        )
+        files = rows.select("year", "model", F.col("_metadata.file_path").alias("file")).distinct()
+        measured = files.mapInArrow(_column_bytes(column), "year int, model string, bytes bigint")
+        return counts.join(measured.groupBy("year", "model").agg(F.sum("bytes").alias("bytes")), ["year", "model"])
+
     # ------------------------------------------------------------ bad lines
 
     def write_bad_lines(self, lines: DataFrame, run: int) -> None:
@@ -261,3 +372,23 @@ class VectorStore:
         row = self.spark.createDataFrame([(source, batch, run)], RUNS)
         row.coalesce(1).write.mode("append").parquet(self.path("runs"))
         return run
+
+
+def _column_bytes(column: str):
+    """Sizes of a column in Parquet files, from their footers."""
+
+    def run(batches):
+        for batch in batches:
+            sizes = []
+            for file in batch.column("file").to_pylist():
+                system, path = arrow_fs.FileSystem.from_uri(file)
+                with system.open_input_file(path) as source:
+                    footer = pq.read_metadata(source)
+                groups = (footer.row_group(g) for g in range(footer.num_row_groups))
+                chunks = (group.column(c) for group in groups for c in range(group.num_columns))
+                sizes.append(sum(c.total_compressed_size for c in chunks if c.path_in_schema.split(".")[0] == column))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("year"), batch.column("model"), pa.array(sizes, pa.int64())], ["year", "model", "bytes"]
+            )
+
+    return run

@@ -58,7 +58,7 @@ def ingest(
     staged = store.spark.read.parquet(folder)
     prepared = staged.where(F.col("reason").isNull()).drop("reason", "model", "fields_hash")
 
-    known = store.hash_rows(run, model, settings.fields_hash)
+    known = store.hash_rows(run, model, settings.fields_hash, prepared)
     fresh = _fresh(prepared, known, options)
     embedded = E.embed_texts(
         fresh, model, kind=options.kind, limit=options.batch_limit, max_tokens=options.max_tokens

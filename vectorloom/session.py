@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # duplicate keys inside one JSON object: the last one wins
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # longer lists are pushed to Parquet as a range only, and its bloom filters stay unused
+    "spark.sql.parquet.pushdown.inFilterThreshold": "256",
 }
 
 _shipped: set[str] = set()
