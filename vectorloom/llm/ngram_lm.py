@@ -41,10 +41,11 @@ from vectorloom.session import shared_folder, ship_package
 
 U64 = np.uint64
 HOT_SHARE = 1 << 14
-SHARD_TOKENS = 1 << 20
-TASK_SHARDS = 8
+SHARD_TOKENS = 1 << 21
+TASK_SHARDS = 4
 SLICE_BYTES = 4 << 20
 SLICE_ROWS = 1 << 16
+BATCH_BYTES = 8 << 20  # between Spark and Python
 EVENTS = 1 << 18  # bigrams looked up at once
 WORD_BITS = 40  # of a word behind its context: its upper bits
 CONTEXT_BITS = 64 - WORD_BITS  # contexts of a shard stay below 2**24
@@ -242,9 +243,9 @@ def _bigram_packets(batches: Iterable[pa.RecordBatch], codes: Codes, shards: int
 
 def _merge_counts(batches: Iterable[pa.RecordBatch], codes: Codes) -> Iterator[pa.RecordBatch]:
     """All packets of a shard as one, with counts of counts and the shard's part of coded contexts."""
-    for shard, payloads in _by_shard(batches):
-        parts = [unpack(p, 3) for _, _, p in payloads]
+    for shard, parts in _by_shard(batches):
         columns = [np.concatenate([p[k] for p in parts]) for k in range(3)]
+        parts.clear()
         order = np.lexsort((columns[1], columns[0]))
         context, word, count = (c[order] for c in columns)
         starts = _starts(context, word)
@@ -275,15 +276,15 @@ def _context_sums(place, word, count, size: int, codes: Codes) -> list[np.ndarra
 
 
 def _by_shard(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list]]:
-    """Packets sorted by shard, one shard at a time."""
+    """The columns of packets sorted by shard, one shard at a time."""
     held, shard = [], None
     for batch in batches:
-        for s, turn, row, payload in zip(*(batch.column(c).to_pylist() for c in ("shard", "turn", "row", "payload")), strict=True):
+        for s, payload in zip(batch.column("shard").to_pylist(), batch.column("payload"), strict=True):
             if s != shard and held:
                 yield shard, held
                 held = []
             shard = s
-            held.append((turn, row, payload))
+            held.append(unpack(payload.as_buffer(), 3))
     if held:
         yield shard, held
 
@@ -392,8 +393,8 @@ class Shard:
 def _write_shards(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     system, root = fs.FileSystem.from_uri(model.folder)
     for batch in batches:
-        for shard, payload in zip(batch.column("shard").to_pylist(), batch.column("payload").to_pylist(), strict=True):
-            data = Shard.pack(*unpack(payload, 3), model)
+        for shard, payload in zip(batch.column("shard").to_pylist(), batch.column("payload"), strict=True):
+            data = Shard.pack(*unpack(payload.as_buffer(), 3), model)
             trial = f"{root}/.trial-{shard}-{TaskContext.get().taskAttemptId()}"
             system.create_dir(root, recursive=True)
             with system.open_output_stream(trial) as out:
@@ -414,6 +415,8 @@ def _open(system, root: str, shard: int) -> Shard | None:
 
 def _map(frame: DataFrame, function, schema: str, *arguments) -> DataFrame:
     ship_package(frame.sparkSession)
+    # packets and texts are large rows: fewer of them at once
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
     def run(batches):
         return function(batches, *arguments)
@@ -540,7 +543,9 @@ def _events(batches: Iterable[pa.RecordBatch], columns: int) -> Iterator[tuple[i
     held: list[list[np.ndarray]] = []
     size, shard = 0, None
     for batch in batches:
-        for s, row, payload in zip(*(batch.column(c).to_pylist() for c in ("shard", "row", "payload")), strict=True):
+        names = (batch.column("shard").to_pylist(), batch.column("row").to_pylist(), batch.column("payload"))
+        for s, row, packed in zip(*names, strict=True):
+            payload = packed.as_buffer()
             if s < 0:
                 yield s, [row, payload]
                 continue
