@@ -109,6 +109,19 @@ def test_scores_match_a_plain_model(spark, frame, shard_tokens, hot_share):
     check(ngram_lm.score(docs, ngram_lm.Model.load(model.folder)).collect(), plain, texts)
 
 
+def test_documents_over_several_blocks(frame, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "BLOCK_BITS", 4)  # seen by this process: the packets' numbering is checked here
+    starts = [(f, n, ngram_lm._block_starts(f, n)) for f in (0, 5, 16, 31, 32) for n in (1, 11, 16, 40)]
+    for first, size, found in starts:
+        assert found == sorted({0, *[n - first for n in range(first, first + size) if n % 16 == 0]})
+
+
+def test_many_documents_of_one_slice(frame):
+    texts = [(i, f"w{i % 7} w{i % 3}") for i in range(20_000)]
+    model = ngram_lm.fit(frame(texts))
+    check(ngram_lm.score(frame(texts).coalesce(1), model).collect(), PlainModel([t for _, t in texts], ngram_lm.HOT_SHARE), texts)
+
+
 def test_probabilities_of_all_next_words_stay_below_one():
     texts = [t for _, t in corpus()]
     plain = PlainModel(texts, 30)

@@ -42,10 +42,11 @@ from vectorloom.session import shared_folder, ship_package
 U64 = np.uint64
 HOT_SHARE = 1 << 14
 SHARD_TOKENS = 1 << 21
-TASK_SHARDS = 4
+TASK_SHARDS = 2
 SLICE_BYTES = 4 << 20
 SLICE_ROWS = 1 << 16
 BATCH_BYTES = 8 << 20  # between Spark and Python
+BLOCK_BITS = 14  # documents summed up together
 EVENTS = 1 << 18  # bigrams looked up at once
 WORD_BITS = 40  # of a word behind its context: its upper bits
 CONTEXT_BITS = 64 - WORD_BITS  # contexts of a shard stay below 2**24
@@ -53,11 +54,10 @@ STEP = 4096  # probabilities are kept as -log10 in steps of 1 / STEP
 DISCOUNTS = 3
 
 PACKET = "shard int, turn int, row bigint, payload binary"
-SCORED = (
-    "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, "
-    "shard int, turn int, payload binary"
-)
-SCORED_NAMES = [column.split()[0] for column in SCORED.split(", ")]
+# packets of three kinds: documents of a block, sums for a block, words whose unigram is asked for
+SCORED = "kind int, shard int, turn int, row bigint, payload binary"
+DOCUMENTS, SUMS, ASKED = range(3)
+FIGURES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double"
 COUNTED = (
     "shard int, payload binary, n1 bigint, n2 bigint, n3 bigint, n4 bigint, "
     "hot array<struct<place:int,s1:bigint,s2:bigint,s3:bigint,seen:bigint>>"
@@ -491,10 +491,12 @@ def _event_packets(batches: Iterable[pa.RecordBatch], codes: Codes, shards: int)
         rows = pa.RecordBatch.from_arrays(
             [*(_one(table, c) for c in ("doc_id", "held_out")), pa.array(lengths)], ["doc_id", "held_out", "n_tokens"]
         )
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, rows.schema) as writer:
-            writer.write_batch(rows)
-        yield _packet_batch([-1], turn & 7, first, [sink.getvalue().to_pybytes()])
+        for at in _block_starts(first, table.num_rows):
+            end = min((((first + at) >> BLOCK_BITS) + 1 << BLOCK_BITS) - first, table.num_rows)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema) as writer:
+                writer.write_batch(rows.slice(at, end - at))
+            yield _packet_batch([-1], turn & 7, first + at, [sink.getvalue().to_pybytes()])
         pairs = _bigrams(place, int(np.searchsorted(keys, 0)))
         order = np.argsort(pairs, kind="stable")  # texts rise already
         pairs, text = pairs[order], text[order]
@@ -506,33 +508,32 @@ def _event_packets(batches: Iterable[pa.RecordBatch], codes: Codes, shards: int)
         first += table.num_rows
 
 
-def _header(row: int, payload: bytes) -> Iterator[pa.RecordBatch]:
-    """The documents of a slice, with nothing added up yet."""
-    with pa.ipc.open_stream(payload) as reader:
-        for batch in reader:
-            size = batch.num_rows
-            zeros = pa.array(np.zeros(size))
-            columns = [
-                pa.array(np.arange(size) + row), *batch.columns, pa.array(np.zeros(size, np.int64)), zeros, zeros,
-                *_no_packet(size),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, SCORED_NAMES)
+def _block_starts(first: int, size: int) -> list[int]:
+    """Where the blocks of ``size`` documents numbered from ``first`` start."""
+    following = (-first) % (1 << BLOCK_BITS)
+    return [0, *range(following or 1 << BLOCK_BITS, size, 1 << BLOCK_BITS)]
 
 
-def _no_packet(size: int) -> list[pa.Array]:
-    return [pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())]
+def _scored_batch(kind: int, shards: list, turn: int, rows: list, payloads: list) -> pa.RecordBatch:
+    size = len(payloads)
+    columns = [
+        pa.array([kind] * size, pa.int32()), pa.array(shards, pa.int32()), pa.array([turn] * size, pa.int32()),
+        pa.array(rows, pa.int64()), pa.array(payloads, pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["kind", "shard", "turn", "row", "payload"])
 
 
 def _sums(row: np.ndarray, times: np.ndarray, known, base, score) -> pa.RecordBatch:
-    """Sums per document of some events."""
+    """Sums per document of some events, a packet per block of documents."""
     present, at = np.unique(row, return_inverse=True)
-    added = [np.bincount(at, weights=v * times, minlength=len(present)) for v in (known, base, score)]
-    size = len(present)
-    columns = [
-        pa.array(present), pa.nulls(size, pa.int64()), pa.nulls(size, pa.bool_()), pa.nulls(size, pa.int64()),
-        pa.array(np.rint(added[0]).astype(np.int64)), pa.array(added[1]), pa.array(added[2]), *_no_packet(size),
-    ]
-    return pa.RecordBatch.from_arrays(columns, SCORED_NAMES)
+    known, base, score = (np.bincount(at, weights=v * times, minlength=len(present)) for v in (known, base, score))
+    starts = _starts(present >> BLOCK_BITS)
+    payloads = []
+    for a, b in zip(starts, np.append(starts[1:], len(present)), strict=True):
+        place = (present[a:b] & ((1 << BLOCK_BITS) - 1)).astype(U64)
+        payloads.append(pack([place, np.rint(known[a:b]).astype(U64), base[a:b].view(U64), score[a:b].view(U64)]))
+    rows = (present[starts] >> BLOCK_BITS << BLOCK_BITS).tolist()
+    return _scored_batch(SUMS, [None] * len(rows), 0, rows, payloads)
 
 
 def _events(batches: Iterable[pa.RecordBatch], columns: int) -> Iterator[tuple[int, list]]:
@@ -567,7 +568,7 @@ def _score_bigrams(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[
     opened, levels = None, None
     for shard, columns in _events(batches, 4):
         if shard < 0:
-            yield from _header(*columns)
+            yield _scored_batch(DOCUMENTS, [None], 0, columns[:1], [columns[1].to_pybytes()])
             continue
         if shard != opened:
             opened, levels = shard, _open(system, root, shard)
@@ -607,11 +608,8 @@ def _unseen(word: np.ndarray, row: np.ndarray, times: np.ndarray, shards: int) -
     word, row, times = word[order], row[order] - least, times[order]
     shard = (_mix(word) % U64(shards)).astype(np.int32)
     for packet in _packets(shard, [word, row.astype(U64), times.astype(U64)], least & 7, least):
-        size = packet.num_rows
-        empty = [pa.nulls(size, pa.int64()), pa.nulls(size, pa.bool_()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64())]
-        floats = [pa.nulls(size, pa.float64())] * 2
-        columns = [packet.column("row"), *empty, *floats, *(packet.column(c) for c in ("shard", "turn", "payload"))]
-        yield pa.RecordBatch.from_arrays(columns, SCORED_NAMES)
+        columns = [pa.array([ASKED] * packet.num_rows, pa.int32()), *packet.columns]
+        yield pa.RecordBatch.from_arrays(columns, ["kind", *packet.schema.names])
 
 
 def _score_words(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -627,6 +625,36 @@ def _score_words(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[pa
         yield _sums(row, times.astype(np.int64), nothing, nothing, np.log10((count + 1) / model.size)[at])
 
 
+def _figures(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of each block with their sums; packets are sorted by block."""
+    block, docs, sums = None, [], np.zeros((3, 1 << BLOCK_BITS))
+
+    def finish() -> Iterator[pa.RecordBatch]:
+        for row, payload in docs:
+            with pa.ipc.open_stream(payload) as reader:
+                for batch in reader:
+                    own = slice(row & ((1 << BLOCK_BITS) - 1), (row & ((1 << BLOCK_BITS) - 1)) + batch.num_rows)
+                    known, base, score = sums[:, own]
+                    columns = [*batch.columns, pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
+
+    for batch in batches:
+        for kind, row, packed in zip(*(batch.column(c).to_pylist() for c in ("kind", "row")), batch.column("payload"), strict=True):
+            if row >> BLOCK_BITS != block:
+                yield from finish()
+                block, docs = row >> BLOCK_BITS, []
+                sums[:] = 0
+            if kind == DOCUMENTS:
+                docs.append((row, packed.as_buffer()))
+            else:
+                place, known, base, score = unpack(packed.as_buffer(), 4)
+                place = place.astype(np.int64)
+                sums[0, place] += known
+                sums[1, place] += base.view(np.float64)
+                sums[2, place] += score.view(np.float64)
+    yield from finish()
+
+
 def score(
     docs: DataFrame, model: Model, held_out: Column | None = None, text_col: str = "text", id_col: str = "doc_id"
 ) -> DataFrame:
@@ -648,16 +676,15 @@ def score(
     # bigrams of one context may be most of all: slices take eight turns, each may be another task's
     dealt = packets.repartition(tasks, "shard", "turn").sortWithinPartitions("shard")
     first = stored(_map(dealt, _score_bigrams, SCORED, model), "bigram-sums")
-    asked = first.where("payload IS NOT NULL").select("shard", "turn", "row", "payload")
+    asked = first.where(F.col("kind") == ASKED).drop("kind")
     asked = asked.repartition(tasks, "shard", "turn").sortWithinPartitions("shard")
-    second = _map(asked, _score_words, SCORED, model)
-    parts = first.where("payload IS NULL").unionByName(second)
-    sums = parts.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
-        *[F.sum(c).alias(c) for c in ("n_known", "base", "score")],
-    )
+    parts = first.where(F.col("kind") != ASKED).unionByName(_map(asked, _score_words, SCORED, model))
+    # all of a block in one task: its documents, and one packet per task that met them
+    block = F.shiftright("row", BLOCK_BITS)
+    parts = parts.select("kind", "row", "payload").repartition(block).sortWithinPartitions(block)
+    figures = _map(parts, _figures, FIGURES)
     tokens_learned = F.lit(model.tokens).cast("bigint").alias("train_tokens")
-    return sums.select(
+    return figures.select(
         "doc_id", "held_out", "n_tokens", "n_known", tokens_learned, F.col("base").alias("base_score"), "score"
     )
 
