@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 
 import numpy as np
 import pytest
@@ -16,6 +17,7 @@ from vectorloom.operators.store import VectorStore
 from vectorloom.plans import pipeline as L
 from vectorloom.sources import files as R
 from vectorloom.streaming.ingest import distinct_texts, ingest_stream, stream_lines
+from vectorloom.streaming.progress import ProgressTable, progress_by_query, progress_rows
 
 SETTINGS = PrepareSettings(fields=("title", "abstract"))
 Y2020 = [
@@ -341,12 +343,18 @@ def test_search_documents_in_files_of_bounded_size(spark, tmp_path):
     assert first["embedding_dim"] == 3 and first["fields_used"] == ["title", "abstract"]
 
 
-def test_id_list_summary_and_prepared_texts(spark, tmp_path):
-    ids = vectors(spark).withColumnRenamed("arrival", "row_id")
+def test_id_lists_keep_blocks_apart(spark, tmp_path):
+    rows = [(f"b{i:03d}", 2020 + i % 2, "org/m", i // 2) for i in range(25)]
+    ids = spark.createDataFrame(rows, "bibcode string, year int, model string, row_id bigint").repartition(3)
     X.write_id_list(ids, str(tmp_path / "ids"))
-    parts = sorted(f for f in os.listdir(tmp_path / "ids") if f.startswith("part-"))
-    lines = [line for p in parts for line in open(tmp_path / "ids" / p).read().split()]
-    assert lines == [f"b{i:03d}" for i in range(25)]
+    for year in (2020, 2021):
+        folder = tmp_path / "ids" / f"year={year}" / "model=org_m"
+        parts = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
+        lines = [line for p in parts for line in open(folder / p).read().split()]
+        assert lines == [f"b{i:03d}" for i in range(25) if 2020 + i % 2 == year]
+
+
+def test_summary_and_prepared_texts(spark, tmp_path):
     statuses = spark.createDataFrame([("ok", 2020)] * 2 + [("rejected", 2022)], "status string, year int")
     X.write_summary(A.processing_summary(statuses), str(tmp_path / "summary"))
     summary = spark.read.json(str(tmp_path / "summary")).first()
@@ -355,7 +363,64 @@ def test_id_list_summary_and_prepared_texts(spark, tmp_path):
     assert nothing["success_rate"] == "N/A" and nothing["year_range"] == "None"
     X.write_prepared(vectors(spark), str(tmp_path / "prepared"))
     assert spark.read.parquet(str(tmp_path / "prepared")).count() == 25
-    assert A.throughput(100, 4, 200)["records_per_second"] == 25
+
+
+def test_whole_run_summary(spark, tmp_path):
+    statuses = spark.createDataFrame([("ok", 2020)] * 2 + [("rejected", 2022)], "status string, year int")
+    row = A.run_summary(
+        statuses, "20260102", "2026-01-02 03:04:05 UTC", "org/m", "huggingface", 384, ["title", "abstract"], 32, export_format="JSON + CSV"
+    )
+    X.write_summary(row, str(tmp_path / "run"))
+    [file] = [f for f in os.listdir(tmp_path / "run") if f.startswith("part-")]
+    assert json.loads((tmp_path / "run" / file).read_text()) == {
+        "processing_summary": {
+            "run_id": "20260102", "completion_time": "2026-01-02 03:04:05 UTC", "total_papers_processed": 2,
+            "total_papers_skipped": 1, "success_rate": "66.67%", "chunks_created": 1, "subset_description": "all",
+        },
+        "model_configuration": {
+            "model_name": "org/m", "model_type": "huggingface", "embedding_dimension": 384, "batch_size": 32, "device": "cpu",
+        },
+        "text_processing": {
+            "fields_used": ["title", "abstract"], "field_combination": "title + abstract", "preprocessing_applied": True,
+        },
+        "data_sources": {"years_processed": [2020, 2022], "year_range": "2020-2022"},
+        "output_format": {
+            "export_format": "JSON + CSV", "files_created": "Multiple chunk files in json_csv_format",
+            "bibcode_mapping": "Included in each file", "metadata_included": "Full metadata in each chunk",
+        },
+        "file_description": {
+            "embeddings_chunks": "embeddings_chunk_XXXX.json", "skipped_papers": "skipped_bibcodes.txt (if any)",
+            "this_summary": "processing_summary.json",
+        },
+    }
+
+
+def test_run_log_and_throughput(spark, folder, tmp_path):
+    store = store_at(spark, tmp_path)
+    for years in ([2020], [2020, 2021]):
+        L.ingest(load(spark, folder, years), SETTINGS, "hash://8", store)
+    log = {r["run"]: r for r in store.run_log().collect()}
+    assert [log[n]["processed_records"] for n in (1, 2)] == [3, 1] and log[2]["loaded_records"] == 5
+    assert all(r["seconds"] > 0 and r["ended_at"] > r["started_at"] for r in log.values())
+    rows = {r["run"]: r for r in A.run_throughput(store.run_log(), planned=10).collect()}
+    assert rows[1]["records_per_second"] == pytest.approx(3 / log[1]["seconds"])
+    assert [rows[n]["records_done"] for n in (1, 2)] == [3, 4]
+    assert rows[2]["hours_left"] == pytest.approx(6 / rows[2]["records_per_second"] / 3600)
+    figures = spark.createDataFrame([(1, 100, 4.0), (2, 0, 0.0)], "run bigint, processed_records bigint, seconds double")
+    found = {r["run"]: r for r in A.run_throughput(figures, 200).collect()}
+    assert found[1]["records_per_second"] == 25 and found[1]["hours_left"] == pytest.approx(4 / 3600)
+    assert found[2]["records_per_second"] == 0 and found[2]["hours_left"] is None
+
+
+def test_estimate_of_seen_texts_from_sketches(spark, folder, tmp_path):
+    store = store_at(spark, tmp_path)
+    assert store.hash_estimate().first()[0] == 0
+    L.ingest(load(spark, folder, [2020]), SETTINGS, "hash://8", store)
+    L.ingest(load(spark, folder), SETTINGS, "hash://8", store)
+    L.ingest(load(spark, folder), SETTINGS, "hash://16", store)
+    assert store.hash_estimate("hash://8").first()[0] == 4
+    assert store.hash_estimate().first()[0] == 4  # the same texts under both models
+    assert all("hash_sketches" in file for file in store.hash_estimate().inputFiles())
 
 
 # ---------------------------------------------------------------- stream
@@ -401,3 +466,21 @@ def test_distinct_texts_of_a_stream(spark, folder, tmp_path):
     query = query.option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 4
+
+
+def test_progress_rows(spark, folder, tmp_path):
+    listener = ProgressTable(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(listener)
+    try:
+        run_stream(spark, folder, store_at(spark, tmp_path), str(tmp_path / "progress-checkpoint"))
+        for _ in range(100):  # the listener is told a little later
+            if (tmp_path / "progress").exists() and progress_rows(spark, str(tmp_path / "progress")).count() >= 2:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = progress_rows(spark, str(tmp_path / "progress"))
+    found = progress_by_query(rows).first()
+    # rows are counted again by each action of a batch, so at least once a line
+    assert found["batches"] == 2 and found["rows"] >= 5 and found["rows_per_second"] > 0
+    assert rows.where("batch_millis > 0 AND time IS NOT NULL AND durations LIKE '%addBatch%'").count() == rows.count()

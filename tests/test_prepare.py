@@ -105,13 +105,19 @@ def test_arrival_order_and_limit(spark):
     rows = [(f"b{p}-{s}", "t", "a", 2020 - p, p, s) for p in range(3) for s in range(5)]
     prepared = P.prepare(frame(spark, *reversed(rows)), P.PrepareSettings(fields=("title",)))
     expected = [r[0] for r in rows][:7]
-    assert [r["bibcode"] for r in P.limit_records(prepared, 7).collect()] == expected
-    P_limit = P.LARGE_LIMIT
-    try:
-        P.LARGE_LIMIT = 3
-        assert sorted(r["bibcode"] for r in P.limit_records(prepared, 7).collect()) == sorted(expected)
-    finally:
-        P.LARGE_LIMIT = P_limit
+    assert sorted(r["bibcode"] for r in P.limit_records(prepared, 7).collect()) == sorted(expected)
+    for n in (0, 1, 5, 14, 15, 16, 1000):
+        kept = sorted(r["bibcode"] for r in P.limit_records(prepared, n).collect())
+        assert kept == sorted([r[0] for r in rows][:n])
+
+
+def test_limit_over_many_buckets_and_equal_arrivals(spark):
+    arrivals = [*range(0, 5000, 7), 3_000_000, 3_000_000, 3_000_000, 9 << 40, (9 << 40) + 5, 2_000_000]
+    prepared = spark.createDataFrame([(f"b{n:04d}", a) for n, a in enumerate(arrivals)], "bibcode string, arrival bigint").repartition(3)
+    ordered = sorted((a, f"b{n:04d}") for n, a in enumerate(arrivals))
+    for n in (3, 714, 715, 716, 717, 718, 719, 720, 721):
+        kept = [(r["arrival"], r["bibcode"]) for r in P.limit_records(prepared, n).collect()]
+        assert sorted(kept) == ordered[:n]
 
 
 def test_seq_out_of_range_is_an_error(spark):

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vectorloom.functions import text as X
-from vectorloom.operators.lookup import small_table
 from vectorloom.operators.positions import rows_before
 
 CATALOG_KEY = ("bibcode", "model")
@@ -40,7 +39,8 @@ def catalog_entries(vectors: DataFrame, fields_hash: str, prompt_hash: str, orde
 
 def append_entries(entries: DataFrame, counts: DataFrame) -> DataFrame:
     """Number new entries on from blocks that already have rows (``year, model, count``)."""
-    earlier = small_table(counts.groupBy("year", "model").agg(F.sum("count").alias("_before")))
+    # one row per year and model, so it fits every task
+    earlier = F.broadcast(counts.groupBy("year", "model").agg(F.sum("count").alias("_before")))
     placed = entries.join(earlier, ["year", "model"], "left")
     row_id = F.col("row_id") + F.coalesce("_before", F.lit(0))
     return placed.withColumn("row_id", row_id).select(*entries.columns)
@@ -76,7 +76,7 @@ def manifests(vectors: DataFrame) -> DataFrame:
 
 def resume_filter(records: DataFrame, done: DataFrame) -> DataFrame:
     """Records of (year, model) blocks that are not finished yet."""
-    finished = small_table(done.select("year", "model").distinct())
+    finished = F.broadcast(done.select("year", "model").distinct())  # one row per year and model
     return records.join(finished, ["year", "model"], "left_anti")
 
 

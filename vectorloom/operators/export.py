@@ -154,9 +154,11 @@ def write_search_documents(documents: DataFrame, path: str, rows_per_file: int =
     documents.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).json(path)
 
 
-def write_id_list(entries: DataFrame, path: str, order: str = "row_id") -> None:
-    """One id per line; files in name order give the row order."""
-    entries.orderBy(order).select("bibcode").write.mode("overwrite").text(path)
+def write_id_list(entries: DataFrame, path: str, blocks: Sequence[str] = ("year", "model"), order: str = "row_id") -> None:
+    """One id per line, a folder per block; within it files in name order give the row order."""
+    named = entries.withColumn("model", X.model_safe_name("model")) if "model" in blocks else entries
+    ordered = named.repartitionByRange(*blocks, order).sortWithinPartitions(*blocks, order)
+    ordered.select("bibcode", *blocks).write.mode("overwrite").partitionBy(*blocks).text(path)
 
 
 def write_rejects(rejected: DataFrame, path: str) -> None:

@@ -6,18 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-SMALL_ROWS = 10_000
-
-
-def small_table(table: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """The table as local rows if it has at most ``max_rows``, else unchanged.
-
-    For tables such as finished (year, model) blocks: joined as local rows they are
-    broadcast, and the big side is not shuffled by a key with a few frequent values.
-    A larger table takes the ordinary join.
-    """
-    head = table.limit(max_rows + 1).collect()
-    return table.sparkSession.createDataFrame(head, table.schema) if len(head) <= max_rows else table
 
 
 def lookup(

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vectorloom.operators.positions import rows_before
+from vectorloom.operators.positions import BUCKET_WIDTH, BUCKETS_PER_BLOCK
 
 MISSING_KEY = "missing bibcode"
 NO_CONTENT = "no content"
@@ -18,8 +19,6 @@ NO_CONTENT = "no content"
 # so that "first seen" is a hash-aggregated minimum.
 SEQ_BITS = 46
 
-LARGE_LIMIT = 100_000
-
 
 @dataclass(frozen=True)
 class PrepareSettings:
@@ -101,12 +100,43 @@ def select_fields(records: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 
 def limit_records(prepared: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` records in arrival order, exactly.
+    """The first ``n`` records in arrival order, exactly; nothing is sorted or moved.
+
+    Records are counted per bucket of arrivals, and the bucket the limit falls into is
+    found from sums in two levels. Only that bucket's arrivals are ordered to find the
+    last one that stays, whatever ``n`` is. Equal arrivals stay or go together by ``bibcode``.
+    """
+    cut = arrival_cut(prepared, n)
+    if cut is None:
+        return prepared if n > 0 else prepared.limit(0)
+    last, rest = cut
+    tied = prepared.where(F.col("arrival") == last).orderBy("bibcode").limit(rest)
+    return prepared.where(F.col("arrival") < last).unionByName(tied)
+
+
+def arrival_cut(prepared: DataFrame, n: int) -> tuple[int, int] | None:
+    """The arrival of the ``n``-th record and how many records of that arrival are among the first ``n``.
 
-    A small ``n`` is a per-task top-n. A large one would pass through one task, so
-    records are numbered in parallel instead and the first ``n`` kept.
+    None if there are fewer records, or ``n`` is 0.
     """
-    if n <= LARGE_LIMIT:
-        return prepared.orderBy("arrival").limit(n)
-    numbered = rows_before(prepared, [], "arrival", "position")
-    return numbered.where(F.col("position") < n).drop("position")
+    if n <= 0:
+        return None
+    bucket = F.expr(f"arrival div {BUCKET_WIDTH}").alias("bucket")
+    counts = prepared.groupBy(bucket).agg(F.count("*").alias("rows"))
+    counts = counts.withColumn("block", F.expr(f"bucket div {BUCKETS_PER_BLOCK}"))
+    blocks = counts.groupBy("block").agg(F.sum("rows").alias("rows"))
+    block = _holding(blocks, "block", n)
+    if block is None:
+        return None
+    number, before = block
+    bucket_number, before = _holding(counts.where(F.col("block") == number), "bucket", n, before)
+    inside = prepared.where(bucket.eqNullSafe(F.lit(bucket_number))).groupBy("arrival").agg(F.count("*").alias("rows"))
+    last, before = _holding(inside, "arrival", n, before)
+    return last, n - before
+
+
+def _holding(counts: DataFrame, order: str, n: int, before: int = 0) -> tuple[int, int] | None:
+    """The entry that holds the ``n``-th row, and how many rows come before it."""
+    total = F.sum("rows").over(W.orderBy(order).rowsBetween(W.unboundedPreceding, 0)) + F.lit(before)
+    found = counts.select(order, "rows", total.alias("total")).where(F.col("total") >= n).orderBy(order).first()
+    return None if found is None else (found[order], found["total"] - found["rows"])

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from vectorloom.functions import vectors as V
 from vectorloom.operators import catalog as C
 from vectorloom.operators import dedup as D
-from vectorloom.operators.lookup import small_table
 
 # fixed values: the names of tables and columns
 VECTORS = (
@@ -46,6 +45,15 @@ REMOVED = "year int, model string, version bigint"
 REPLACED = "bibcode string, model string, run bigint, year int, version bigint"
 BAD_LINES = "value string, path string, seq bigint, reason string, run bigint"
 RUNS = "source string, batch bigint, run bigint"
+RUN_LOG = (
+    "model string, fields_hash string, started_at timestamp, ended_at timestamp, seconds double, loaded_records bigint, "
+    "total_records bigint, processed_records bigint, skipped_records bigint, failed_records bigint, "
+    "duplicate_records bigint, total_batches bigint, run bigint"
+)
+SKETCHES = "model string, fields_hash string, sketch binary, run bigint"
+
+# a sketch of seen texts errs by about 1.04 / sqrt(2 ** SKETCH_BITS): below one percent
+SKETCH_BITS = 14
 
 # hex digits of a hash that name its folder in a base snapshot
 PREFIX_DIGITS = 2
@@ -237,8 +245,7 @@ class VectorStore:
         if not self.exists("removed"):
             return rows
         marks = self._read("removed", REMOVED).groupBy("year", "model").agg(F.max("version").alias("_removed"))
-        marks = small_table(marks)
-        joined = rows.join(marks, ["year", "model"], "left")
+        joined = rows.join(F.broadcast(marks), ["year", "model"], "left")  # one row per year and model
         kept = joined.where(F.col("_removed").isNull() | (F.col(version) > F.col("_removed")))
         return kept.select(*rows.columns)
 
@@ -252,6 +259,24 @@ class VectorStore:
             "model", F.lit(fields_hash).alias("fields_hash"),
         )
         self._write(seen, "hashes", run, look_up="text_hash")
+        sketched = rows.groupBy("model").agg(F.hll_sketch_agg("text_hash", SKETCH_BITS).alias("sketch"))
+        sketched = sketched.select("model", F.lit(fields_hash).alias("fields_hash"), "sketch")
+        self._write(sketched.coalesce(1), "hash_sketches", run)
+
+    def hash_estimate(self, model: str | None = None, fields_hash: str | None = None) -> DataFrame:
+        """About how many different texts were seen: ``estimated_unique_hashes``.
+
+        Only the runs' sketches are read, one of a few kilobytes per run and model. A sketch
+        can't forget: texts of a removed block still count.
+        """
+        rows = self._read("hash_sketches", SKETCHES)
+        if model is not None:
+            rows = rows.where(F.col("model") == model)
+        if fields_hash is not None:
+            rows = rows.where(F.col("fields_hash") == fields_hash)
+        merged = rows.agg(F.hll_union_agg("sketch").alias("sketch"))
+        estimate = F.coalesce(F.hll_sketch_estimate("sketch"), F.lit(0)).cast("bigint")
+        return merged.select(estimate.alias("estimated_unique_hashes"))
 
     def compact_hashes(self, upto: int) -> None:
         """Merge the seen texts of the runs up to one number into a snapshot with a folder per prefix.
@@ -342,6 +367,22 @@ class VectorStore:
         measured = files.mapInArrow(_column_bytes(column), "year int, model string, bytes bigint")
         return counts.join(measured.groupBy("year", "model").agg(F.sum("bytes").alias("bytes")), ["year", "model"])
 
+    # ------------------------------------------------------------ run log
+
+    def write_run_log(self, run: int, model: str, fields_hash: str, started: float, ended: float, counters: DataFrame) -> None:
+        """One row of figures for a run that ended; times are seconds since the epoch."""
+        figures = counters.select(
+            F.lit(model).alias("model"), F.lit(fields_hash).alias("fields_hash"),
+            F.timestamp_micros(F.lit(int(started * 1e6))).alias("started_at"),
+            F.timestamp_micros(F.lit(int(ended * 1e6))).alias("ended_at"),
+            F.lit(ended - started).alias("seconds"), *counters.columns,
+        )
+        self._write(figures.coalesce(1), "run_log", run)
+
+    def run_log(self) -> DataFrame:
+        """Figures of all runs that ended."""
+        return self._read("run_log", RUN_LOG)
+
     # ------------------------------------------------------------ bad lines
 
     def write_bad_lines(self, lines: DataFrame, run: int) -> None:

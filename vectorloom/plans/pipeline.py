@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -16,6 +17,13 @@ from vectorloom.operators.index import SearchIndex, open_index
 from vectorloom.operators.store import VectorStore
 
 
+# fixed values: the counters of a run
+COUNTERS = (
+    "loaded_records", "total_records", "processed_records", "skipped_records", "failed_records", "duplicate_records",
+    "total_batches",
+)
+
+
 @dataclass(frozen=True)
 class IngestOptions:
     dedup: bool = True
@@ -42,6 +50,7 @@ def ingest(
     vectors, catalog, hashes, so a run that breaks off is repeated in full under the
     same number.
     """
+    started = time.time()
     run = store.next_run() if run is None else run
     E.factory_for(model)
     if options.resume:
@@ -66,7 +75,8 @@ def ingest(
     store.write_vectors(embedded, run)
     store.append_catalog(run, settings.fields_hash, settings.prompt_hash)
     store.append_hashes(run, settings.fields_hash)
-    return counters(store, run)
+    store.write_run_log(run, model, settings.fields_hash, started, time.time(), counters(store, run))
+    return store.run_log().where(F.col("run") == run).select(*COUNTERS)
 
 
 def _fresh(prepared: DataFrame, known: DataFrame, options: IngestOptions) -> DataFrame:

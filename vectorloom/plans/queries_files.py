@@ -5,17 +5,21 @@ The files go to the shared folder the session names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vectorloom.functions import vectors as V
 from vectorloom.operators import ann as N
 from vectorloom.operators import catalog as C
+from vectorloom.operators import dedup as D
 from vectorloom.operators import export as X
 from vectorloom.operators import prepare as P
+from vectorloom.operators import stats as A
 from vectorloom.operators.index import open_index
 from vectorloom.operators.store import VectorStore
 from vectorloom.plans import pipeline as L
 from vectorloom.plans import tables as B
-from vectorloom.plans.oracle_parts import DOCS, HASHED, VECS
+from vectorloom.plans.oracle_parts import DOCS, HASHED, STRIP, VECS, hashed_vectors
 from vectorloom.plans.queries_vectors import _KNN, DOC_VECTORS, _benchmark_vectors, _checksum, _embedded, _six
 from vectorloom.plans.registry import query
 from vectorloom.session import shared_folder
@@ -154,10 +158,13 @@ def _ingested(spark, sf_dir):
     "ingest_counters",
     f"""WITH {_STORED} SELECT (SELECT count(*) FROM docs) AS loaded_records, (SELECT count(*) FROM hashed) AS total_records,
         (SELECT count(*) FROM kept) AS processed_records, 0::BIGINT AS skipped_records, 0::BIGINT AS failed_records,
-        (SELECT count(*) FROM hashed) - (SELECT count(*) FROM kept) AS duplicate_records""",
+        (SELECT count(*) FROM hashed) - (SELECT count(*) FROM kept) AS duplicate_records, true AS calls_cover""",
 )
 def ingest_counters(spark, sf_dir):
-    return _ingested(spark, sf_dir)[1].drop("total_batches")
+    """How many calls a run makes follows the tasks; each holds 1 to 256 of its texts."""
+    made = _ingested(spark, sf_dir)[1]
+    calls, texts = F.col("total_batches"), F.col("processed_records")
+    return made.withColumn("calls_cover", (calls <= texts) & (calls * 256 >= texts)).drop("total_batches")
 
 
 @query(
@@ -172,7 +179,7 @@ def ingest_catalog(spark, sf_dir):
 
 @query(
     "ingest_stream",
-    f"WITH {_STORED} SELECT count(*) AS stored, count(DISTINCT text_hash) AS texts, count(DISTINCT year)::BIGINT AS years FROM kept",
+    f"WITH {_STORED} SELECT text_hash, true AS known_pair FROM kept",
 )
 def ingest_stream_query(spark, sf_dir):
     """The year files arriving one by one; each text is stored once over all batches."""
@@ -181,11 +188,98 @@ def ingest_stream_query(spark, sf_dir):
     lines = stream_lines(spark, f"{folder}/*.jsonl", files_per_trigger=4)
     writer = ingest_stream(lines, B.TEXT_ONLY, "hash://16", store, shared_folder(spark, "checkpoint"))
     writer.trigger(availableNow=True).start().awaitTermination()
-    return store.vectors().agg(
-        F.count("*").alias("stored"),
-        F.count_distinct("text_hash").alias("texts"),
-        F.count_distinct("year").alias("years"),
+    # which of the equal texts came first is up to the batches; it must be one that has the text
+    given = B.hashed(spark, sf_dir).select("bibcode", "year", "text_hash", F.lit(True).alias("known_pair"))
+    kept = store.vectors().select("bibcode", "year", "text_hash").join(given, ["bibcode", "year", "text_hash"], "left")
+    return kept.select("text_hash", F.coalesce("known_pair", F.lit(False)).alias("known_pair"))
+
+
+# documents ingested in two runs: even numbers first
+_TWO_RUNS = f"""{DOCS}, hashed AS (
+  SELECT bibcode, year, seq, arrival, lower(abstract) AS text, 1 + seq % 2 AS run,
+         sha256(lower(trim(lower(abstract), {STRIP}))) AS text_hash FROM docs WHERE abstract <> ''),
+prep AS (SELECT * FROM hashed QUALIFY row_number() OVER (PARTITION BY text_hash ORDER BY run, arrival) = 1)"""
+_TWO_RUNS_VECTORS = f"{_TWO_RUNS}, {hashed_vectors('dv', 'prep', 'bibcode', 'text', 64)}"
+
+
+@query(
+    "stored_vectors",
+    f"""WITH {_TWO_RUNS_VECTORS}, sums AS (SELECT bibcode, sum(stored) AS s, sum((d + 1) * stored) AS w FROM dv GROUP BY 1)
+        SELECT bibcode, year, '{B.MODEL}' AS model, run, round(coalesce(s, 0), 5) AS checksum, round(coalesce(w, 0), 4) AS weighed
+        FROM prep LEFT JOIN sums USING (bibcode)""",
+)
+def stored_vectors(spark, sf_dir):
+    """Every vector of a store; the weighed sum tells components in another order apart."""
+    rows = B.ingested_store(spark, sf_dir).vectors()
+    weighed = F.aggregate(
+        F.transform("embedding", lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0), lambda total, x: total + x
     )
+    checksum = F.round(V.component_sums("embedding")[0], 5)
+    return rows.select("bibcode", "year", "model", "run", checksum.alias("checksum"), F.round(weighed, 4).alias("weighed"))
+
+
+@query(
+    "stored_lookup",
+    f"""WITH {_TWO_RUNS}, placed AS (SELECT *, row_number() OVER (PARTITION BY year ORDER BY run, arrival) - 1 AS row_id FROM prep)
+        SELECT bibcode, year, row_id FROM placed WHERE bibcode IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)""",
+)
+def stored_lookup(spark, sf_dir):
+    """The stored vectors of all labelled records, through the catalog."""
+    store = B.ingested_store(spark, sf_dir)
+    wanted = B.table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("bibcode"))
+    found = C.embeddings_of(store.catalog(), store.vectors(model=B.MODEL), wanted, B.MODEL)
+    return found.where(F.size("embedding") == 64).select("bibcode", "year", "row_id")
+
+
+@query(
+    "stored_manifests",
+    f"WITH {_TWO_RUNS} SELECT year, '{B.MODEL}' AS model, 64::INTEGER AS dim, count(*) AS \"count\" FROM prep GROUP BY year",
+)
+def stored_manifests(spark, sf_dir):
+    return B.ingested_store(spark, sf_dir).manifests().select("year", "model", "dim", "count")
+
+
+@query(
+    "seen_texts_snapshot",
+    f"WITH {_TWO_RUNS} SELECT text_hash, bibcode AS first_seen_bibcode, year AS first_seen_year FROM prep",
+)
+def seen_texts_snapshot(spark, sf_dir):
+    """Seen texts read from a snapshot of the first run and the run after it, for the documents' own hashes."""
+    store = B.ingested_store(spark, sf_dir)
+    if not store.exists("hash_base/upto=1/_SUCCESS"):
+        store.compact_hashes(1)
+    folder = shared_folder(spark, "wanted")
+    B.hashed(spark, sf_dir).select("text_hash").write.parquet(folder)
+    return store.hashes(wanted=spark.read.parquet(folder))
+
+
+@query(
+    "dedup_store_estimate",
+    f"WITH {_TWO_RUNS} SELECT count(*) AS unique_hashes, true AS within_two_percent FROM prep",
+)
+def dedup_store_estimate(spark, sf_dir):
+    """The estimate from the runs' sketches against the exact count."""
+    store = B.ingested_store(spark, sf_dir)
+    exact = D.store_stats(store.hash_rows())
+    error = F.abs(F.col("estimated_unique_hashes") - F.col("unique_hashes")) / F.greatest(F.col("unique_hashes"), F.lit(1))
+    both = store.hash_estimate().join(F.broadcast(exact))
+    return both.select("unique_hashes", (error <= 0.02).alias("within_two_percent"))
+
+
+@query(
+    "run_throughput",
+    f"""WITH {_TWO_RUNS}, n AS (SELECT run, count(*) AS processed_records FROM prep GROUP BY run)
+        SELECT run, processed_records, CAST(sum(processed_records) OVER (ORDER BY run) AS BIGINT) AS records_done,
+        true AS rate_fits, true AS time_left_fits FROM n""",
+)
+def run_throughput(spark, sf_dir):
+    """Figures of the stored runs; times differ from run to run, so what they must satisfy is compared."""
+    store = B.ingested_store(spark, sf_dir)
+    planned = B.records(spark, sf_dir).count() * 2
+    rows = A.run_throughput(store.run_log(), planned)
+    rate = F.abs(F.col("records_per_second") * F.col("seconds") - F.col("processed_records")) < 1e-6
+    left = F.abs(F.col("hours_left") * 3600 * F.col("records_per_second") - (F.lit(planned) - F.col("records_done"))) < 1e-3
+    return rows.select("run", "processed_records", "records_done", rate.alias("rate_fits"), left.alias("time_left_fits"))
 
 
 _ALL_VECTORS = f"WITH {VECS} SELECT bibcode, round(list_sum(v), 6) AS checksum FROM vecs"
@@ -222,11 +316,19 @@ def export_search_docs(spark, sf_dir):
     return back.select("bibcode", _checksum("embedding_vector"))
 
 
-@query("id_list", f"WITH {VECS} SELECT bibcode FROM vecs")
+@query(
+    "id_list",
+    f"""WITH {VECS} SELECT bibcode, year, row_number() OVER (PARTITION BY year ORDER BY arrival) - 1 AS line FROM vecs""",
+)
 def id_list(spark, sf_dir):
+    """One list per block, in row order."""
     folder = shared_folder(spark, "ids")
-    X.write_id_list(C.catalog_entries(B.vectors(spark, sf_dir), "f", "p").orderBy("year", "row_id"), folder)
-    return spark.read.text(folder).select(F.col("value").alias("bibcode"))
+    X.write_id_list(C.catalog_entries(B.vectors(spark, sf_dir), "f", "p"), folder)
+    lines = R.scan_lines(spark, f"{folder}/year=*/model=*")
+    year = F.regexp_extract("path", "year=([0-9]+)/", 1).cast("int")
+    placed = lines.select(F.col("value").alias("bibcode"), year.alias("year"), "path", "seq")
+    line = F.row_number().over(W.partitionBy("year").orderBy("path", "seq")) - 1
+    return placed.select("bibcode", "year", line.cast("bigint").alias("line"))
 
 
 @query(

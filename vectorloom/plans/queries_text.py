@@ -126,9 +126,15 @@ def limit_records(spark, sf_dir):
     return P.limit_records(B.prepared(spark, sf_dir), 150).select("bibcode", "year")
 
 
-@query("limit_records_large", f"WITH {DOCS} SELECT bibcode, year FROM docs ORDER BY arrival LIMIT 150000")
+@query(
+    "limit_records_large",
+    f"""WITH {DOCS} SELECT bibcode, year FROM docs QUALIFY row_number() OVER (ORDER BY arrival)
+        <= (SELECT count(*) * 9 // 10 FROM docs)""",
+)
 def limit_records_large(spark, sf_dir):
-    return P.limit_records(B.prepared(spark, sf_dir), 150_000).select("bibcode", "year")
+    """Nine tenths of all records: the cut lies in a late year."""
+    prepared = B.prepared(spark, sf_dir)
+    return P.limit_records(prepared, prepared.count() * 9 // 10).select("bibcode", "year")
 
 
 @query("year_range", f"WITH {DOCS} SELECT count(DISTINCT year) AS years, min(year) AS first_year, max(year) AS last_year FROM docs")
@@ -336,11 +342,6 @@ def dedup_store_stats(spark, sf_dir):
     return D.store_stats(D.first_seen(B.hashed(spark, sf_dir)))
 
 
-@query("dedup_store_estimate")
-def dedup_store_estimate(spark, sf_dir):
-    return D.store_estimate(B.hashed(spark, sf_dir))
-
-
 @query(
     "resume_skip",
     f"""WITH {DOCS}, {VECS} SELECT bibcode, year FROM docs
@@ -392,10 +393,13 @@ statuses AS (
     "run_counters",
     f"""WITH {_STATUSES} SELECT count(*) AS loaded_records, count(*) FILTER (status <> 'rejected') AS total_records,
         count(*) FILTER (status = 'ok') AS processed_records, count(*) FILTER (status = 'rejected') AS skipped_records,
-        0::BIGINT AS failed_records, count(*) FILTER (status = 'duplicate') AS duplicate_records FROM statuses""",
+        0::BIGINT AS failed_records, count(*) FILTER (status = 'duplicate') AS duplicate_records,
+        count(*) FILTER (status = 'ok' AND year % 3 = 0) AS total_batches FROM statuses""",
 )
 def run_counters(spark, sf_dir):
-    return A.run_counters(_statuses(spark, sf_dir)).drop("total_batches")
+    """A model call has its number on the first of its records; here those of every third year."""
+    call = F.when((F.col("status") == "ok") & (F.col("year") % 3 == 0), F.col("year"))
+    return A.run_counters(_statuses(spark, sf_dir).withColumn("batch_no", call))
 
 
 @query(
@@ -403,7 +407,9 @@ def run_counters(spark, sf_dir):
     f"""WITH {_STATUSES}, c AS (SELECT count(*) FILTER (status = 'ok') AS p, count(*) FILTER (status = 'rejected') AS s,
         min(year) AS y1, max(year) AS y2 FROM statuses)
         SELECT p AS total_papers_processed, s AS total_papers_skipped, printf('%.2f%%', round(100.0 * p / (p + s), 2)) AS success_rate,
-        greatest(CAST(ceil(p / 250) AS BIGINT), 1) AS chunks_created, y1 || '-' || y2 AS year_range FROM c""",
+        greatest(CAST(ceil(p / 250) AS BIGINT), 1) AS chunks_created, y1 || '-' || y2 AS year_range,
+        (SELECT string_agg(year::VARCHAR, ',' ORDER BY year) FROM (SELECT DISTINCT year FROM statuses)) AS years_processed FROM c""",
 )
 def processing_summary(spark, sf_dir):
-    return A.processing_summary(_statuses(spark, sf_dir), chunk_size=250)
+    summary = A.processing_summary(_statuses(spark, sf_dir), chunk_size=250)
+    return summary.withColumn("years_processed", F.array_join(F.col("years_processed").cast("array<string>"), ","))

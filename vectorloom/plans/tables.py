@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vectorloom.operators import dedup as D
 from vectorloom.operators import prepare as P
+from vectorloom.operators.store import VectorStore
 from vectorloom.operators.term_index import TermIndex
 from vectorloom.session import apply_runtime_conf, path_exists, shared_folder
 
@@ -107,6 +108,18 @@ def document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{kept_folder(spark, sf_dir, 'document-vectors', build)}/vectors")
 
 
+def ingested_store(spark: SparkSession, sf_dir: str) -> VectorStore:
+    """A store of all documents, ingested once in two runs: those of even numbers, then the others."""
+    from vectorloom.plans import pipeline as L
+
+    def build(folder: str) -> None:
+        docs, store = records(spark, sf_dir), VectorStore(spark, f"{folder}/store", half_precision=False)
+        for run, half in ((1, "seq % 2 = 0"), (2, "seq % 2 = 1")):
+            L.ingest(docs.where(half), TEXT_ONLY, MODEL, store, run=run)
+
+    return VectorStore(spark, f"{kept_folder(spark, sf_dir, 'ingested', build)}/store", half_precision=False)
+
+
 def term_index(spark: SparkSession, sf_dir: str) -> TermIndex:
     """Titles and texts of all documents, indexed once in two runs."""
 
