@@ -51,8 +51,17 @@ def test_split_is_the_pattern():
 def test_every_code_point_as_the_library(library):
     points = [chr(c) for c in range(0, 0x30000) if not 0xD800 <= c < 0xE000]
     sample = ["".join(f"a{c}1{c}!{c}" for c in points[i : i + 64]) for i in range(0, len(points), 64)]
-    ids = pretokens.library_words(vocabulary("byte_bpe_50k.json")).ids(pretokens.split(sample))
-    assert [i.tolist() for i in ids] == [library(t) for t in sample]
+    words, want = pretokens.library_words(vocabulary("byte_bpe_50k.json")), [library(t) for t in sample]
+    assert [i.tolist() for i in words.ids(pretokens.split(sample))] == want
+    assert [i.tolist() for i in words.of_texts(sample)] == want
+
+
+def test_whole_texts_as_the_library(library):
+    words = pretokens.library_words(vocabulary("byte_bpe_50k.json"))
+    for seed, most in ((7, 3), (8, 40), (9, 400)):
+        sample = ["", *texts(seed, 300, most), "x" * 5000, "", "end's"]
+        assert [i.tolist() for i in words.of_texts(sample)] == [library(t) for t in sample]
+    assert words.of_texts([]) == [] and [len(i) for i in words.of_texts(["", ""])] == [0, 0]
 
 
 def test_added_tokens_in_texts_as_the_library(spark, frame):

@@ -16,6 +16,7 @@ from collections.abc import Callable, Sequence
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import regex
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
@@ -99,7 +100,7 @@ class WordIds:
 
     def __init__(self, encode: Callable[[list[str]], list[Sequence[int]]], dtype: np.dtype, most: int = 300_000):
         self.encode, self.dtype, self.most = encode, np.dtype(dtype), most
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str | bytes, bytes] = {}
 
     def ids(self, pieces: Sequence[list[str]]) -> list[np.ndarray]:
         """The ids of each text, given as its pieces."""
@@ -117,6 +118,42 @@ class WordIds:
         return result
 
 
+    def of_texts(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """The ids of each text: pieces are told apart by Arrow, and only the distinct ones are met in Python."""
+        joined = "".join(texts)
+        ends = np.cumsum([len(t) for t in texts]) if texts else np.zeros(0, np.int64)
+        begins = np.concatenate([[0], ends[:-1]]).astype(np.int64) if texts else ends
+        if not joined:
+            return [np.zeros(0, self.dtype) for _ in texts]
+        codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        starts = piece_starts(codes, begins[begins < ends])
+        wide = np.ones(len(codes), np.int32)
+        for least in (0x80, 0x800, 0x10000):
+            wide += codes >= least
+        byte = np.concatenate([[0], np.cumsum(wide)])
+        buffers = [None, pa.py_buffer(byte[np.append(starts, len(codes))].astype(np.int32)), pa.py_buffer(joined.encode())]
+        coded = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.known) > self.most:
+            self.known = {}
+        known = self.known
+        missing = [w for w in distinct if w not in known]
+        for word, ids in zip(missing, self.encode([w.decode() for w in missing]) if missing else []):
+            known[word] = np.asarray(ids, self.dtype).tobytes()
+        parts = [known[w] for w in distinct]
+        for word in missing:
+            if len(word) > LONG_WORD:
+                del known[word]
+        flat = np.frombuffer(b"".join(parts), self.dtype)
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
+        which = coded.indices.to_numpy()
+        count = size[which]
+        until = np.concatenate([[0], np.cumsum(count)])
+        ids = flat[np.repeat((np.cumsum(size) - size)[which] - until[:-1], count) + np.arange(until[-1])]
+        first, last = until[np.searchsorted(starts, begins)], until[np.searchsorted(starts, ends)]
+        return [ids[a:b] for a, b in zip(first.tolist(), last.tolist())]
+
+
 def _byte_signs() -> dict[int, int]:
     """The character that stands for each byte in byte-level vocabularies: printable ones
     of Latin-1 stand for themselves, the others are numbered from 256."""
@@ -166,9 +203,9 @@ def library_ids(path: str, texts: Sequence[str]) -> list[np.ndarray]:
     tokenizer, added = _added(path)
     whole = [i for i, text in enumerate(texts) if any(token in text for token in added)]
     if not whole:
-        return words.ids(split(texts))
+        return words.of_texts(texts)
     held = set(whole)
-    ids = words.ids(split(["" if i in held else text for i, text in enumerate(texts)]))
+    ids = words.of_texts(["" if i in held else text for i, text in enumerate(texts)])
     for i in whole:
         ids[i] = np.array(tokenizer.encode(texts[i], add_special_tokens=False).ids, words.dtype)
     return ids

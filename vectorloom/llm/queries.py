@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from vectorloom.llm import byte_bpe, chunk_prints, exact_dedup, lexical_search, ngram_join, ngram_lm, packing, prefix_trie, quality, secret_scan, sharding, token_files, toxicity
@@ -12,10 +10,7 @@ from vectorloom.plans.registry import query
 
 
 def vocabulary(name: str) -> str:
-    """Place of a public vocabulary file: in the folder ``PUBLIC_TOKENIZERS``, or in the installed package."""
-    folder = os.environ.get("PUBLIC_TOKENIZERS")
-    if folder:
-        return os.path.join(folder, name)
+    """Place of a public vocabulary file of the installed package."""
     import public_tokenizers
 
     return public_tokenizers.path(name)
