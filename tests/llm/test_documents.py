@@ -330,3 +330,38 @@ def test_components(spark):
             low, high = sorted((find(a), find(b)))
             root[high] = low
     assert got == {i: find(i) for i in root}
+
+
+CLASHING = "doc_id bigint, text string, _own string, _kept int, _dropped int, _digest string, own_id int, OWN_DIGEST int, gone_id int, kept int, digest int, cls int"
+
+
+def clashing(spark, pairs):
+    return spark.createDataFrame([(i, t, f"o{n}", n, n, "d", n, n, n, n, n, n) for n, (i, t) in enumerate(pairs)], CLASHING)
+
+
+def test_stages_keep_clashing_columns_as_they_are(spark):
+    near = " ".join(f"w{i}" for i in range(60))
+    docs = clashing(spark, [(1, near), (2, near + " more"), (3, "a  b"), (4, "a b"), (5, None), (6, "")])
+    for step, gone in ((exact_dedup.drop_copies, {4, 6}), (ngram_join.keep_one, {2, 4})):
+        kept = step(docs)
+        assert kept.columns == docs.columns
+        assert sorted(map(tuple, kept.collect())) == sorted(tuple(r) for r in docs.collect() if r["doc_id"] not in gone)
+
+
+def test_two_texts_under_one_identifier_are_decided_each(frame):
+    w = " ".join(f"w{i}" for i in range(40))
+    docs = frame([(1, w), (2, w + " x"), (2, "a text that nothing else is like at all"), (3, "one two"), (3, "one  two")])
+    near = sorted((r["doc_id"], r["text"]) for r in ngram_join.keep_one(docs).collect())
+    assert near == [(1, w), (2, "a text that nothing else is like at all"), (3, "one  two"), (3, "one two")]
+    exact = [(r["doc_id"], r["text"]) for r in exact_dedup.drop_copies(docs).collect()]
+    assert sorted(i for i, _ in exact) == [1, 2, 2, 3]
+
+
+def test_repeated_rows_leave_one(frame):
+    rows = [(7, "same words"), (7, "same words"), (7, "same\twords"), (8, "same words"), (None, "same words"), (None, None), (None, "")]
+    kept = exact_dedup.drop_copies(frame(rows)).collect()
+    assert [(r["doc_id"], exact_dedup_words(r["text"])) for r in sorted(kept, key=lambda r: r["doc_id"] or 0)] == [(None, []), (7, ["same", "words"])]
+
+
+def exact_dedup_words(text):
+    return (text or "").split()

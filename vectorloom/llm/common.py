@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -27,12 +28,60 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def stored(frame: DataFrame, purpose: str) -> DataFrame:
-    """Write a step to the shared folder and read it back: its lineage ends here."""
+_made: dict[str, list[str]] = {}  # folders of steps, by application
+
+
+def stored(frame: DataFrame, purpose: str, kept: bool = False) -> DataFrame:
+    """Write a step to the shared folder and read it back: its lineage ends here.
+
+    ``discard`` deletes it when the next step is written; ``release`` all that aren't ``kept``.
+    """
     spark = frame.sparkSession
     path = shared_folder(spark, purpose)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    if not kept:
+        _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    result = spark.read.schema(frame.schema).parquet(path)
+    result._stored_at = path
+    return result
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Delete stored steps that nothing reads any more, and let go of finished shuffles.
+
+    Spark removes a shuffle's files once its plan is no longer referred to, which its
+    cleaner learns from a collection in the driver.
+    """
+    held = [frame for frame in frames if frame is not None]
+    for frame in held:
+        _delete(frame.sparkSession, frame._stored_at)
+    if held:
+        gc.collect()
+        held[0].sparkSession._jvm.System.gc()
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all stored steps of this application: for a caller whose results are written."""
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    made = _made.get(spark.sparkContext.applicationId, [])
+    if path in made:
+        made.remove(path)
+
+
+def fresh(frame: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have, in any case of letters."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def slices(batches: Iterable[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import id_and_text, stored
+from vectorloom.llm.common import fresh, id_and_text, stored
 from vectorloom.operators.lookup import lookup
 from vectorloom.session import shared_folder
 
@@ -148,11 +148,28 @@ def find_copies(
 
 
 def drop_copies(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of repeated rows one stays."""
+    """The rows of ``docs`` that stay, with all their columns, whatever these are called.
+
+    Null texts count as empty; a null identifier stays only if its text has no other; rows
+    with the same identifier and different texts are decided each by its text. Of rows that
+    repeat identifier and text one stays. An empty table stays empty. Only the identifiers
+    and digests of rows that go are joined; where they are few no text is moved.
+    """
     copies = find_copies(docs, id_col, text_col)
-    kept = copies.where("kept").select(F.col("doc_id").alias("_kept"), F.col("text_sha256").alias("_digest")).distinct()
+    own_id, own_digest = fresh(docs, "own_id"), fresh(docs, "own_digest")
+    pair = [F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_digest")]
+    decided = copies.groupBy(*pair).agg(F.max("kept").alias("stays"), F.count("*").alias("rows"))
+    decided = stored(decided.where("not stays or rows > 1"), "dedup-decided")
     digest = text_digest(normalised(F.coalesce(F.col(text_col), F.lit(""))))
-    joined = docs.withColumn("_own", digest).join(
-        kept, F.col(id_col).cast("bigint").eqNullSafe(F.col("_kept")) & (F.col("_own") == F.col("_digest")), "left_semi"
-    )
-    return joined.dropDuplicates([id_col, "_own"]).select(*[f"`{c}`" for c in docs.columns])
+    named = docs.withColumns({own_id: F.col(id_col).cast("bigint"), own_digest: digest})
+
+    def matches(some: DataFrame):
+        return named[own_id].eqNullSafe(some["gone_id"]) & (named[own_digest] == some["gone_digest"])
+
+    columns = [f"`{column}`" for column in docs.columns]
+    rest = named.join(decided, matches(decided), "left_anti").select(*columns)
+    repeated = decided.where("stays")
+    if repeated.isEmpty():
+        return rest
+    once = named.join(repeated, matches(repeated), "left_semi").dropDuplicates([own_id, own_digest])
+    return rest.unionByName(once.select(*columns))
