@@ -39,6 +39,7 @@ STEP = 10
 POWER = 2  # of the normalised kernel: a product of kernels is one, and near strings stand out
 WORST = 4  # units of a document whose margins count beside the highest
 KEPT_UNITS = 400_000
+WORDS_AT_ONCE = 16_384
 # Odd factors that mix hashes, one per unit of a window.
 MIX = tuple(np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 WINDOW = len(MIX)
@@ -125,6 +126,61 @@ def kernel(rows: np.ndarray, others: np.ndarray, decay: float) -> np.ndarray:
     return total
 
 
+class Prefixes:
+    """The distinct prefixes of sorted words, marks included, level by level.
+
+    A level has the last letter of each prefix and the place of its parent in the level
+    before; ``ends`` and ``places`` tell where each word ends.
+    """
+
+    def __init__(self, words: list[str]):
+        marked = [START + w + END for w in words]
+        self.ends = np.array([len(w) - 1 for w in marked])
+        width = int(self.ends.max()) + 1
+        padded = "".join([w.ljust(width, "\0") for w in marked]).encode("utf-32-le", "surrogatepass")
+        rows = np.frombuffer(padded, np.uint32).reshape(len(words), width)
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        self.places = np.zeros(len(words), np.int64)
+        new = np.zeros(len(words), bool)
+        new[0] = True
+        above = np.zeros(len(words), np.int64)
+        for at in range(width):
+            new[1:] |= rows[1:, at] != rows[:-1, at]
+            inside = self.ends >= at
+            first = new & inside
+            # words that end before this level lie between those that go on: a prefix starts at its first word
+            place = np.cumsum(first) - 1
+            self.levels.append((rows[first, at], above[first]))
+            here = self.ends == at
+            self.places[here] = place[here]
+            above = place
+
+
+def prefix_kernel(prefixes: Prefixes, column: np.ndarray, decay: float) -> np.ndarray:
+    """``kernel`` of each word with one partner, ``(width, 1)``: what words share at their start is summed once."""
+    width = len(column)
+    spans = (decay ** np.arange(width)).astype(np.float32)[:, None]
+    counts = [np.zeros((width, 1), np.float32) for _ in range(ORDER - 1)]
+    total = np.zeros(1, np.float32)
+    result = np.zeros(len(prefixes.ends), np.float32)
+    for a, (letters, parents) in enumerate(prefixes.levels):
+        counts, total = [c[:, parents] for c in counts], total[parents]
+        match = column == letters[None, :]
+        last = counts[-1][:-1] * match[1:]
+        last *= spans[1:]
+        total = total + np.float32(decay ** (a + 2)) * last.sum(0)
+        for i in range(ORDER - 2, 0, -1):
+            longer = counts[i - 1][:-1] * match[1:]
+            np.cumsum(longer, axis=0, out=longer)
+            counts[i][1:] += longer
+        first = match * (np.float32(decay**-a) / spans)
+        np.cumsum(first, axis=0, out=first)
+        counts[0] += first
+        here = prefixes.ends == a
+        result[here] = total[prefixes.places[here]]
+    return result
+
+
 class Kernel:
     """Normalised kernel values of words with landmarks."""
 
@@ -133,19 +189,26 @@ class Kernel:
         self.columns = [codes([w]).T for w in landmarks]
         self.norms = [max(1e-12, float(kernel(c.T, c, decay)[0])) ** 0.5 for c in self.columns]
 
-    def values(self, words: list[str]) -> np.ndarray:
-        result = np.zeros((len(words), len(self.landmarks)), np.float32)
+    def _lengths(self, words: list[str]) -> np.ndarray:
+        """The root of each word's kernel with itself."""
+        result = np.zeros(len(words), np.float32)
         by_length: dict[int, list[int]] = {}
         for i, word in enumerate(words):
-            if len(word) >= LETTERS:
-                by_length.setdefault(len(word), []).append(i)
+            by_length.setdefault(len(word), []).append(i)
         for places in by_length.values():
-            for at in range(0, len(places), 8192):
-                part = places[at : at + 8192]
-                rows = codes([words[i] for i in part])
-                own = np.sqrt(np.maximum(kernel(rows, np.ascontiguousarray(rows.T), self.decay), 1e-12))
-                for k, (column, norm) in enumerate(zip(self.columns, self.norms)):
-                    result[part, k] = kernel(rows, column, self.decay) / (own * norm)
+            rows = codes([words[i] for i in places])
+            result[places] = np.sqrt(np.maximum(kernel(rows, np.ascontiguousarray(rows.T), self.decay), 1e-12))
+        return result
+
+    def values(self, words: list[str]) -> np.ndarray:
+        result = np.zeros((len(words), len(self.landmarks)), np.float32)
+        order = sorted((i for i, word in enumerate(words) if len(word) >= LETTERS), key=words.__getitem__)
+        for at in range(0, len(order), WORDS_AT_ONCE):
+            part = order[at : at + WORDS_AT_ONCE]
+            some = [words[i] for i in part]
+            own, prefixes = self._lengths(some), Prefixes(some)
+            for k, (column, norm) in enumerate(zip(self.columns, self.norms)):
+                result[part, k] = prefix_kernel(prefixes, column, self.decay) / (own * norm)
         return result**POWER
 
 
