@@ -106,3 +106,18 @@ def test_vectors_from_a_table(spark):
     vectors = spark.createDataFrame([("b0", [1.0, 2.0])], "bibcode string, embedding array<float>")
     rows = {r["bibcode"]: (r["status"], r["embedding"]) for r in E.embed_from_table(texts(spark, "a", "b"), vectors, "table://t").collect()}
     assert rows == {"b0": ("ok", [1.0, 2.0]), "b1": ("failed", None)}
+
+
+def test_a_comparison_goes_on_without_a_model_that_fails(spark, caplog):
+    class Half:
+        name, dim = "half://2", 2
+
+        def embed(self, texts):
+            raise RuntimeError("out of order")
+
+    E.register_provider("half", lambda name: Half())
+    texts = spark.createDataFrame([("a", "one two"), ("b", "three")], "bibcode string, text string")
+    found = E.embed_with_models(texts, ["nowhere://1", "hash://8", "half://2"])
+    assert {(r["bibcode"], r["model"]) for r in found.collect()} == {("a", "hash://8"), ("b", "hash://8")}
+    assert "model left out" in caplog.text
+    assert E.embed_with_models(texts, ["nowhere://1"]).count() == 0

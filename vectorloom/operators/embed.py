@@ -7,6 +7,7 @@ scheme, once per Python worker, and gets batches sized by the average text lengt
 from __future__ import annotations
 
 import hashlib
+import logging
 import re
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
@@ -22,6 +23,8 @@ from pyspark.sql import types as T
 from vectorloom.operators.lookup import lookup
 from vectorloom.session import spread_small
 
+log = logging.getLogger(__name__)
+
 OK, FAILED = "ok", "failed"
 
 
@@ -214,9 +217,18 @@ def embed_with_models(texts: DataFrame, models: Sequence[str], key: str = "bibco
     """Each text through each model, one row per text and model.
 
     The models are a short list given by the caller; each text is repeated once per
-    model and every model is built only where its rows are.
+    model and every model is built only where its rows are. A model that is not known is
+    left out with a warning, one that fails gives no rows for the texts it fails on.
     """
-    frames = [embed_texts(texts.select(key, text), model, text) for model in models]
+    frames = []
+    for model in models:
+        try:
+            frames.append(embed_texts(texts.select(key, text), model, text))
+        except ValueError as problem:
+            log.warning("model left out: %s", problem)
+    if not frames:
+        schema = T.StructType([texts.schema[key]]).add("model", "string").add("embedding", T.ArrayType(T.FloatType()))
+        return texts.sparkSession.createDataFrame([], schema)
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame)

@@ -15,6 +15,7 @@ from vectorloom.plans import tables as B
 from vectorloom.plans.oracle_parts import DOCS, HASHED, STRIP, VECS
 from vectorloom.plans.registry import query
 from vectorloom.sources import files as R
+from vectorloom.sources.custom import load_records
 
 # ---------------------------------------------------------------- JSON records
 
@@ -142,6 +143,17 @@ def year_range(spark, sf_dir):
     return A.year_range(B.records(spark, sf_dir))
 
 
+@query(
+    "table_source",
+    """SELECT CAST(doc_id AS VARCHAR) AS bibcode, 2000::INTEGER AS year, 2000::INTEGER AS source_pos, doc_id AS seq, text, lang
+       FROM documents""",
+)
+def table_source(spark, sf_dir):
+    """The documents through the interface of record sources."""
+    uri = f"table:{sf_dir}/documents.parquet?key=doc_id&order=doc_id&year=2000"
+    return load_records(spark, uri, ["text", "lang"])
+
+
 # ---------------------------------------------------------------- prepared text
 
 
