@@ -171,3 +171,45 @@ def test_ingest_after_compaction_finds_everything_seen(spark, tmp_path):
     made = L.ingest(docs(20, 30), settings, MODEL, store).first()
     assert (made["processed_records"], made["duplicate_records"]) == (20, 10)
     assert E.embed_one("text 3", MODEL)
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_snapshot_of_vectors_spares_the_join(spark, tmp_path):
+    store = VectorStore(spark, str(tmp_path / "store"))
+    for run, first in ((1, 0), (2, 30), (3, 50)):  # each run replaces rows of the one before
+        store.write_vectors(results(spark, 60, year=2020 + run % 2, first=first), run)
+        store.append_catalog(run, "f", "p")
+    live = lambda: {(r["bibcode"], r["run"], r["year"], tuple(r["embedding"])) for r in store.vectors().collect()}
+    before = live()
+    assert len(before) == 110 and "Join" in plan_of(store.vectors())
+    store.compact_vectors(3)
+    assert live() == before
+    assert "Join" not in plan_of(store.vectors()) and "Join" not in plan_of(store.vectors(2021, MODEL))
+    assert store.vectors(2021, MODEL).count() == len([row for row in before if row[2] == 2021])
+    assert scanned(store.vectors(2020, MODEL).where("bibcode = 'b000035'")) <= 110
+    # a run after the snapshot
+    store.write_vectors(results(spark, 20, year=2020, first=100), 4)
+    store.append_catalog(4, "f", "p")
+    newer = {row[:2] for row in live()}
+    assert len(newer) == 120 and ("b000105", 4) in newer and ("b000105", 3) not in newer
+    # an incomplete snapshot is not read, a complete one is
+    (tmp_path / "store" / "vector_base_info" / "upto=9").mkdir()
+    assert {row[:2] for row in live()} == newer
+    store.compact_vectors(4)
+    assert {row[:2] for row in live()} == newer and "Join" not in plan_of(store.vectors())
+
+
+def test_a_removed_block_brings_back_what_a_snapshot_left_out(spark, tmp_path):
+    store = VectorStore(spark, str(tmp_path / "store"))
+    for run in (1, 2):
+        store.write_vectors(results(spark, 10, year=2020 + run), run)
+        store.append_catalog(run, "f", "p")
+    store.compact_vectors(2)
+    assert {r["run"] for r in store.vectors().collect()} == {2}
+    store.remove_year_model(2022, MODEL, run=2)
+    assert {(r["run"], r["year"]) for r in store.vectors().collect()} == {(1, 2021)}
+    store.compact_vectors(2)
+    assert store.vectors().count() == 10 and "left_anti" not in plan_of(store.vectors()).lower()

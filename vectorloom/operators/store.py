@@ -37,6 +37,10 @@ HASHES = (
     "text_hash string, first_seen_bibcode string, first_seen_year int, model string, fields_hash string, run bigint"
 )
 HASH_BASE = f"{HASHES}, prefix string"
+VECTOR_BASE = (
+    "bibcode string, arrival bigint, text_hash string, embedding array<float>, half binary, run bigint, year int, model string"
+)
+VECTOR_BASE_COLUMNS = ("bibcode", "arrival", "text_hash", "embedding", "half", "run", "year", "model")
 MANIFESTS = (
     "year int, model string, dim int, count bigint, fields_hash string, prompt_hash string, "
     "created_at timestamp, vector_file string, version bigint"
@@ -157,22 +161,64 @@ class VectorStore:
 
         Runs that broke off before their catalog was written don't count.
         """
-        rows = self.results().where(F.col("status") == "ok").drop("status", "error", "batch_no")
+        def chosen(rows: DataFrame) -> DataFrame:
+            if year is not None:
+                rows = rows.where(F.col("year") == year)
+            return rows if model is None else rows.where(F.col("model") == model)
+
+        base = self._vector_base()
+        later = self._read("vectors", VECTORS).where(F.col("status") == "ok")
+        if base is not None:
+            later = later.where(F.col("run") > base)  # whole folders are left out
         if unfinished := self._unfinished():
-            rows = rows.where(~F.col("run").isin(unfinished))
-        if year is not None:
-            rows = rows.where(F.col("year") == year)
-        if model is not None:
-            rows = rows.where(F.col("model") == model)
-        return self._without_replaced(self._without_removed(rows, "run"))
+            later = later.where(~F.col("run").isin(unfinished))
+        rows = self._without_removed(chosen(later), "run").drop("status", "error", "batch_no")
+        if base is not None:
+            merged = self.spark.read.schema(VECTOR_BASE).parquet(self.path(f"vector_base/upto={base}"))
+            rows = chosen(merged).unionByName(rows)
+        return self._unpacked(self._without_replaced(rows, base or 0))
 
-    def _without_replaced(self, rows: DataFrame) -> DataFrame:
+    def _without_replaced(self, rows: DataFrame, base: int) -> DataFrame:
+        """Rows that no run after ``base`` replaced; without such marks the plan has no join."""
         if not self.exists("replaced"):
             return rows
         # a mark of a run that was removed later doesn't count: the earlier vector is back
-        marks = self._without_removed(self._read("replaced", REPLACED), "version")
+        marks = self._without_removed(self._read("replaced", REPLACED).where(F.col("version") > base), "version")
+        if marks.isEmpty():
+            return rows
         return rows.join(marks.select("bibcode", "model", "run"), ["bibcode", "model", "run"], "left_anti")
 
+    def compact_vectors(self, upto: int) -> None:
+        """Write the live vectors of the runs up to one number as a snapshot, sorted by block and record.
+
+        Searches then read it in place of those runs, without looking for replaced rows.
+        The runs stay, so that a block removed later brings back what it had replaced:
+        from then on the snapshot is not read until the next one is written.
+        """
+        rows = self._read("vectors", VECTORS).where((F.col("status") == "ok") & (F.col("run") <= upto))
+        if unfinished := self._unfinished():
+            rows = rows.where(~F.col("run").isin(unfinished))
+        rows = self._without_removed(rows, "run").drop("status", "error", "batch_no")
+        if self.exists("replaced"):
+            marks = self._read("replaced", REPLACED).where(F.col("version") <= upto)
+            marks = self._without_removed(marks, "version").select("bibcode", "model", "run")
+            rows = rows.join(marks, ["bibcode", "model", "run"], "left_anti")
+        ordered = rows.select(*VECTOR_BASE_COLUMNS).repartitionByRange("year", "model", "bibcode")
+        self._save(ordered, f"vector_base/upto={upto}", ["year", "model"], "bibcode")
+        seen = self.spark.createDataFrame([(upto, self._removed_marks())], "upto bigint, removed_marks bigint")
+        seen.coalesce(1).write.mode("overwrite").parquet(self.path(f"vector_base_info/upto={upto}"))
+
+    def _removed_marks(self) -> int:
+        return self._read("removed", REMOVED).count() if self.exists("removed") else 0
+
+    def _vector_base(self) -> int | None:
+        """The newest complete snapshot of vectors, unless a block was removed since."""
+        base = self._base("vector_base_info")
+        if base is None or not self.exists(f"vector_base/upto={base}/_SUCCESS"):
+            return None
+        info = self.spark.read.parquet(self.path(f"vector_base_info/upto={base}")).first()
+        return base if info["removed_marks"] == self._removed_marks() else None
+
     # ------------------------------------------------------------ catalog
 
     def append_catalog(self, run: int, fields_hash: str, prompt_hash: str) -> None:
