@@ -47,25 +47,27 @@ def stored(frame: DataFrame, purpose: str, kept: bool = False) -> DataFrame:
 
 
 def discard(*frames: DataFrame | None) -> None:
-    """Delete stored steps that nothing reads any more, and let go of finished shuffles.
+    """Delete stored steps that nothing reads any more."""
+    for frame in frames:
+        if frame is not None:
+            _delete(frame.sparkSession, frame._stored_at)
+
+
+def let_go(spark: SparkSession) -> None:
+    """Have finished shuffles removed.
 
     Spark removes a shuffle's files once its plan is no longer referred to, which its
     cleaner learns from a collection in the driver.
     """
-    held = [frame for frame in frames if frame is not None]
-    for frame in held:
-        _delete(frame.sparkSession, frame._stored_at)
-    if held:
-        gc.collect()
-        held[0].sparkSession._jvm.System.gc()
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def release(spark: SparkSession) -> None:
     """Delete all stored steps of this application: for a caller whose results are written."""
     for path in _made.pop(spark.sparkContext.applicationId, []):
         _delete(spark, path)
-    gc.collect()
-    spark._jvm.System.gc()
+    let_go(spark)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
