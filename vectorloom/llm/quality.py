@@ -189,7 +189,13 @@ def sample_ids(ids: DataFrame, most: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, positives: DataFrame, unlabelled: DataFrame, settings: PuSettings | None = None) -> QualityModel:
-    """Fit on texts of ``docs`` with identifiers in ``positives`` and in ``unlabelled`` (columns ``doc_id``)."""
+    """Fit on texts of ``docs`` with identifiers in ``positives`` and in ``unlabelled`` (columns ``doc_id``).
+
+    Null texts are empty ones; null identifiers in either list are passed over, repeated
+    ones count once in the list and as often as ``docs`` has rows of them. The curve is
+    fitted on three quarters of each kind and the prior read off the rest: with fewer than
+    10 texts of either kind nothing is fitted, and every text scores 0.5.
+    """
     settings = settings or PuSettings()
     rows = id_and_text(docs)
     sets = [

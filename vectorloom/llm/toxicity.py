@@ -456,6 +456,12 @@ def learned(docs: DataFrame, labels: DataFrame, parts: int = 3, held: int = 1) -
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, parts: int = 3, held: int = 1, threshold: float = 0.7):
+    """``doc_id, held_out, score, predicted`` of every row, learned from the rows outside of the held-out fold.
+
+    Null and empty texts are scored as texts without units; a null identifier is in no
+    fold (``held_out`` is null). Repeated rows and other columns are as in ``score``. Without toxic or without
+    clean labels, or without a unit that tells them apart, all scores are all but 0.
+    """
     return score(docs, learned(docs, labels, parts, held)).select(
         "doc_id",
         (fold(F.col("doc_id"), parts) == held).alias("held_out"),
