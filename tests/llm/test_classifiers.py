@@ -31,6 +31,17 @@ def test_kernel_is_the_sum_over_subsequences():
     assert np.allclose(own, [plain_kernel(w, w, 0.6, toxicity.ORDER) for w in marked], rtol=1e-4)
 
 
+def test_kernel_over_shared_prefixes_is_the_same():
+    draw = random.Random(5)
+    words = sorted({"".join(draw.choice("abcdeé") for _ in range(draw.randint(1, 9))) for _ in range(400)})
+    prefixes = toxicity.Prefixes(words)
+    assert sum(len(letters) for letters, _ in prefixes.levels) < sum(len(w) + 2 for w in words)
+    for partner in ("abcab", "zzz", "é", "bad"):
+        column = toxicity.codes([partner]).T
+        want = [float(toxicity.kernel(toxicity.codes([w]), column, 0.6)[0]) for w in words]
+        assert np.allclose(toxicity.prefix_kernel(prefixes, column, 0.6), want, rtol=1e-5, atol=1e-9)
+
+
 def test_normalised_values():
     kernel = toxicity.Kernel(["insult", "word"], 0.6)
     values = kernel.values(["insult", "in", "insxult", "word"])

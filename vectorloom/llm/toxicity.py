@@ -129,8 +129,8 @@ def kernel(rows: np.ndarray, others: np.ndarray, decay: float) -> np.ndarray:
 class Prefixes:
     """The distinct prefixes of sorted words, marks included, level by level.
 
-    A level has the last letter of each prefix and the place of its parent in the level
-    before; ``ends`` and ``places`` tell where each word ends.
+    A level has the last letter of each prefix, as its place in ``letters``, and the place of
+    its parent in the level before; ``ends`` and ``places`` tell where each word ends.
     """
 
     def __init__(self, words: list[str]):
@@ -138,7 +138,8 @@ class Prefixes:
         self.ends = np.array([len(w) - 1 for w in marked])
         width = int(self.ends.max()) + 1
         padded = "".join([w.ljust(width, "\0") for w in marked]).encode("utf-32-le", "surrogatepass")
-        rows = np.frombuffer(padded, np.uint32).reshape(len(words), width)
+        self.letters, rows = np.unique(np.frombuffer(padded, np.uint32), return_inverse=True)
+        rows = rows.reshape(len(words), width)
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
         self.places = np.zeros(len(words), np.int64)
         new = np.zeros(len(words), bool)
@@ -156,28 +157,49 @@ class Prefixes:
             above = place
 
 
+def _run_up(rows: np.ndarray) -> None:
+    """Running sums over the rows, in place: a few long additions."""
+    for at in range(1, len(rows)):
+        rows[at] += rows[at - 1]
+
+
 def prefix_kernel(prefixes: Prefixes, column: np.ndarray, decay: float) -> np.ndarray:
-    """``kernel`` of each word with one partner, ``(width, 1)``: what words share at their start is summed once."""
+    """``kernel`` of each word with one partner, ``(width, 1)``.
+
+    What words share at their start is summed once, and a letter that the partner does not
+    have changes no sum: such a prefix stands where its parent does.
+    """
     width = len(column)
     spans = (decay ** np.arange(width)).astype(np.float32)[:, None]
-    counts = [np.zeros((width, 1), np.float32) for _ in range(ORDER - 1)]
-    total = np.zeros(1, np.float32)
+    held = np.isin(prefixes.letters, column)
+    matched = [np.flatnonzero(held[letters]) for letters, _ in prefixes.levels]
+    size = 1 + sum(map(len, matched))
+    counts = [np.zeros((width, size), np.float32) for _ in range(ORDER - 1)]
+    total = np.zeros(size, np.float32)
     result = np.zeros(len(prefixes.ends), np.float32)
-    for a, (letters, parents) in enumerate(prefixes.levels):
-        counts, total = [c[:, parents] for c in counts], total[parents]
-        match = column == letters[None, :]
-        last = counts[-1][:-1] * match[1:]
-        last *= spans[1:]
-        total = total + np.float32(decay ** (a + 2)) * last.sum(0)
-        for i in range(ORDER - 2, 0, -1):
-            longer = counts[i - 1][:-1] * match[1:]
-            np.cumsum(longer, axis=0, out=longer)
-            counts[i][1:] += longer
-        first = match * (np.float32(decay**-a) / spans)
-        np.cumsum(first, axis=0, out=first)
-        counts[0] += first
+    stands, used = np.zeros(1, np.int64), 1
+    for a, ((letters, parents), new) in enumerate(zip(prefixes.levels, matched)):
+        stands = stands[parents]
+        if len(new):
+            before, own = stands[new], slice(used, used + len(new))
+            match = (column == prefixes.letters[letters[new]][None, :]).astype(np.float32)
+            state = [np.take(c, before, axis=1) for c in counts]
+            last = state[-1][:-1] * match[1:]
+            last *= spans[1:]
+            total[own] = total[before] + np.float32(decay ** (a + 2)) * last.sum(0)
+            for i in range(ORDER - 2, 0, -1):
+                longer = state[i - 1][:-1] * match[1:]
+                _run_up(longer)
+                state[i][1:] += longer
+            first = match * (np.float32(decay**-a) / spans)
+            _run_up(first)
+            state[0] += first
+            for kept, c in zip(counts, state):
+                kept[:, own] = c
+            stands[new] = np.arange(used, used + len(new))
+            used += len(new)
         here = prefixes.ends == a
-        result[here] = total[prefixes.places[here]]
+        result[here] = total[stands[prefixes.places[here]]]
     return result
 
 
