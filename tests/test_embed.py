@@ -1,13 +1,17 @@
 """Providers, batch sizes, failing calls."""
 
+import hashlib
 import sys
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from vectorloom.operators import embed as E
+from vectorloom.plans import tables as B
 
 # the workers cannot import this file
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -121,3 +125,42 @@ def test_a_comparison_goes_on_without_a_model_that_fails(spark, caplog):
     assert {(r["bibcode"], r["model"]) for r in found.collect()} == {("a", "hash://8"), ("b", "hash://8")}
     assert "model left out" in caplog.text
     assert E.embed_with_models(texts, ["nowhere://1"]).count() == 0
+
+
+def test_md5_words_agree_with_the_library():
+    tokens = [b"x" * n for n in range(130)] + ["träum".encode(), "星".encode() * 18, b"\xff\x00\x80"]
+    lengths = np.array([len(t) for t in tokens])
+    data = np.frombuffer(b" ".join(tokens) + b" " * 5, np.uint8)
+    first, second = E.md5_words(data, np.cumsum(lengths + 1) - lengths - 1, lengths)
+    assert [a.tobytes() + b.tobytes() for a, b in zip(first, second)] == [hashlib.md5(t).digest()[:8] for t in tokens]
+
+
+def test_hashing_blanks_are_those_of_ascii():
+    provider = E.HashingProvider("64")
+    one = provider.embed(["\x0b a\tb\r\n\x0cc ", "a b c", " \t", "", "a\x1cb\xa0c"])
+    assert (one[0] == one[1]).all() and not one[2].any() and not one[3].any()
+    assert (one[4] != 0).sum() == 1
+
+
+def test_hashing_keeps_no_tokens():
+    provider = E.HashingProvider("16")
+    provider.embed(["warm up"])
+    tracemalloc.start()
+    for n in range(20):
+        provider.embed([" ".join(f"word{n}x{i}" for i in range(5000))])
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 1 << 20  # a cache of 100,000 tokens held more than 10 MB
+
+
+def test_python_workers_get_bounded_batches(spark, tmp_path):
+    """A task's batch is bounded in bytes, whatever its rows hold."""
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    spark.range(3000, numPartitions=1).write.parquet(f"{tmp_path}/rows.parquet")
+    rows = B.table(spark, str(tmp_path), "rows").select(F.repeat(F.lit("0123456789"), 1000).alias("text"))
+    seen = [row["size"] for row in rows.mapInArrow(run, "size bigint").collect()]
+    assert sum(seen) > 30_000_000 and max(seen) < 10 << 20
