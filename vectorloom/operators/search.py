@@ -23,7 +23,7 @@ from vectorloom.operators.positions import top_per_group
 # A query block travels to every task: at most this many vectors and bytes.
 BLOCK_QUERIES = 2048
 BLOCK_BYTES = 32 << 20
-SCORES_AT_ONCE = 1 << 22
+SCORES_AT_ONCE = 1 << 20
 
 
 def topk(
