@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from vectorloom.llm import quality, toxicity
@@ -119,6 +120,26 @@ def test_copies_count_as_one_document():
     assert len(others) == 50
 
 
+def test_units_are_counted_once_a_group(spark):
+    """Counts agree with plain sets, and a slice gives a row per document, not one per unit."""
+    draw = random.Random(4)
+    word = lambda: "".join(draw.choice("abcdeé") for _ in range(draw.randint(2, 4)))
+    rows = [(" ".join(word() for _ in range(draw.randint(0, 40))), draw.randint(0, 1)) for _ in range(120)]
+    rows += [rows[0]] * 30 + [(rows[1][0], 1 - rows[1][1])] + [("a b", 0), ("", 1)]
+    hashes, want = toxicity._Hashes(), set()
+    for text, toxic in rows:
+        if own := toxicity.units(text):
+            want |= {(unit, toxic, toxicity._group(own, hashes)) for unit in own if len(unit) >= toxicity.LETTERS}
+    plain = {}
+    for unit, toxic, _ in want:
+        plain.setdefault(unit, [0, 0])[1 - toxic] += 1
+    texts = spark.createDataFrame(rows, "text string, toxic int").repartition(3)
+    got = toxicity.unit_counts(texts).collect()
+    assert {r["unit"]: [r["a"], r["b"]] for r in got} == plain and len(got) == len(plain)
+    batch = pa.RecordBatch.from_pylist([{"text": t, "toxic": x} for t, x in rows])
+    assert sum(b.num_rows for b in toxicity._documents(iter([batch]))) <= len(rows)
+
+
 def test_nothing_to_learn(spark, frame):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     docs = frame([(1, "a b c"), (2, None)])

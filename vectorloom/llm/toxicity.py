@@ -285,17 +285,33 @@ def _group(own: list[str], hashes: _Hashes) -> int:
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Units with the group of their document, once per slice and label."""
+    """Distinct units of each group of documents and label, as one text per slice; units have no blanks."""
     for batch in batches:
-        seen, hashes = set(), _Hashes()
+        found: dict[tuple[int, int], set[str]] = {}
+        hashes = _Hashes()
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             own = [unit for sentence in sentences(text) for unit in units(sentence)]
             if own:
-                group = _group(own, hashes)
-                seen.update((unit, toxic, group) for unit in own if len(unit) >= LETTERS)
-        rows = list(zip(*seen)) or [(), (), ()]
-        kinds = (pa.string(), pa.int32(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], ["unit", "toxic", "document"])
+                long = {unit for unit in own if len(unit) >= LETTERS}
+                found.setdefault((toxic, _group(own, hashes)), set()).update(long)
+        rows = [(toxic, group, " ".join(held)) for (toxic, group), held in found.items() if held]
+        kinds = (pa.int32(), pa.int64(), pa.string())
+        columns = [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [(), (), ()], kinds)]
+        yield pa.RecordBatch.from_arrays(columns, ["toxic", "document", "units"])
+
+
+def unit_counts(texts: DataFrame) -> DataFrame:
+    """``unit, a, b``: groups of documents that hold a unit, of toxic and of clean ones.
+
+    A group's units travel as one text and are counted where they meet, so pairs of unit and
+    document don't move.
+    """
+    held = map_rows(texts, _documents, "toxic int, document bigint, units string").groupBy("toxic", "document")
+    joined = F.concat_ws(" ", F.collect_list("units"))
+    held = held.agg(F.array_distinct(F.split(joined, " ")).alias("units")).select("toxic", F.explode("units").alias("unit"))
+    return held.groupBy("unit").agg(
+        F.sum("toxic").cast("bigint").alias("a"), F.sum(1 - F.col("toxic")).cast("bigint").alias("b")
+    )
 
 
 def _with_inserted(words: list[str], times: int, random: np.random.Generator) -> list[str]:
@@ -403,13 +419,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings | None =
     # documents are counted, groups of copies once, and over all labels: the bar stays when the sample is capped
     own_label = labels.where(F.col("toxic").isin(0, 1)).select(F.col("doc_id").cast("bigint"), F.col("toxic").cast("int"))
     every = id_and_text(docs).join(own_label, "doc_id").select("text", "toxic")
-    held = map_rows(every, _documents, "unit string, toxic int, document bigint").distinct()
-    counted = stored(
-        held.groupBy("unit").agg(
-            F.sum("toxic").cast("bigint").alias("a"), F.sum(1 - F.col("toxic")).cast("bigint").alias("b")
-        ),
-        "toxic-units",
-    )
+    counted = stored(unit_counts(every), "toxic-units")
     total = counted.agg(F.sum("a").alias("a"), F.sum("b").alias("b")).first()
     if not total["a"] or not total["b"]:
         return none
