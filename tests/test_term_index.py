@@ -2,8 +2,10 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
+from vectorloom.functions.batches import slices
 from vectorloom.operators import hybrid as H
 from vectorloom.operators.term_index import TermIndex, count_terms
 
@@ -120,3 +122,13 @@ def test_hybrid_ranking_from_the_index(spark, indexed):
     assert H.hybrid_topk(docs, "dark star", probe, (0.6, 0.4), 15, ["text", "title"], index=index).collect() == scanned
     swept = H.weight_sweep(docs, "dark star", probe, k=5, keyword_fields=["text"], index=index)
     assert sorted(swept.collect()) == sorted(H.weight_sweep(docs, "dark star", probe, k=5).collect())
+
+
+def test_lists_of_words_are_cut_by_bytes():
+    lists = pa.array([[f"word{n}"] * 500 for n in range(2000)])
+    batch = pa.record_batch([pa.array(range(2000)), lists], ["key", "words"])
+    assert batch.nbytes > 8 << 20
+    cut = list(slices([batch]))
+    assert max(part.nbytes for part in cut) < 9 << 20 and len(cut) > 1
+    assert pa.Table.from_batches(cut).equals(pa.Table.from_batches([batch]))
+    assert [part.num_rows for part in slices([batch], 1)] == [1] * 2000 and list(slices([batch.slice(0, 0)])) == []
