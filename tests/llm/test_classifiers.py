@@ -1,13 +1,14 @@
 """Kernel, machine and prior against plain versions; held-out accuracy of both classifiers."""
 
 import itertools
+import pickle
 import random
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from vectorloom.llm import quality, toxicity
+from vectorloom.llm import common, quality, toxicity
 
 
 def plain_kernel(one, other, decay, order):
@@ -140,6 +141,33 @@ def test_units_are_counted_once_a_group(spark):
     assert sum(b.num_rows for b in toxicity._documents(iter([batch]))) <= len(rows)
 
 
+def test_a_worker_computes_a_unit_once(monkeypatch):
+    """Tasks of one model share margins, copies of the model too; what is kept is bounded and common units stay."""
+    computed, other = [], common.worker_cache("other")
+    monkeypatch.setattr(toxicity.ToxicityModel, "margins", lambda self, words: computed.extend(words) or np.ones(len(words)))
+    model = toxicity.ToxicityModel(toxicity.Kernel(["insult"], 0.6), np.ones(1), -1.0, np.zeros(2), 0.0)
+    for _ in range(2):
+        pickle.loads(pickle.dumps(model)).worst(["one two", "two three"])
+    assert sorted(computed) == ["one", "three", "two"]
+    toxicity.ToxicityModel(model.kernel, 2 * model.weights, -1.0, np.zeros(2), 0.0).worst(["one"])
+    assert len(computed) == 4 and len(common.worker_cache(toxicity.__name__)) == 1
+    kept = toxicity._Margins(10)
+    for i in range(100):
+        found = kept.of({"common", f"rare{i}"}, lambda words: computed.extend(words) or np.ones(len(words)))
+        assert found["common"] == found[f"rare{i}"] == 1 and len(kept.young) + len(kept.old) <= 24
+    assert computed.count("common") == 1 and other is common.worker_cache("other")
+
+
+def test_only_labelled_texts_move(spark, frame):
+    """The join does not turn into another one as labels grow, and texts without a label stay behind."""
+    docs = frame([(i, f"text {i}") for i in range(300)] + [(None, "none"), (7, "again")])
+    labels = spark.createDataFrame([(7, 0, 1), (8, 0, 0), (8, 0, 0), (9, 0, None), (None, 0, 1)], "doc_id bigint, quality int, toxic int")
+    found = toxicity.labelled_texts(docs, labels)
+    assert sorted(map(tuple, found.collect())) == [("again", 1), ("text 7", 1), ("text 8", 0), ("text 8", 0)]
+    plan = found._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan and "bitmap_construct_agg" in plan
+
+
 def test_nothing_to_learn(spark, frame):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     docs = frame([(1, "a b c"), (2, None)])

@@ -26,7 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import id_and_text, map_rows, stored
+from vectorloom.llm.common import id_and_text, map_rows, stored, worker_cache
+from vectorloom.llm.exact_dedup import maybe_in
 from vectorloom.llm.quality import fold, sample_ids, sigmoid
 
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -234,28 +235,56 @@ class Kernel:
         return result**POWER
 
 
+class _Margins:
+    """Margins of the units met lately: ``most`` at least are kept, and twice as many at most after a call.
+
+    What has not been asked for while as many others came goes first, so common units stay.
+    """
+
+    def __init__(self, most: int):
+        self.most = most
+        self.young: dict[str, float] = {}
+        self.old: dict[str, float] = {}
+
+    def of(self, wanted: set[str], compute) -> dict[str, float]:
+        """A dictionary that has at least the units in ``wanted``."""
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        missing = []
+        for unit in wanted:
+            if unit not in young:
+                if unit in old:
+                    young[unit] = old[unit]
+                else:
+                    missing.append(unit)
+        if missing:
+            young.update(zip(missing, compute(missing).tolist()))
+        return young
+
+
 class ToxicityModel:
     def __init__(self, kernel_: Kernel | None, weights: np.ndarray, bias: float, slope: np.ndarray, shift: float):
         self.kernel, self.weights, self.bias, self.slope, self.shift = kernel_, weights, bias, slope, shift
-        self.known: dict[str, float] = {}
-
-    def __getstate__(self):
-        return self.__dict__ | {"known": {}}
 
     def margins(self, words: list[str]) -> np.ndarray:
         return self.kernel.values(words) @ self.weights + self.bias
 
+    def known(self, wanted: set[str]) -> dict[str, float]:
+        """Margins of at least these units. A worker keeps those of its last model from task to task."""
+        key = (*self.kernel.landmarks, self.kernel.decay, self.weights.tobytes(), self.bias)
+        kept = worker_cache(__name__)
+        if key not in kept:
+            kept.clear()
+            kept[key] = _Margins(KEPT_UNITS // 2)
+        return kept[key].of(wanted, self.margins)
+
     def worst(self, texts: list[str]) -> np.ndarray:
         """Of each text the highest margin of a unit, and the sum of the next ones above zero."""
         if self.kernel is None:
             return np.zeros((len(texts), 2))
         bags = [set(units(t)) for t in texts]
-        if len(self.known) > KEPT_UNITS:
-            self.known = {}
-        known = self.known
-        missing = [w for w in set().union(*bags) if w not in known]
-        if missing:
-            known.update(zip(missing, self.margins(missing).tolist()))
+        known = self.known(set().union(*bags))
         result = np.full((len(texts), 2), [min(self.bias, -1.0), 0.0])
         for row, bag in zip(result, bags):
             if bag:
@@ -314,6 +343,16 @@ def unit_counts(texts: DataFrame) -> DataFrame:
     )
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``text, toxic`` of each document and label; only texts that may have one are moved.
+
+    Labels grow with the documents, so the join is by a shuffle also where they are few.
+    """
+    own_label = labels.where(F.col("toxic").isin(0, 1)).select(F.col("doc_id").cast("bigint"), F.col("toxic").cast("int"))
+    found = maybe_in(id_and_text(docs), own_label, "doc_id")
+    return found.join(own_label.hint("merge"), "doc_id").select("text", "toxic")
+
+
 def _with_inserted(words: list[str], times: int, random: np.random.Generator) -> list[str]:
     result = []
     for word in words:
@@ -391,8 +430,9 @@ def _worst(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterator[
 def _mistaken(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [t for t, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()) if not toxic]
-        model.worst(texts)
-        found = [u for t in texts for u in set(units(t)) if model.known.get(u, -1.0) > 0]
+        bags = [set(units(t)) for t in texts]
+        known = model.known(set().union(*bags))
+        found = [u for bag in bags for u in bag if known[u] > 0]
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["unit"])
 
 
@@ -409,7 +449,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings | None =
         sample_ids(labels.where(F.col("toxic") == v), settings.most_rows).withColumn("toxic", F.lit(v)) for v in (0, 1)
     ]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))
+    # a bounded number of texts, read three times: few large tasks meet a unit fewer times than many small ones
     texts = id_and_text(docs).join(chosen, "doc_id").select("text", "toxic")
+    texts = stored(texts.repartition(docs.sparkSession.sparkContext.defaultParallelism), "toxic-texts")
 
     totals = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
@@ -417,9 +459,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings | None =
     if not toxic or not clean:
         return none
     # documents are counted, groups of copies once, and over all labels: the bar stays when the sample is capped
-    own_label = labels.where(F.col("toxic").isin(0, 1)).select(F.col("doc_id").cast("bigint"), F.col("toxic").cast("int"))
-    every = id_and_text(docs).join(own_label, "doc_id").select("text", "toxic")
-    counted = stored(unit_counts(every), "toxic-units")
+    counted = stored(unit_counts(labelled_texts(docs, labels)), "toxic-units")
     total = counted.agg(F.sum("a").alias("a"), F.sum("b").alias("b")).first()
     if not total["a"] or not total["b"]:
         return none
@@ -463,6 +503,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings | None =
     model = machine([(r["unit"], r["n"]) for r in mistaken if r["unit"] not in set(positive)])
 
     margins = map_rows(texts, _worst, "toxic int, worst double, next double", model).toPandas()
+    margins = margins.sort_values(["toxic", "worst", "next"])  # sums don't depend on the order of tasks
     model.slope, model.shift = _logistic(margins[["worst", "next"]].to_numpy(), margins["toxic"].to_numpy(np.float64))
     return model
 
