@@ -165,13 +165,7 @@ def _byte_signs() -> dict[int, int]:
 @cache
 def library_words(path: str, most: int = 300_000) -> WordIds:
     """Ids by the tokenizers library for a vocabulary file; one per Python worker."""
-    import os
-
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-
+    tokenizer, _ = _added(path)
     model, signs = tokenizer.model, _byte_signs()
 
     def encode(words: list[str]):

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vectorloom.functions import vectors as V
+from vectorloom.functions.batches import released
 from vectorloom.operators import search as S
 from vectorloom.operators.positions import top_per_group
 from vectorloom.session import shared_folder, ship_package
@@ -92,7 +93,7 @@ def nearest_in_place(corpus: DataFrame, blocks: list[S.QueryBlock], k: int, key:
                 found = found.assign(query=[block.ids[int(q)] for q in found["query"]])
                 yield from _hits(found, schema, query_key, key).to_batches()
 
-    return corpus.select(key, "embedding").mapInArrow(run, schema)
+    return corpus.select(key, "embedding").mapInArrow(lambda batches: released(run(batches)), schema)
 
 
 def nearest_by_passes(
@@ -155,7 +156,7 @@ def routed(queries: DataFrame, query_key: str, probes: Callable[[np.ndarray], np
             yield pa.RecordBatch.from_arrays(columns, [query_key, "embedding", "cell"])
 
     ship_package(queries.sparkSession)
-    return queries.select(query_key, "embedding").mapInArrow(run, schema)
+    return queries.select(query_key, "embedding").mapInArrow(lambda batches: released(run(batches)), schema)
 
 
 def nearest_in_cells(

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vectorloom.functions import vectors as V
+from vectorloom.functions.batches import released
 from vectorloom.operators.positions import top_per_group
 
 # A query block travels to every task: at most this many vectors and bytes.
@@ -142,7 +143,7 @@ def nearest_in_tasks(
     columns = [key, "embedding"] + ([cell] if cell else [])
     if not block.ids:
         return corpus.sparkSession.createDataFrame([], schema)
-    return corpus.select(*columns).mapInArrow(run, schema)
+    return corpus.select(*columns).mapInArrow(lambda batches: released(run(batches)), schema)
 
 
 def arrow_type(kind: T.DataType) -> pa.DataType:

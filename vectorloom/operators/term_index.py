@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from vectorloom.functions import text as X
 from vectorloom.functions import vectors as V
-from vectorloom.functions.batches import slices
+from vectorloom.functions.batches import released, slices
 from vectorloom.operators import hybrid as H
 from vectorloom.operators.search import arrow_type
 from vectorloom.session import path_exists, ship_package
@@ -56,7 +56,7 @@ def count_terms(docs: DataFrame, key: str, field: str) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, ["key", "term", "tf", "length"])
 
-    return words.mapInArrow(run, schema)
+    return words.mapInArrow(lambda batches: released(run(batches)), schema)
 
 
 class TermIndex:
