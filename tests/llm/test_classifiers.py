@@ -44,6 +44,52 @@ def test_kernel_over_shared_prefixes_is_the_same():
         assert np.allclose(toxicity.prefix_kernel(prefixes, column, 0.6), want, rtol=1e-5, atol=1e-9)
 
 
+def test_kernel_over_halves_is_the_same():
+    """Heads and tails are walked once each, and words take products of them; own kernels go by the pattern of letters."""
+    draw = random.Random(6)
+    words = list({"".join(draw.choice("abcé") for _ in range(draw.randint(3, 8))) for _ in range(1500)}) + ["abc" * 8, "zzz", "日本語文"]
+    halves = toxicity.Halves(words)
+    assert len(halves.heads.ends) + len(halves.tails.ends) < len(words)
+    for partner in ("abcab", "zzz", "é", "abcdeabcde"):
+        column = toxicity.codes([partner]).T
+        want = [float(toxicity.kernel(toxicity.codes([w]), column, 0.6)[0]) for w in words]
+        assert np.allclose(halves.kernel(column, 0.6), want, rtol=1e-5, atol=1e-9)
+    want = [float(toxicity.kernel(toxicity.codes([w]), toxicity.codes([w]).T, 0.6)[0]) ** 0.5 for w in words]
+    assert np.allclose(toxicity.Kernel(["abc"], 0.6)._lengths(words), want, rtol=1e-5)
+
+
+def test_words_are_read_as_units_are(monkeypatch):
+    """Margins from words that are looked at once are those of a text's units, whatever parts the words."""
+    draw = random.Random(9)
+    some = ["a", "b.", "-", "", "é", "9", "s", "t", "idiot", "id-iot", "Idiot!", "of", "...", "ßİΣ", "\t", "\u2003 x", "loser" * 9]
+    texts = [" ".join(draw.choice([*some, "x" * draw.randint(1, 60)]) for _ in range(draw.randint(0, 12))) for _ in range(600)]
+    model = toxicity.ToxicityModel(toxicity.Kernel(["insult"], 0.6), np.ones(1), -0.5, np.zeros(2), 0.0)
+    monkeypatch.setattr(toxicity.ToxicityModel, "margins", lambda self, words: np.array([len(set(w)) % 5 - 2.5 for w in words]))
+    tops, above = model.found(texts)
+    bags = [set(toxicity.units(t)) for t in texts]
+    margin = lambda unit: len(set(unit)) % 5 - 2.5
+    assert tops.tolist() == [max(map(margin, bag), default=-np.inf) for bag in bags]
+    assert above == [{u for u in bag if margin(u) > 0} for bag in bags]
+    assert model.found([])[1] == [] and model.found([""])[0].tolist() == [-np.inf]
+
+
+def test_a_task_leaves_no_margins(monkeypatch):
+    """Texts are looked at in small slices, and a worker that waits for its next task keeps no margins."""
+    texts = [f"some words {i} idiot" for i in range(60)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": texts, "toxic": [0] * 60})
+    model = toxicity.ToxicityModel(toxicity.Kernel(["idiot"], 0.6), np.ones(1), -0.5, np.ones(2), 0.0)
+    want, seen = model.scores(texts), []
+    read = toxicity.ToxicityModel.found
+    monkeypatch.setattr(toxicity, "PART_BYTES", 500)
+    monkeypatch.setattr(toxicity.ToxicityModel, "found", lambda self, texts: seen.append(len(texts)) or read(self, texts))
+    got = np.concatenate([b.column("score").to_numpy() for b in toxicity._score(iter([batch]), model)])
+    assert np.allclose(got, want) and len(seen) > 3 and sum(seen) == 60
+    assert not common.worker_cache(toxicity.__name__)
+    for step in (toxicity._worst, toxicity._mistaken):
+        list(step(iter([batch]), model))
+        assert not common.worker_cache(toxicity.__name__)
+
+
 def test_normalised_values():
     kernel = toxicity.Kernel(["insult", "word"], 0.6)
     values = kernel.values(["insult", "in", "insxult", "word"])

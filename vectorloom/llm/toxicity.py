@@ -22,10 +22,12 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vectorloom.functions.batches import slices
 from vectorloom.llm.common import id_and_text, map_rows, stored, worker_cache
 from vectorloom.llm.exact_dedup import maybe_in
 from vectorloom.llm.quality import fold, sample_ids, sigmoid
@@ -40,7 +42,10 @@ STEP = 10
 POWER = 2  # of the normalised kernel: a product of kernels is one, and near strings stand out
 WORST = 4  # units of a document whose margins count beside the highest
 KEPT_UNITS = 400_000
-WORDS_AT_ONCE = 16_384
+PART_BYTES = 4 << 20  # of texts looked at together
+WORDS_AT_ONCE = 65_536
+PRODUCTS_AT_ONCE = 8_192
+PATTERN = 20  # letters and marks of words told apart by the places of equal letters: 20! is below 2**63
 # Odd factors that mix hashes, one per unit of a window.
 MIX = tuple(np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 WINDOW = len(MIX)
@@ -99,6 +104,13 @@ def codes(words: list[str]) -> np.ndarray:
     return np.frombuffer(joined, np.uint32).reshape(len(words), -1)
 
 
+def _run_up(counts: np.ndarray) -> np.ndarray:
+    """Running sums over the letters of the partner, in place: a few long additions."""
+    for at in range(1, counts.shape[-2]):
+        counts[..., at, :] += counts[..., at - 1, :]
+    return counts
+
+
 def kernel(rows: np.ndarray, others: np.ndarray, decay: float) -> np.ndarray:
     """Subsequence kernel of each row with each other's columns.
 
@@ -119,28 +131,27 @@ def kernel(rows: np.ndarray, others: np.ndarray, decay: float) -> np.ndarray:
         total += np.float32(decay ** (a + 2)) * last.sum(0)
         for i in range(ORDER - 2, 0, -1):
             longer = counts[i - 1][:-1] * match[1:]
-            np.cumsum(longer, axis=0, out=longer)
-            counts[i][1:] += longer
+            counts[i][1:] += _run_up(longer)
         first = match * (np.float32(decay**-a) / spans)
-        np.cumsum(first, axis=0, out=first)
-        counts[0] += first
+        counts[0] += _run_up(first)
     return total
 
 
 class Prefixes:
-    """The distinct prefixes of sorted words, marks included, level by level.
+    """The distinct prefixes of sorted words between marks, level by level.
 
     A level has the last letter of each prefix, as its place in ``letters``, and the place of
     its parent in the level before; ``ends`` and ``places`` tell where each word ends.
     """
 
-    def __init__(self, words: list[str]):
-        marked = [START + w + END for w in words]
+    def __init__(self, words: list[str], start: str = START, end: str = END):
+        marked = [start + w + end for w in words]
         self.ends = np.array([len(w) - 1 for w in marked])
         width = int(self.ends.max()) + 1
         padded = "".join([w.ljust(width, "\0") for w in marked]).encode("utf-32-le", "surrogatepass")
-        self.letters, rows = np.unique(np.frombuffer(padded, np.uint32), return_inverse=True)
-        rows = rows.reshape(len(words), width)
+        padded = np.frombuffer(padded, np.uint32)
+        self.letters = np.unique(padded)
+        rows = np.searchsorted(self.letters, padded).reshape(len(words), width)
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
         self.places = np.zeros(len(words), np.int64)
         new = np.zeros(len(words), bool)
@@ -158,50 +169,86 @@ class Prefixes:
             above = place
 
 
-def _run_up(rows: np.ndarray) -> None:
-    """Running sums over the rows, in place: a few long additions."""
-    for at in range(1, len(rows)):
-        rows[at] += rows[at - 1]
-
+def _walk(prefixes: Prefixes, column: np.ndarray, decay: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``total, counts, at``: of each word with one partner ``kernel``'s sum and its counts, at the places ``at``.
 
-def prefix_kernel(prefixes: Prefixes, column: np.ndarray, decay: float) -> np.ndarray:
-    """``kernel`` of each word with one partner, ``(width, 1)``.
-
-    What words share at their start is summed once, and a letter that the partner does not
-    have changes no sum: such a prefix stands where its parent does.
+    ``counts[i, j]`` is of i + 1 letters, the last of which meets letter j of the partner. What
+    words share at their start is summed once, and a letter that the partner does not have
+    changes no sum: such a prefix stands where its parent does.
     """
     width = len(column)
     spans = (decay ** np.arange(width)).astype(np.float32)[:, None]
     held = np.isin(prefixes.letters, column)
     matched = [np.flatnonzero(held[letters]) for letters, _ in prefixes.levels]
     size = 1 + sum(map(len, matched))
-    counts = [np.zeros((width, size), np.float32) for _ in range(ORDER - 1)]
+    counts = np.zeros((ORDER - 1, width, size), np.float32)
     total = np.zeros(size, np.float32)
-    result = np.zeros(len(prefixes.ends), np.float32)
+    at = np.zeros(len(prefixes.ends), np.int64)
     stands, used = np.zeros(1, np.int64), 1
     for a, ((letters, parents), new) in enumerate(zip(prefixes.levels, matched)):
         stands = stands[parents]
         if len(new):
             before, own = stands[new], slice(used, used + len(new))
             match = (column == prefixes.letters[letters[new]][None, :]).astype(np.float32)
-            state = [np.take(c, before, axis=1) for c in counts]
-            last = state[-1][:-1] * match[1:]
-            last *= spans[1:]
-            total[own] = total[before] + np.float32(decay ** (a + 2)) * last.sum(0)
-            for i in range(ORDER - 2, 0, -1):
-                longer = state[i - 1][:-1] * match[1:]
-                _run_up(longer)
-                state[i][1:] += longer
-            first = match * (np.float32(decay**-a) / spans)
-            _run_up(first)
-            state[0] += first
-            for kept, c in zip(counts, state):
-                kept[:, own] = c
+            state = np.take(counts, before, axis=2)
+            longer = _run_up(state.copy())[:, :-1]
+            longer *= match[1:]
+            state[1:, 1:] += longer[:-1]
+            state[0] += match * (np.float32(decay**-a) / spans)
+            counts[:, :, own] = state
+            longer[-1] *= spans[1:]
+            total[own] = total[before] + np.float32(decay ** (a + 2)) * longer[-1].sum(0)
             stands[new] = np.arange(used, used + len(new))
             used += len(new)
         here = prefixes.ends == a
-        result[here] = total[stands[prefixes.places[here]]]
-    return result
+        at[here] = stands[prefixes.places[here]]
+    return total, counts, at
+
+
+def prefix_kernel(prefixes: Prefixes, column: np.ndarray, decay: float) -> np.ndarray:
+    """``kernel`` of each word with one partner, ``(width, 1)``."""
+    total, _, at = _walk(prefixes, column, decay)
+    return total[at]
+
+
+class Halves:
+    """Words as a head and a tail each: the distinct heads, and the distinct tails read from their ends.
+
+    A subsequence lies in the head, in the tail, or has its first letters in the one and the
+    rest in the other. Words have far fewer heads and tails than there are words, so the
+    sums are made for these, and a word takes one product of what its two halves have counted.
+    """
+
+    def __init__(self, words: list[str]):
+        middles = [len(w) // 2 for w in words]
+        self.heads, self.head = self._distinct([w[:m] for w, m in zip(words, middles)], START)
+        self.tails, self.tail = self._distinct([w[m:][::-1] for w, m in zip(words, middles)], END)
+        self.lengths = np.array([len(w) + 2 for w in words])
+
+    @staticmethod
+    def _distinct(halves: list[str], mark: str) -> tuple[Prefixes, np.ndarray]:
+        found = sorted(set(halves))
+        place = {half: i for i, half in enumerate(found)}
+        return Prefixes(found, mark, ""), np.fromiter(map(place.__getitem__, halves), np.int64, len(halves))
+
+    def kernel(self, column: np.ndarray, decay: float) -> np.ndarray:
+        """``kernel`` of each word with one partner, ``(width, 1)``."""
+        total, counts, at = _walk(self.heads, column, decay)
+        total_, counts_, at_ = _walk(self.tails, column[::-1], decay)
+        # i + 1 letters that end before letter j of the partner, and the others from letter j on, where both can be
+        _run_up(counts)
+        last = len(column) - ORDER + 1
+        met = np.vstack([counts[i, i : i + last] for i in range(ORDER - 1)]).T.copy()
+        meets = np.vstack([counts_[ORDER - 2 - i, ::-1][i + 1 : i + 1 + last] for i in range(ORDER - 1)]).T.copy()
+        head, tail = at[self.head], at_[self.tail]
+        result = total[head] + total_[tail]
+        most, most_ = ((c.any(1)).sum(0, np.int8) for c in (counts, counts_))  # letters in common, one less than ORDER at most
+        both = np.flatnonzero(most[head] + most_[tail] >= ORDER)
+        weight = (decay ** (self.lengths + len(column))).astype(np.float32)
+        for part in range(0, len(both), PRODUCTS_AT_ONCE):
+            some = both[part : part + PRODUCTS_AT_ONCE]
+            result[some] += weight[some] * np.einsum("ij,ij->i", met[head[some]], meets[tail[some]])
+        return result
 
 
 class Kernel:
@@ -213,26 +260,42 @@ class Kernel:
         self.norms = [max(1e-12, float(kernel(c.T, c, decay)[0])) ** 0.5 for c in self.columns]
 
     def _lengths(self, words: list[str]) -> np.ndarray:
-        """The root of each word's kernel with itself."""
+        """The root of each word's kernel with itself, which only depends on which of its letters are the same."""
         result = np.zeros(len(words), np.float32)
         by_length: dict[int, list[int]] = {}
         for i, word in enumerate(words):
             by_length.setdefault(len(word), []).append(i)
         for places in by_length.values():
-            rows = codes([words[i] for i in places])
-            result[places] = np.sqrt(np.maximum(kernel(rows, np.ascontiguousarray(rows.T), self.decay), 1e-12))
+            rows, kinds = codes([words[i] for i in places]), slice(None)
+            letters = np.ascontiguousarray(rows.T)
+            if len(letters) <= PATTERN:
+                # the place of the next same letter, counted back from each letter's own, read as one number
+                key = np.zeros(len(rows), np.int64)
+                for a in range(1, len(letters)):
+                    back = np.zeros(len(rows), np.int64)
+                    for b in range(a):
+                        np.putmask(back, letters[b] == letters[a], a - b)
+                    key *= a + 1
+                    key += back
+                _, first, kinds = np.unique(key, return_index=True, return_inverse=True)
+                letters = np.ascontiguousarray(letters[:, first])
+            own = kernel(letters.T, letters, self.decay)
+            result[places] = np.sqrt(np.maximum(own, 1e-12))[kinds]
         return result
 
     def values(self, words: list[str]) -> np.ndarray:
         result = np.zeros((len(words), len(self.landmarks)), np.float32)
-        order = sorted((i for i, word in enumerate(words) if len(word) >= LETTERS), key=words.__getitem__)
+        order = [i for i, word in enumerate(words) if len(word) >= LETTERS]
         for at in range(0, len(order), WORDS_AT_ONCE):
             part = order[at : at + WORDS_AT_ONCE]
             some = [words[i] for i in part]
-            own, prefixes = self._lengths(some), Prefixes(some)
-            for k, (column, norm) in enumerate(zip(self.columns, self.norms)):
-                result[part, k] = prefix_kernel(prefixes, column, self.decay) / (own * norm)
-        return result**POWER
+            halves = Halves(some)
+            found = np.empty((len(self.landmarks), len(some)), np.float32)
+            for row, column, norm in zip(found, self.columns, self.norms):
+                np.divide(halves.kernel(column, self.decay), norm, out=row)
+            found /= self._lengths(some)
+            result[part] = (found**POWER).T
+        return result
 
 
 class _Margins:
@@ -263,15 +326,43 @@ class _Margins:
         return young
 
 
+class _Words:
+    """The words of texts: the letters of each distinct one, and of each occurrence the place there and the text."""
+
+    def __init__(self, texts: list[str]):
+        split = pc.utf8_split_whitespace(pa.array([t.lower() for t in texts], pa.string()))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.letters = [w if w.isalpha() else NOT_LETTERS.sub("", w) for w in words]
+        self.sizes = np.fromiter(map(len, self.letters), np.int64)
+        self.empty = np.fromiter(map(len, words), np.int64) == 0  # beside white space at an end of a text
+        self.places = coded.indices.to_numpy()
+        self.text = np.repeat(np.arange(len(texts), dtype=np.int32), pc.list_value_length(split).to_numpy())
+
+    def units(self, place: int) -> list[str]:
+        word = self.letters[place]
+        return [] if len(word) == 1 or self.empty[place] else [word] if len(word) <= UNIT else _windows(word)
+
+    def spelled(self) -> list[int]:
+        """Texts where single letters, enough for a unit, follow each other; words without letters don't part them."""
+        sizes = self.sizes[self.places]
+        held = sizes > 0
+        single, text = sizes[held] == 1, self.text[held]
+        starts = np.arange(max(0, len(text) - LETTERS + 1))
+        run = np.logical_and.reduce([single[starts + a] for a in range(LETTERS)])
+        return np.unique(text[starts[run & (text[starts] == text[starts + LETTERS - 1])]]).tolist()
+
+
 class ToxicityModel:
     def __init__(self, kernel_: Kernel | None, weights: np.ndarray, bias: float, slope: np.ndarray, shift: float):
         self.kernel, self.weights, self.bias, self.slope, self.shift = kernel_, weights, bias, slope, shift
 
     def margins(self, words: list[str]) -> np.ndarray:
-        return self.kernel.values(words) @ self.weights + self.bias
+        parts = (words[at : at + WORDS_AT_ONCE] for at in range(0, len(words), WORDS_AT_ONCE))
+        return np.concatenate([np.zeros(0), *(self.kernel.values(part) @ self.weights + self.bias for part in parts)])
 
     def known(self, wanted: set[str]) -> dict[str, float]:
-        """Margins of at least these units. A worker keeps those of its last model from task to task."""
+        """Margins of at least these units. A worker keeps those of its last model, until ``_parts`` ends its task."""
         key = (*self.kernel.landmarks, self.kernel.decay, self.weights.tobytes(), self.bias)
         kept = worker_cache(__name__)
         if key not in kept:
@@ -279,23 +370,57 @@ class ToxicityModel:
             kept[key] = _Margins(KEPT_UNITS // 2)
         return kept[key].of(wanted, self.margins)
 
+    def found(self, texts: list[str]) -> tuple[np.ndarray, list[set[str]]]:
+        """Of each text the highest margin of a unit (minus infinity without one), and the units with margins above zero.
+
+        A word that comes again, in any of the texts, is looked at once; texts that spell words out are read unit by unit.
+        """
+        words = _Words(texts)
+        spelled = {i: set(units(texts[i])) for i in words.spelled()}
+        plain = (words.sizes != 1) & (words.sizes <= UNIT) & ~words.empty
+        usual = np.flatnonzero(plain).tolist()
+        others = {place: words.units(place) for place in np.flatnonzero(~plain).tolist()}
+        known = self.known({words.letters[place] for place in usual}.union(*others.values(), *spelled.values()))
+        margins = np.full(len(plain), -np.inf)
+        margins[usual] = [known[words.letters[place]] for place in usual]
+        for place, own in others.items():
+            margins[place] = max(map(known.__getitem__, own), default=-np.inf)
+        margins, text = margins[words.places], words.text
+        tops, above = np.full(len(texts), -np.inf), [set() for _ in texts]
+        if len(text):
+            first = np.flatnonzero(np.diff(text, prepend=-1))
+            tops[text[first]] = np.maximum.reduceat(margins, first)
+        for at in np.flatnonzero(margins > 0).tolist():
+            above[text[at]].update(u for u in words.units(words.places[at]) if known[u] > 0)
+        for i, bag in spelled.items():
+            tops[i] = max(map(known.__getitem__, bag), default=-np.inf)
+            above[i] = {u for u in bag if known[u] > 0}
+        return tops, above
+
     def worst(self, texts: list[str]) -> np.ndarray:
         """Of each text the highest margin of a unit, and the sum of the next ones above zero."""
         if self.kernel is None:
             return np.zeros((len(texts), 2))
-        bags = [set(units(t)) for t in texts]
-        known = self.known(set().union(*bags))
         result = np.full((len(texts), 2), [min(self.bias, -1.0), 0.0])
-        for row, bag in zip(result, bags):
-            if bag:
-                top = nlargest(1 + WORST, map(known.__getitem__, bag))
-                row[:] = max(top[0], -1.0), sum(m for m in top[1:] if m > 0)
+        tops, above = self.found(texts)
+        result[:, 0] = np.where(tops == -np.inf, result[:, 0], np.maximum(tops, -1.0))
+        known = self.known(set().union(*above))
+        for row, bag in zip(result, above):
+            row[1] = sum(nlargest(1 + WORST, map(known.__getitem__, bag))[1:])
         return result
 
     def scores(self, texts: list[str]) -> np.ndarray:
         return sigmoid(self.worst(texts) @ self.slope + self.shift)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of a task's texts. After the last one, no margins are kept: many workers may wait for their next task."""
+    try:
+        yield from slices(batches, PART_BYTES)
+    finally:
+        worker_cache(__name__).clear()
+
+
 class _Hashes(dict):
     """The 64-bit hash of each unit, taken once."""
 
@@ -419,20 +544,18 @@ def _altered(text: str) -> str:
 
 def _worst(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterator[pa.RecordBatch]:
     """Margins of the texts, and of their altered forms."""
-    for batch in batches:
+    for batch in _parts(batches):
         texts = batch.column("text").to_pylist()
-        for some in (texts, [_altered(t) for t in texts]):
-            margins = model.worst(some)
+        for form in (str, _altered):
+            margins = model.worst(list(map(form, texts)))
             columns = [batch.column("toxic"), pa.array(margins[:, 0]), pa.array(margins[:, 1])]
             yield pa.RecordBatch.from_arrays(columns, ["toxic", "worst", "next"])
 
 
 def _mistaken(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _parts(batches):
         texts = [t for t, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()) if not toxic]
-        bags = [set(units(t)) for t in texts]
-        known = model.known(set().union(*bags))
-        found = [u for bag in bags for u in bag if known[u] > 0]
+        found = [unit for bag in model.found(texts)[1] for unit in bag]
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["unit"])
 
 
@@ -509,7 +632,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings | None =
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _parts(batches):
         scores = model.scores(batch.column("text").to_pylist())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
@@ -544,7 +667,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, parts: int = 3, held: in
 
 
 def _keep(batches: Iterator[pa.RecordBatch], column: int, model: ToxicityModel, threshold: float):
-    for batch in batches:
+    for batch in _parts(batches):
         texts = [t or "" for t in batch.column(column).to_pylist()]
         yield batch.filter(pa.array(model.scores(texts) < threshold))
 
