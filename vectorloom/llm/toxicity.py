@@ -43,7 +43,7 @@ POWER = 2  # of the normalised kernel: a product of kernels is one, and near str
 WORST = 4  # units of a document whose margins count beside the highest
 KEPT_UNITS = 400_000
 PART_BYTES = 4 << 20  # of texts looked at together
-WORDS_AT_ONCE = 65_536
+WORDS_AT_ONCE = 32_768
 PRODUCTS_AT_ONCE = 8_192
 PATTERN = 20  # letters and marks of words told apart by the places of equal letters: 20! is below 2**63
 # Odd factors that mix hashes, one per unit of a window.
@@ -294,7 +294,8 @@ class Kernel:
             for row, column, norm in zip(found, self.columns, self.norms):
                 np.divide(halves.kernel(column, self.decay), norm, out=row)
             found /= self._lengths(some)
-            result[part] = (found**POWER).T
+            found **= POWER
+            result[part] = found.T
         return result
 
 
