@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from vectorloom.llm.common import id_and_text, map_rows
+from vectorloom.llm.common import id_and_text, map_rows, until_others
 from vectorloom.llm.pretokens import WordIds, split
 
 LEAF_CHARS = 1 << 16
@@ -179,7 +179,8 @@ class TreeBpe:
 
 @cache
 def _coder(path: str) -> tuple[TreeBpe, WordIds]:
-    """One per Python worker."""
+    """One per Python worker, until a task of another module comes."""
+    until_others(_coder.cache_clear)
     ranks = read_ranks(path)
     bpe = TreeBpe(ranks)
     return bpe, WordIds(lambda words: [bpe.piece(w) for w in words], np.uint32)

@@ -19,6 +19,8 @@ import numpy as np
 import pyarrow as pa
 import regex
 
+from vectorloom.llm.common import until_others
+
 OTHER, LETTER, NUMBER, SPACE = range(4)
 # Code points with the Unicode property White_Space, as first and last.
 SPACES = ((9, 13), (32, 32), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000))
@@ -164,7 +166,8 @@ def _byte_signs() -> dict[int, int]:
 
 @cache
 def library_words(path: str, most: int = 300_000) -> WordIds:
-    """Ids by the tokenizers library for a vocabulary file; one per Python worker."""
+    """Ids by the tokenizers library for a vocabulary file; one per Python worker, until a task of another module comes."""
+    until_others(library_words.cache_clear)
     tokenizer, _ = _added(path)
     model, signs = tokenizer.model, _byte_signs()
 
@@ -181,6 +184,7 @@ def _added(path: str):
     """The library's tokenizer of a vocabulary file, and the tokens added to its vocabulary."""
     import os
 
+    until_others(_added.cache_clear)
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 

@@ -43,7 +43,7 @@ ENTRY = np.dtype([("stored", "<u4"), ("size", "<u4"), ("checksum", "<u4")])
 FRAME_BYTES = 1 << 18
 DOCS_PER_READ = 1 << 13
 NO_ID = -(1 << 63)  # stands for a null identifier
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
 
 
 class TokenFileWriter:

@@ -346,12 +346,13 @@ class _Words:
 
     def spelled(self) -> list[int]:
         """Texts where single letters, enough for a unit, follow each other; words without letters don't part them."""
-        sizes = self.sizes[self.places]
-        held = sizes > 0
-        single, text = sizes[held] == 1, self.text[held]
-        starts = np.arange(max(0, len(text) - LETTERS + 1))
-        run = np.logical_and.reduce([single[starts + a] for a in range(LETTERS)])
-        return np.unique(text[starts[run & (text[starts] == text[starts + LETTERS - 1])]]).tolist()
+        held = (self.sizes > 0)[self.places]
+        single, text = (self.sizes == 1)[self.places[held]], self.text[held]
+        starts = max(0, len(text) - LETTERS + 1)
+        run = text[:starts] == text[LETTERS - 1 :]
+        for a in range(LETTERS):
+            run &= single[a : a + starts]
+        return np.unique(text[:starts][run]).tolist()
 
 
 class ToxicityModel:
