@@ -332,3 +332,84 @@ def test_models_with_different_dimensions(spark):
     same = A.model_pair_similarity(embedded.unionByName(embedded.where("model = 'hash://8'").withColumn("model", F.lit("copy"))), ["hash://8", "copy"])
     assert [r["cosine"] for r in same.collect()] == pytest.approx([1.0, 1.0])
     assert {r["model"]: r["dim"] for r in A.model_summary(embedded).collect()} == {"8": 8, "16": 16}
+
+
+def plain_comparison(rows, models):
+    """Per pair of models the texts with a cosine and its mean: over all pairs of vectors of a key, then over keys."""
+    units = {}
+    for key, model, vector in rows:
+        values = np.array([np.nan if x is None else x for x in vector or []], dtype=np.float64)
+        if key is not None and np.isfinite(np.linalg.norm(values)) and values.any():
+            units.setdefault((key, model), []).append(values / np.linalg.norm(values))
+    keys = sorted({key for key, _ in units})
+    out = {}
+    for i, one in enumerate(models):
+        for two in models[i + 1 :]:
+            both = [[a @ b for a in units.get((k, one), []) for b in units.get((k, two), []) if len(a) == len(b)] for k in keys]
+            means = [np.mean(cosines) for cosines in both if cosines]
+            out[one.split("/")[-1], two.split("/")[-1]] = (len(means), np.mean(means) if means else None)
+    return out
+
+
+@pytest.mark.parametrize("batch", [1, 2, 7, 10_000])
+def test_model_comparison_pairs_every_text(spark, batch):
+    rng = np.random.default_rng(batch)
+    models = ["a://x/one", "b://two", "b://y/three", "c://y/wide"]
+    rows = []
+    for model in reversed(models):
+        for key in range(40):
+            dims = [4, 8] if model == "b://two" and key % 5 == 0 else [8 if model == "c://y/wide" else 4]
+            copies = 3 if key % 7 == 0 else 1
+            rows += [(f"t{key}", model, rng.normal(size=dim).tolist()) for dim in dims for _ in range(copies)]
+    rows = [r for r in rows if not (r[1] == "b://two" and r[0] in ("t1", "t2"))]
+    rows += [("hot", m, rng.normal(size=4).tolist()) for m in models for _ in range(30)]
+    rows += [(None, m, [1.0, 2.0, 3.0, 4.0]) for m in models]
+    odd = [None, [], [0.0] * 4, [float("nan"), 1.0, 1.0, 1.0], [float("inf"), 1.0, 1.0, 1.0], [None, 1.0, 1.0, 1.0]]
+    rows += [(key, m, vector) for m in models[:3] for key in ("t3", "only odd") for vector in odd]
+    rows += [("t4", "not asked", [1.0, 2.0, 3.0, 4.0])]
+    embedded = spark.createDataFrame(rows, "bibcode string, model string, embedding array<double>")
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = A.model_comparison(embedded, [*models, "gone://away"]).collect()
+        single = sorted(A.model_summary(embedded).drop("mean_norm", "mean_component", "mean_std").collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    expected = plain_comparison(rows, models)
+    pairs = {(r["model"], r["other_model"]): r for r in got if r["other_model"] is not None}
+    assert set(pairs) == set(expected) and len(got) == len(expected) + 5
+    for pair, (texts, mean) in expected.items():
+        assert pairs[pair]["texts"] == texts and pairs[pair]["mean_cosine"] == pytest.approx(mean)
+        assert pairs[pair]["dim"] is None and pairs[pair]["mean_norm"] is None
+    assert sorted((r["model"], r["texts"], r["dim"]) for r in got if r["other_model"] is None) == [tuple(r) for r in single]
+
+
+def test_model_comparison_keeps_models_of_one_short_name(spark):
+    rows = [("t", "a://x/m", [1.0, 0.0]), ("t", "b://y/m", [1.0, 1.0]), ("u", "b://y/m", [0.0, 3.0])]
+    embedded = spark.createDataFrame(rows, "bibcode string, model string, embedding array<float>")
+    summary = sorted((r["texts"], r["model"], round(r["mean_norm"], 3)) for r in A.model_summary(embedded).collect())
+    assert summary == [(1, "m", 1.0), (2, "m", 2.207)]
+    pair = A.model_comparison(embedded, ["a://x/m", "b://y/m"]).where("other_model IS NOT NULL").collect()
+    assert [(r["model"], r["other_model"], r["texts"], round(r["mean_cosine"], 6)) for r in pair] == [("m", "m", 1, 0.707107)]
+    alone = A.model_comparison(embedded, ["a://x/m"]).collect()
+    assert len(alone) == 2 and all(r["other_model"] is None for r in alone)
+    assert A.model_comparison(embedded.limit(0), ["a://x/m", "b://y/m"]).count() == 0
+
+
+def test_model_compare_query_has_the_pairs(spark, tmp_path):
+    from vectorloom.plans.queries_vectors import model_compare
+
+    texts = {1: "dark matter halo", 2: "two stars", 3: "a planet", 4: "no vector of this"}
+    docs = [(k, "en", "s", t) for k, t in texts.items()]
+    spark.createDataFrame(docs, "doc_id bigint, lang string, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    stored = {k: np.sin(np.arange(64) * k + 1).astype(np.float32) for k in (1, 2, 3, 9)}
+    rows = [(k, 0, v.tolist()) for k, v in stored.items()]
+    spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {(r["model"], r["other_model"]): r for r in model_compare(spark, str(tmp_path)).collect()}
+    assert {k: r["texts"] for k, r in got.items()} == {
+        ("64", None): 4, ("32", None): 4, ("embeddings", None): 4,
+        ("64", "32"): 0, ("64", "embeddings"): 3, ("32", "embeddings"): 0,
+    }
+    cosines = [np.dot(E.embed_one(texts[k], "hash://64"), stored[k]) / np.linalg.norm(stored[k]) for k in (1, 2, 3)]
+    assert got["64", "embeddings"]["mean_cosine"] == pytest.approx(np.mean(cosines), abs=2e-6)
+    assert got["64", "32"]["mean_cosine"] is None and got["32", "embeddings"]["mean_cosine"] is None
